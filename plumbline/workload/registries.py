@@ -37,7 +37,7 @@ MAPPINGS = {
     "owner_dept": "p_brand",
     "owner_user": "p_type",
     "active": "CASE WHEN p_size % 9 = 0 THEN 0 ELSE 1 END",
-    "p_retailprice": "p_retailprice",
+    "p_size": "p_size",
 }
 
 RULES = {
@@ -45,7 +45,7 @@ RULES = {
     "rule_description": "p_name",
     "dq_category": _choose("p_partkey % 3", ["ACCURACY", "VALIDITY", "COMPLETENESS"]),
     "ordinal": "p_partkey",
-    "p_retailprice": "p_retailprice",
+    "p_size": "p_size",
 }
 
 REQUESTS = {
@@ -56,7 +56,7 @@ REQUESTS = {
     "s_acctbal": "s_acctbal",
 }
 
-REGISTERED_MAPPINGS = "p_retailprice < 1200"
+REGISTERED_MAPPINGS = "p_size < 25"
 REGISTERED_REQUESTS = "s_acctbal < 4000"
 
 
