@@ -7,9 +7,11 @@ of its rows, so neither a window over whole rows nor a window per value is safe.
    to one row per task before the shuffle. Values seen once need no more work.
 2. If few values repeat, find the first row of each and look them up by a
    broadcast join: the wide rows are never shuffled.
-3. Otherwise list the failing rows by position. Values above a share of the table
-   are few by arithmetic and are resolved by broadcast; the rest have bounded
-   groups, which a window ranks. The lists of all fields merge into one row per
+3. If many values repeat in one field only, and the counts show that no group is
+   large, rank the rows by a window.
+4. Otherwise list the failing rows by position. Hot values are few by arithmetic
+   and are resolved by broadcast; the rest have bounded groups, which a window
+   over narrow rows ranks. The lists of all fields merge into one row per
    position, and the wide rows are shuffled once, on a unique key.
 
 Long texts are grouped by their SHA-256, so keys have a bounded width.
@@ -27,13 +29,13 @@ from pyspark.sql.types import BinaryType, StringType
 from plumbline.functions.rules import column
 from plumbline.sources.staging import POSITION, has_position, materialise, stage_with_position
 
-# A key is at most 65 bytes and a position one file path: 100,000 of them stay well below 64 MB.
+# A key is at most 65 bytes and a position 24: this many stay below 32 MB.
 MAX_BROADCAST_KEYS = 100_000
-# A value is hot above this share of the table; so at most 10,000 values are hot.
-HOT_SHARE = 10_000
+# A value is hot above this many rows, and above 1/MAX_BROADCAST_KEYS of the table.
+HOT_ROWS = 1_000_000
 LONG_TEXT_BYTES = 64
 
-_KEY, _COUNT, _ORDER, _LATE = "_dq_key", "_dq_count", "_dq_order", "_dq_late"
+_KEY, _COUNT, _FIRST, _LATE = "_dq_key", "_dq_count", "_dq_first", "_dq_late"
 
 
 def grouping_key(df: DataFrame, field: str) -> Column:
@@ -66,7 +68,7 @@ def mark_first(
     fields: Sequence[str],
     order_by: Sequence[str] = (),
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
-    hot_share: int = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, dict[str, Column]]:
     """Per field, a Column that is true on the first row of each value.
 
@@ -74,54 +76,61 @@ def mark_first(
     returned carries the helper columns those Columns read.
     """
     df, identity = with_row_identity(df, order_by)
-    order = F.struct(*[column(c) for c in dict.fromkeys([*order_by, *identity])])
-    marked, flags, late_lists = df, {}, []
+    order = list(dict.fromkeys([*order_by, *identity]))
+    marked, flags, crowded = df, {}, []
 
     for field in dict.fromkeys(fields):
-        narrow = df.select(grouping_key(df, field).alias(_KEY), order.alias(_ORDER))
+        narrow = df.select(grouping_key(df, field).alias(_KEY), *[column(c) for c in order])
         repeated, seen = materialise(
             narrow.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT)),
             keep=F.col(_COUNT) > 1,
             rows=F.sum(_COUNT),
             repeated=F.count_if(F.col(_COUNT) > 1),
+            largest=F.max(_COUNT),
         )
         if not seen["repeated"]:
             flags[field] = F.lit(True)
         elif seen["repeated"] <= max_broadcast_keys:
-            first = _first_rows(narrow, repeated, identity)
-            marked, flags[field] = _look_up(marked, first, df, field, identity, len(flags))
+            first = _first_rows(narrow, repeated, order, identity)
+            marked, flags[field] = _look_up(marked, first, grouping_key(df, field), identity, len(flags))
         else:
-            hot = repeated.where(F.col(_COUNT) > F.lit(seen["rows"]) / hot_share)
-            late_lists.append((field, _late_rows(narrow, hot, identity)))
-
-    if late_lists:
-        marked = _join_late(marked, late_lists, identity)
-        for bit, (field, _) in enumerate(late_lists):
+            limit = max(hot_rows, seen["rows"] // MAX_BROADCAST_KEYS)
+            hot = repeated.where(F.col(_COUNT) > limit) if seen["largest"] > limit else None
+            crowded.append((field, narrow, hot))
+
+    if len(crowded) == 1 and crowded[0][2] is None:
+        field = crowded[0][0]
+        marked = marked.withColumn("_dq_rank", _rank(grouping_key(df, field), order))
+        flags[field] = F.col("_dq_rank") == 1
+    elif crowded:
+        late = [_late_rows(narrow, hot, order, identity) for _, narrow, hot in crowded]
+        marked = _join_late(marked, late, identity)
+        for bit, (field, _, _) in enumerate(crowded):
             flags[field] = F.coalesce(F.getbit(F.col(_LATE), F.lit(bit)) == 0, F.lit(True))
     return marked, flags
 
 
-def _identity_of_order(identity: Sequence[str]) -> list[Column]:
-    return [F.col(f"{_ORDER}.`{c}`").alias(c) for c in identity]
+def _all_same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [column(a).eqNullSafe(column(b)) for a, b in zip(left, right)])
 
 
-def _all_same(left: Sequence[Column], right: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [a.eqNullSafe(F.col(b)) for a, b in zip(left, right)])
+def _rank(key: Column, order: Sequence[str]) -> Column:
+    return F.row_number().over(Window.partitionBy(key).orderBy(*[column(c) for c in order]))
 
 
-def _first_rows(narrow: DataFrame, keys: DataFrame, identity: Sequence[str]) -> DataFrame:
+def _first_rows(narrow: DataFrame, keys: DataFrame, order: Sequence[str], identity: Sequence[str]) -> DataFrame:
     """Identity of the first row of each given key; no more rows than keys, which are few."""
-    wanted = F.broadcast(keys.select(F.col(_KEY).alias("_wanted")))
+    wanted = F.broadcast(keys.select(F.col(_KEY).alias("_dq_wanted")))
     return (
-        narrow.join(wanted, F.col(_KEY).eqNullSafe(F.col("_wanted")), "left_semi")
+        narrow.join(wanted, F.col(_KEY).eqNullSafe(F.col("_dq_wanted")), "left_semi")
         .groupBy(_KEY)
-        .agg(F.min(_ORDER).alias(_ORDER))
-        .select(_KEY, *_identity_of_order(identity))
+        .agg(F.min(F.struct(*[column(c) for c in order])).alias(_FIRST))
+        .select(_KEY, *[F.col(f"{_FIRST}.`{c}`").alias(c) for c in identity])
     )
 
 
 def _look_up(
-    marked: DataFrame, first: DataFrame, df: DataFrame, field: str, identity: Sequence[str], n: int
+    marked: DataFrame, first: DataFrame, key: Column, identity: Sequence[str], n: int
 ) -> tuple[DataFrame, Column]:
     """Attach the first row's identity to the rows of repeated values."""
     hit, names = f"_dq_hit_{n}", [f"_dq_first_{n}_{i}" for i in range(len(identity))]
@@ -130,45 +139,41 @@ def _look_up(
         F.lit(True).alias(hit),
         *[column(c).alias(a) for c, a in zip(identity, names)],
     )
-    joined = marked.join(
-        F.broadcast(small), grouping_key(df, field).eqNullSafe(F.col(f"_dq_key_{n}")), "left"
-    )
-    return joined, F.col(hit).isNull() | _all_same([column(c) for c in identity], names)
+    joined = marked.join(F.broadcast(small), key.eqNullSafe(F.col(f"_dq_key_{n}")), "left")
+    return joined, F.col(hit).isNull() | _all_same(identity, names)
 
 
-def _late_rows(narrow: DataFrame, hot: DataFrame, identity: Sequence[str]) -> DataFrame:
+def _late_rows(
+    narrow: DataFrame, hot: DataFrame | None, order: Sequence[str], identity: Sequence[str]
+) -> DataFrame:
     """Identity of every row that is not the first of its value."""
+    ids = [column(c) for c in identity]
+    cold = narrow
+    if hot is not None:
+        hot_keys = F.broadcast(hot.select(F.col(_KEY).alias("_dq_hot")))
+        cold = narrow.join(hot_keys, F.col(_KEY).eqNullSafe(F.col("_dq_hot")), "left_anti")
+    late = cold.withColumn("_dq_rank", _rank(F.col(_KEY), order)).where("_dq_rank > 1").select(*ids)
+    if hot is None:
+        return late
+
     names = [f"_dq_first_{i}" for i in range(len(identity))]
-    first = F.broadcast(
-        _first_rows(narrow, hot, identity).select(
-            F.col(_KEY).alias("_dq_hot"), *[column(c).alias(a) for c, a in zip(identity, names)]
-        )
-    )
-    is_hot = F.col(_KEY).eqNullSafe(F.col("_dq_hot"))
-    ids = _identity_of_order(identity)
-    of_hot = narrow.join(first, is_hot).where(~_all_same(ids, names)).select(*ids)
-
-    hot_keys = F.broadcast(hot.select(F.col(_KEY).alias("_dq_hot")))
-    by_value = Window.partitionBy(_KEY).orderBy(_ORDER)
-    of_cold = (
-        narrow.join(hot_keys, is_hot, "left_anti")
-        .withColumn("_dq_rank", F.row_number().over(by_value))
-        .where("_dq_rank > 1")
-        .select(*ids)
+    first = _first_rows(narrow, hot, order, identity).select(
+        F.col(_KEY).alias("_dq_hot"), *[c.alias(a) for c, a in zip(ids, names)]
     )
-    return of_hot.unionByName(of_cold)
+    of_hot = narrow.join(F.broadcast(first), F.col(_KEY).eqNullSafe(F.col("_dq_hot")))
+    return late.unionByName(of_hot.where(~_all_same(identity, names)).select(*ids))
 
 
-def _join_late(marked: DataFrame, late_lists: list, identity: Sequence[str]) -> DataFrame:
+def _join_late(marked: DataFrame, lists: Sequence[DataFrame], identity: Sequence[str]) -> DataFrame:
     """Attach to each row the set of fields in which it is a later duplicate, as bits."""
-    if len(late_lists) > 63:
+    if len(lists) > 63:
         raise ValueError("more than 63 heavily repeated fields under a uniqueness rule")
-    bits = [late.withColumn(_LATE, F.lit(1 << i).cast("long")) for i, (_, late) in enumerate(late_lists)]
+    bits = [rows.withColumn(_LATE, F.lit(1 << i).cast("long")) for i, rows in enumerate(lists)]
+    names = [f"_dq_late_{i}" for i in range(len(identity))]
     late = (
         reduce(DataFrame.unionByName, bits)
         .groupBy(*[column(c) for c in identity])
         .agg(F.bit_or(_LATE).alias(_LATE))
-        .select(*[column(c).alias(f"_late_{i}") for i, c in enumerate(identity)], _LATE)
+        .select(*[column(c).alias(a) for c, a in zip(identity, names)], _LATE)
     )
-    names = [f"_late_{i}" for i in range(len(identity))]
-    return marked.join(late, _all_same([column(c) for c in identity], names), "left")
+    return marked.join(late, _all_same(identity, names), "left")

@@ -8,9 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-FILE = "_dq_file"
-ROW = "_dq_row"
-POSITION = (FILE, ROW)
+# Where a row lies: its file, as a 128-bit digest of the path, and its index in the file.
+POSITION = ("_dq_file_a", "_dq_file_b", "_dq_row")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,10 +56,12 @@ def materialise(df: DataFrame, keep: Column | None = None, **measures: Column) -
 def with_position(df: DataFrame) -> DataFrame:
     """Add the physical position of each row of a frame just read from Parquet.
 
-    File path and row index do not depend on how the scan is split, so they are
-    the same in every scan of an unchanged table, and on a retried task.
+    File and row index do not depend on how the scan is split, so they are the
+    same in every scan of an unchanged table, and on a retried task.
     """
-    return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+    path = F.col("_metadata.file_path")
+    place = (F.xxhash64(path), F.xxhash64(F.lit(1), path), F.col("_metadata.row_index"))
+    return df.select("*", *[value.alias(name) for name, value in zip(POSITION, place)])
 
 
 def has_position(df: DataFrame) -> bool:

@@ -169,9 +169,9 @@ def first_of_tied_rows(spark, sf_dir):
     "FROM lineitem GROUP BY l_orderkey",
 )
 def first_by_many_values(spark, sf_dir):
-    """The path for more repeated values than a broadcast takes: one narrow ranking, one keyed join."""
+    """The path for more repeated values than a broadcast takes, hot ones apart: a keyed join of failing rows."""
     df = with_position(e.read(spark, sf_dir, "lineitem"))
-    marked, flags = mark_first(df, ["l_orderkey"], ["l_linenumber"], max_broadcast_keys=0)
+    marked, flags = mark_first(df, ["l_orderkey"], ["l_linenumber"], max_broadcast_keys=0, hot_rows=8)
     return marked.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(flags["l_orderkey"]).alias("n_first")
     )

@@ -23,10 +23,10 @@ def by_window(df, field, order):
     return {r.k for r in df.withColumn("n", F.row_number().over(w)).where("n = 1").collect()}
 
 
-PATHS = [{}, {"max_broadcast_keys": 0}, {"max_broadcast_keys": 0, "hot_share": 3}, {"max_broadcast_keys": 3}]
+PATHS = [{}, {"max_broadcast_keys": 0}, {"max_broadcast_keys": 0, "hot_rows": 500}, {"max_broadcast_keys": 3}]
 
 
-@pytest.mark.parametrize("options", PATHS, ids=["look-up", "ranked", "ranked-few-hot", "mixed"])
+@pytest.mark.parametrize("options", PATHS, ids=["look-up", "listed", "listed-with-hot", "mixed"])
 @pytest.mark.parametrize("partitions", [1, 7, 64])
 def test_same_as_window(spark, options, partitions):
     df = skewed(spark).repartition(partitions)
@@ -37,7 +37,16 @@ def test_same_as_window(spark, options, partitions):
         assert {r.k for r in rows if r[f"f_{f}"]} == by_window(df, f, ["k"]), f
 
 
-@pytest.mark.parametrize("options", PATHS[:2], ids=["look-up", "ranked"])
+@pytest.mark.parametrize("partitions", [1, 7])
+@pytest.mark.parametrize("options", PATHS[:3], ids=["look-up", "window", "listed-with-hot"])
+def test_one_field(spark, options, partitions):
+    df = skewed(spark).repartition(partitions)
+    marked, flags = mark_first(df, ["v"], ["k"], **options)
+    assert {r.k for r in marked.where(flags["v"]).collect()} == by_window(df, "v", ["k"])
+
+
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_keys": 0}, {"max_broadcast_keys": 0, "hot_rows": 50}],
+                         ids=["look-up", "listed", "listed-with-hot"])
 def test_identical_rows_still_give_one_first(spark, options):
     """Rows equal in every column: no order tells them apart, their position does."""
     df = spark.range(900).select(F.expr("id % 10").alias("a"), F.lit("same").alias("b"))
@@ -70,6 +79,16 @@ def test_wide_rows_are_not_shuffled(spark, sf_dir):
     assert plan.count("BroadcastHashJoin") >= 2
 
 
+def test_hot_values_never_reach_a_window(spark):
+    """The NULL third of the table is resolved by broadcast, not ranked in one task."""
+    df = skewed(spark)
+    marked, flags = mark_first(df, ["v"], ["k"], max_broadcast_keys=0, hot_rows=500)
+    plan = marked.select(flags["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" in plan
+    window_input = plan[plan.index("Window"):]
+    assert "Join LeftAnti" in window_input
+
+
 def test_one_wide_shuffle_for_all_fields(spark, sf_dir):
     df = with_position(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     marked, flags = mark_first(df, ["l_orderkey", "l_partkey", "l_suppkey"], ["l_linenumber"], max_broadcast_keys=0)
