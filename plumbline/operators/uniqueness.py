@@ -20,8 +20,10 @@ Long texts are grouped by their SHA-256, so keys have a bounded width.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -34,6 +36,7 @@ MAX_BROADCAST_KEYS = 100_000
 # A value is hot above this many rows, and above 1/MAX_BROADCAST_KEYS of the table.
 HOT_ROWS = 1_000_000
 LONG_TEXT_BYTES = 64
+MAX_CONCURRENT_COUNTS = 4
 
 _KEY, _COUNT, _FIRST, _LATE = "_dq_key", "_dq_count", "_dq_first", "_dq_late"
 
@@ -77,22 +80,21 @@ def mark_first(
     """
     df, identity = with_row_identity(df, order_by)
     order = list(dict.fromkeys([*order_by, *identity]))
-    marked, flags, crowded = df, {}, []
+    fields = list(dict.fromkeys(fields))
+    keys = {f: grouping_key(df, f) for f in fields}
+    narrow_frames = [df.select(keys[f].alias(_KEY), *[column(c) for c in order]) for f in fields]
+    # The counts of the fields are independent jobs over one column each.
+    with ThreadPoolExecutor(MAX_CONCURRENT_COUNTS) as pool:
+        counted = list(pool.map(inheritable_thread_target(df.sparkSession)(_repeated_keys), narrow_frames))
 
-    for field in dict.fromkeys(fields):
-        narrow = df.select(grouping_key(df, field).alias(_KEY), *[column(c) for c in order])
-        repeated, seen = materialise(
-            narrow.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT)),
-            keep=F.col(_COUNT) > 1,
-            rows=F.sum(_COUNT),
-            repeated=F.count_if(F.col(_COUNT) > 1),
-            largest=F.max(_COUNT),
-        )
+    marked, flags, crowded = df, {}, []
+    for n, (field, narrow, (repeated, seen)) in enumerate(zip(fields, narrow_frames, counted)):
         if not seen["repeated"]:
             flags[field] = F.lit(True)
         elif seen["repeated"] <= max_broadcast_keys:
             first = _first_rows(narrow, repeated, order, identity)
-            marked, flags[field] = _look_up(marked, first, grouping_key(df, field), identity, len(flags))
+            marked = _look_up(marked, first, keys[field], identity, f"_dq_first_{n}")
+            flags[field] = F.col(f"_dq_first_{n}")
         else:
             limit = max(hot_rows, seen["rows"] // MAX_BROADCAST_KEYS)
             hot = repeated.where(F.col(_COUNT) > limit) if seen["largest"] > limit else None
@@ -100,7 +102,7 @@ def mark_first(
 
     if len(crowded) == 1 and crowded[0][2] is None:
         field = crowded[0][0]
-        marked = marked.withColumn("_dq_rank", _rank(grouping_key(df, field), order))
+        marked = marked.withColumn("_dq_rank", _rank(keys[field], [c for c in order if c != field]))
         flags[field] = F.col("_dq_rank") == 1
     elif crowded:
         late = [_late_rows(narrow, hot, order, identity) for _, narrow, hot in crowded]
@@ -110,6 +112,16 @@ def mark_first(
     return marked, flags
 
 
+def _repeated_keys(narrow: DataFrame) -> tuple[DataFrame, dict]:
+    return materialise(
+        narrow.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT)),
+        keep=F.col(_COUNT) > 1,
+        rows=F.sum(_COUNT),
+        repeated=F.count_if(F.col(_COUNT) > 1),
+        largest=F.max(_COUNT),
+    )
+
+
 def _all_same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [column(a).eqNullSafe(column(b)) for a, b in zip(left, right)])
 
@@ -130,17 +142,18 @@ def _first_rows(narrow: DataFrame, keys: DataFrame, order: Sequence[str], identi
 
 
 def _look_up(
-    marked: DataFrame, first: DataFrame, key: Column, identity: Sequence[str], n: int
-) -> tuple[DataFrame, Column]:
-    """Attach the first row's identity to the rows of repeated values."""
-    hit, names = f"_dq_hit_{n}", [f"_dq_first_{n}_{i}" for i in range(len(identity))]
-    small = first.select(
-        F.col(_KEY).alias(f"_dq_key_{n}"),
-        F.lit(True).alias(hit),
+    marked: DataFrame, first: DataFrame, key: Column, identity: Sequence[str], flag: str
+) -> DataFrame:
+    """Add a flag: the row's value does not repeat, or the row is the first one of it."""
+    names = [f"_dq_found_{i}" for i in range(len(identity))]
+    found = first.select(
+        F.col(_KEY).alias("_dq_found"),
+        F.lit(True).alias("_dq_hit"),
         *[column(c).alias(a) for c, a in zip(identity, names)],
     )
-    joined = marked.join(F.broadcast(small), key.eqNullSafe(F.col(f"_dq_key_{n}")), "left")
-    return joined, F.col(hit).isNull() | _all_same(identity, names)
+    is_first = F.col("_dq_hit").isNull() | _all_same(identity, names)
+    joined = marked.join(F.broadcast(found), key.eqNullSafe(F.col("_dq_found")), "left")
+    return joined.select(*[column(c) for c in marked.columns], is_first.alias(flag))
 
 
 def _late_rows(

@@ -42,6 +42,9 @@ class Store:
         return with_position(df) if positions else df
 
     def append(self, table: str, df: DataFrame) -> None:
+        """Append rows, columns in the table's order; nothing is written for no rows."""
+        if df.isEmpty():
+            return
         columns = self.read(table).columns
         df.select(*columns).write.mode("append").format(self.table_format).saveAsTable(self.name(table))
 
@@ -63,8 +66,7 @@ class Store:
         """Create the registry tables and the audit log where they are absent."""
         for table, schema in REGISTRY_SCHEMAS.items():
             if not self.exists(table):
-                empty = self.spark.createDataFrame([], schema)
-                empty.write.format(self.table_format).saveAsTable(self.name(table))
+                self.spark.catalog.createTable(self.name(table), source=self.table_format, schema=schema)
 
     def tables(self) -> list[str]:
         """Names of the store's tables."""

@@ -33,7 +33,7 @@ from plumbline.plans.runs import outcome_line, run_entity
 from plumbline.schemas import RESULT_COLUMN, RESULTS, RULE_MAPPINGS
 from plumbline.sources import registry
 from plumbline.sources.audit import append_run, latest_entries
-from plumbline.sources.staging import scratch_path, with_position
+from plumbline.sources.staging import materialise, scratch_path, with_position
 from plumbline.sources.store import Store, count_rows
 from plumbline.workload import entities as e
 from plumbline.workload import oracle as o
@@ -424,7 +424,8 @@ def report_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     for pack in e.registry_packs():
         rows = registry.mapping_rows(spark, pack, "spark_catalog", "dq", pack.entity, g.CREATED)
         mappings = rows if mappings is None else mappings.unionByName(rows)
-    return audit_log(spark, sf_dir), mappings, g.catalogue(spark)
+    log, _ = materialise(audit_log(spark, sf_dir))  # reports read a stored log
+    return log, mappings, g.catalogue(spark)
 
 
 @register("q01_overall", o.overall("orders_gold"))
@@ -751,7 +752,7 @@ def f01(spark, sf_dir):
 
 @register(
     "k01_onboard_entity",
-    "SELECT m.rule_mapping_id, m.dq_rule_no, CAST(1 AS BIGINT) AS dq_val_request_id, m.source_table, "
+    "SELECT CAST(m.rule_mapping_id AS BIGINT) AS rule_mapping_id, m.dq_rule_no, CAST(1 AS BIGINT) AS dq_val_request_id, m.source_table, "
     f"(SELECT CAST(COUNT(*) AS BIGINT) FROM ({e.ENTITY_SQL['telco_gold']}) AS t) AS snapshot_rows "
     f"FROM ({o.mapping_values([load_pack('telco_gold')])}) AS m",
 )

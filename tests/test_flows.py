@@ -244,3 +244,23 @@ def test_status_values(spark):
     df = spark.createDataFrame([(0, 0), (5, 5), (4, 5), (0, 5)], "p long, r long")
     got = [r[0] for r in df.select(rule_status(F.col("p"), F.col("r"))).collect()]
     assert got == ["SKIPPED", "PASS", "BREACH", "BREACH"]
+
+
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    from plumbline.__main__ import main
+
+    schema = f"cli_{uuid.uuid4().hex[:8]}"
+    e.telco_gold(spark, sf_dir).createOrReplaceTempView("telco_source")
+    where = ["--dq-schema", schema, "--target-table", "telco_gold"]
+    main(["onboard", *where, "--source", "telco_source", "--location", str(tmp_path / schema)])
+    main(["run", *where, "--as-of", "2024-01-01", "--report-date", "2024-01-01", "--order-by", "cust_id"])
+    main(["report", *where, "--latest"])
+    printed = capsys.readouterr().out
+    assert "dq_rule_mappings" in printed and "SUCCESS:" in printed and "DQ_310_BOOLEAN_FLAG_is_pre_paid" in printed
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from plumbline.sources.staging import scratch_path, shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(shared_dir(spark))
