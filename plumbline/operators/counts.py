@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.encoding import checks_in_row, label, passes_in_row, segments
-from plumbline.functions.rules import column
 from plumbline.functions.scores import pass_pct, rule_score
 from plumbline.operators.program import RuleMapping
 from plumbline.operators.verdicts import verdict_column
@@ -26,25 +25,23 @@ def rule_counts(
     One aggregate row per group holds every counter; it is turned into one row
     per rule afterwards, so the shuffle does not grow with the number of rules.
     """
-    counters = []
-    for i, m in enumerate(program):
-        v = column(verdict_column(m.rule_mapping_id))
-        counters += [F.count(v).alias(f"_r{i}"), F.coalesce(F.sum(v), F.lit(0)).alias(f"_p{i}")]
-    groups = verdicts.groupBy(*by)
-    wide = groups.agg(F.count(F.lit(1)).alias("_rows"), *counters)
-    per_rule = F.array(
-        *[
-            F.struct(
-                F.lit(m.rule_mapping_id).cast("long").alias("rule_mapping_id"),
-                F.lit(m.dq_rule_no).alias("dq_rule_no"),
-                F.col(f"_r{i}").alias(RELEVANT),
-                F.col(f"_p{i}").alias(POSITIVE),
-            )
-            for i, m in enumerate(program)
-        ]
+    counters = [
+        F.expr(sql)
+        for i, m in enumerate(program)
+        for v in [f"`{verdict_column(m.rule_mapping_id)}`"]
+        for sql in (f"count({v}) AS _r{i}", f"coalesce(sum({v}), 0) AS _p{i}")
+    ]
+    wide = verdicts.groupBy(*by).agg(*counters)
+    group_columns = [f"`{c}`" for c in wide.columns[: -len(counters)]]
+    rows = ", ".join(
+        f"{m.rule_mapping_id}L, {_sql_text(m.dq_rule_no)}, _r{i}, _p{i}" for i, m in enumerate(program)
     )
-    group_columns = wide.columns[: -1 - len(counters)]
-    return wide.select(*group_columns, F.inline(per_rule))
+    per_rule = f"stack({len(program)}, {rows}) AS (rule_mapping_id, dq_rule_no, {RELEVANT}, {POSITIVE})"
+    return wide.selectExpr(*group_columns, per_rule)
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def result_patterns(enriched: DataFrame) -> DataFrame:
