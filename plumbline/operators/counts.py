@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.encoding import checks_in_row, label, passes_in_row, segments
+from plumbline.functions.encoding import (
+    checks_in_row,
+    label,
+    passes_in_row,
+    segment_label,
+    segment_value,
+    segments,
+)
 from plumbline.functions.scores import pass_pct, rule_score
 from plumbline.operators.program import RuleMapping
 from plumbline.operators.verdicts import verdict_column
@@ -59,8 +66,8 @@ def rule_counts_from_results(patterns: DataFrame, program: Sequence[RuleMapping]
     ``patterns`` comes from ``result_patterns``. A rule absent from it counts 0 and 0.
     """
     weighted = patterns.select(F.explode(segments(F.col(RESULT_COLUMN))).alias("segment"), "n_rows").select(
-        F.substring_index("segment", ": ", 1).alias("label"),
-        F.substring_index("segment", ": ", -1).alias("value"),
+        segment_label(F.col("segment")).alias("label"),
+        segment_value(F.col("segment")).alias("value"),
         "n_rows",
     )
     by_label = weighted.groupBy("label").agg(

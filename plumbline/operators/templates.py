@@ -29,5 +29,5 @@ def fill_template(template: str, fields: Sequence[str], as_of: dt.date | str | N
 
 
 def template_passes(sql: str) -> Column:
-    """Pass condition of a filled template that yields 1 or 0."""
-    return F.expr(sql) == 1
+    """Pass condition of a filled template that yields 1 or 0, or true or false."""
+    return F.expr(sql).cast("int") == 1

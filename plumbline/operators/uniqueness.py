@@ -26,7 +26,16 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DatetimeType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
 from plumbline.functions.rules import column
 from plumbline.sources.staging import POSITION, has_position, materialise, stage_with_position
@@ -45,6 +54,8 @@ def grouping_key(df: DataFrame, field: str) -> Column:
     """The value itself, or a digest of a long text; digests are longer than any text kept."""
     value = column(field)
     kind = df.select(value).schema[0].dataType
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        raise ValueError(f"uniqueness is judged on columns of atomic types, {field!r} is {kind.simpleString()}")
     if not isinstance(kind, (StringType, BinaryType)):
         return value
     digest = F.concat(F.lit("#"), F.sha2(value, 256))
@@ -57,11 +68,17 @@ def is_key(df: DataFrame, columns: Sequence[str]) -> bool:
     return groups.agg(F.max(_COUNT)).first()[0] in (None, 1)
 
 
+def _is_narrow(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether the columns have a fixed width, so that as many as are broadcast have a bounded size."""
+    kinds = [f.dataType for f in df.select(*[column(c) for c in columns]).schema]
+    return all(isinstance(k, (NumericType, DatetimeType, BooleanType)) for k in kinds)
+
+
 def with_row_identity(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """The frame with columns that identify each of its rows, the same in every scan."""
     if has_position(df):
         return df, list(POSITION)
-    if order_by and is_key(df, order_by):
+    if order_by and _is_narrow(df, order_by) and is_key(df, order_by):
         return df, list(order_by)
     return stage_with_position(df), list(POSITION)
 

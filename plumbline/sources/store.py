@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +38,18 @@ class Store:
         return self.spark.table(self.name(table))
 
     def read_entity(self, table: str, positions: bool = False) -> DataFrame:
-        """The entity table, with the physical position of each row if a rule needs it."""
+        """The entity table, with the physical position of each row if a rule needs it.
+
+        A table format without row positions gives the plain table; uniqueness then
+        finds another row identity.
+        """
         df = self.read(table)
-        return with_position(df) if positions else df
+        if not positions:
+            return df
+        try:
+            return with_position(df)
+        except AnalysisException:
+            return df
 
     def append(self, table: str, df: DataFrame) -> None:
         """Append rows, columns in the table's order; nothing is written for no rows."""

@@ -761,11 +761,11 @@ def k01(spark, sf_dir):
     source = e.telco_gold(spark, sf_dir)
     for _ in range(2):  # repeating changes nothing
         onboard(store, pack, source, g.CREATED)
-    rows = store.read(pack.entity).agg(F.count(F.lit(1)).alias("snapshot_rows"))
+    rows = store.row_counts([pack.entity]).toDF("source_table", "snapshot_rows")
     return (
         store.read(RULE_MAPPINGS)
-        .select("rule_mapping_id", "dq_rule_no", "dq_val_request_id", "source_table")
-        .join(F.broadcast(rows))  # one row
+        .join(rows, "source_table")
+        .select("rule_mapping_id", "dq_rule_no", "dq_val_request_id", "source_table", "snapshot_rows")
     )
 
 

@@ -143,6 +143,24 @@ def test_user_defined_rule_runs_from_its_template(spark, store):
     assert on.rules == [("DQ_9_EVEN_k", 4, 2)]
 
 
+def test_uniqueness_template_counts_the_same(spark):
+    """The catalogue's window text passes as many rows as the built-in rule."""
+    df = spark.createDataFrame([(i, i % 4 if i % 3 else None) for i in range(40)], "k int, v int")
+    text = next(r[4] for r in ALL_RULES if r[0] == "RULE_30_UNIQUE_IDENTIFIER")
+    program = [RuleMapping(1, "a", "RULE_30_UNIQUE_IDENTIFIER", "v"),
+               RuleMapping(2, "b", "USER_UNIQUE", "v", text.format(field="v"))]
+    counts = rule_counts(apply_rules(df, program, order_by=["k"], keep=[]), program).collect()
+    assert [tuple(r)[2:] for r in sorted(counts)] == [(40, 5), (40, 5)]
+
+
+def test_table_format_without_row_positions(spark, tmp_path):
+    store = Store(spark, f"dq_{uuid.uuid4().hex[:8]}", table_format="orc")
+    store.create(str(tmp_path / "orc"))
+    onboard(store, small_pack(), things(spark), DAY)
+    out = run_entity(store, "things", "2024-01-01", dt.datetime(2024, 1, 1), order_by=["k"])
+    assert [r[1:] for r in out.rules] == [(4, 3), (4, 3), (4, 2)]
+
+
 def test_run_refuses_mappings_that_do_not_fit(spark, store):
     pack = small_pack(rules=(PackRule(1, "RULE_3_NUMERIC_NOT_NULL", "absent", "", 100.0, None),))
     onboard(store, pack, things(spark), DAY)
@@ -213,6 +231,17 @@ def test_fixture_counts(spark, sf_dir):
         ("fund_trans_gold", "cust_id", "RULE_40_TEMPORAL_WINDOW_CONSISTENCY", "sent_txn_amt_3m|sent_txn_amt_12m", 1500, 450),
         ("fund_trans_gold", "cust_id", "RULE_41_POSITIVE_IF_COUNT_NONZERO", "sent_txn_cnt_12m|sent_txn_amt_12m", 1500, 1112),
     ]
+    dated = [
+        ("RULE_1_DATE_NOT_NULL", None, 14634),
+        ("RULE_12_DATE_NOT_FUTURE", "2000-01-01", 11070),
+        ("RULE_13_DATE_NOT_PAST_LIMIT", "2008-01-01", 7986),
+        ("RULE_14_DATE_NOT_FUTURE_LIMIT", "1990-01-01", 11052),
+    ]
+    for rule, as_of, positive in dated:
+        program = [RuleMapping(1, "r", rule, "order_date")]
+        df = e.orders_gold(spark, sf_dir, positions=False).drop("status")
+        row = rule_counts(apply_rules(df, program, as_of, keep=[]), program).first()
+        assert (row.dq_number_relevant_records, row.dq_number_pos_results) == (15000, positive), rule
     for entity, key, rule, field, relevant, positive in cases:
         program = [RuleMapping(1, "r", rule, field)]
         df = getattr(e, entity)(spark, sf_dir)

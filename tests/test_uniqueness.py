@@ -118,3 +118,16 @@ def test_float_values_group_as_equal(spark):
     for options in PATHS[:2]:
         marked, flags = mark_first(df, ["v"], ["k"], **options)
         assert sorted(r.k for r in marked.where(flags["v"]).collect()) == [0, 2]
+
+
+def test_text_as_declared_order_is_not_broadcast(spark):
+    """A wide order column is no row identity; the rows get their position instead."""
+    df = spark.createDataFrame([("x" * 500, 1), ("y" * 500, 1), ("z" * 500, 2)], "t string, v int")
+    marked, flags = mark_first(df, ["v"], ["t"])
+    assert "_dq_row" in marked.columns
+    assert sorted(r.t[0] for r in marked.where(flags["v"]).collect()) == ["x", "z"]
+
+
+def test_nested_columns_are_refused(spark):
+    with pytest.raises(ValueError, match="atomic"):
+        mark_first(spark.createDataFrame([([1],)], "v array<int>"), ["v"])
