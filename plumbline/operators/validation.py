@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from plumbline.functions.rules import ROW_RULES, UNIQUE_RULE
 from plumbline.operators.program import RuleMapping
@@ -24,6 +24,8 @@ TYPE_NAMES = {
     "timestamp_ntz": "TIMESTAMP",
 }
 
+NUMERIC_COMPARISONS = ("RULE_10_NUMERIC_NON_NEGATIVE", "RULE_11_NUMERIC_POSITIVE")
+
 NO_CATALOGUE_ROW = "NO_CATALOGUE_ROW"
 UNKNOWN_RULE = "UNKNOWN_RULE"
 WRONG_ARITY = "WRONG_ARITY"
@@ -99,8 +101,12 @@ def validate_mappings(mappings: DataFrame, generic: DataFrame, columns: DataFram
 
 
 def check_program(program: Sequence[RuleMapping], schema: StructType) -> None:
-    """Refuse a program that cannot run on the entity: wrong arity or missing columns."""
-    names = {n.lower() for n in schema.fieldNames()}
+    """Refuse a program that cannot run on the entity.
+
+    That is a wrong number of fields, a missing column, or a numeric comparison on
+    text, which would end the job at the first malformed value.
+    """
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
     problems = []
     for m in program:
         if not (m.is_row_rule or m.is_unique_rule or m.template):
@@ -108,6 +114,9 @@ def check_program(program: Sequence[RuleMapping], schema: StructType) -> None:
         arity = 1 if m.is_unique_rule else ROW_RULES[m.rule].arity if m.is_row_rule else len(m.fields)
         if len(m.fields) != arity:
             problems.append(f"{m.dq_rule_no}: {m.rule} reads {arity} field(s), got {m.source_field!r}")
-        problems += [f"{m.dq_rule_no}: no column {f!r}" for f in m.fields if f.lower() not in names]
+        problems += [f"{m.dq_rule_no}: no column {f!r}" for f in m.fields if f.lower() not in kinds]
+        if m.rule in NUMERIC_COMPARISONS:
+            texts = [f for f in m.fields if isinstance(kinds.get(f.lower()), StringType)]
+            problems += [f"{m.dq_rule_no}: {m.rule} cannot judge the text column {f!r}" for f in texts]
     if problems:
         raise ValueError("mappings do not fit the entity: " + "; ".join(problems))

@@ -166,6 +166,9 @@ def test_run_refuses_mappings_that_do_not_fit(spark, store):
     onboard(store, pack, things(spark), DAY)
     with pytest.raises(ValueError, match="no column 'absent'"):
         run_entity(store, "things")
+    text = spark.createDataFrame([("1",)], "v string").schema
+    with pytest.raises(ValueError, match="text column 'v'"):
+        check_program([RuleMapping(1, "n", "RULE_11_NUMERIC_POSITIVE", "v")], text)
     with pytest.raises(ValueError, match="reads 2 field"):
         check_program([RuleMapping(1, "n", "RULE_40_TEMPORAL_WINDOW_CONSISTENCY", "k")], things(spark).schema)
 
@@ -293,3 +296,35 @@ def test_shared_folder_comes_from_the_session(spark):
 
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_empty_entity(spark, store):
+    onboard(store, small_pack(), things(spark).limit(0), DAY)
+    out = run_entity(store, "things", "2024-01-01", dt.datetime(2024, 1, 1), order_by=["k"])
+    assert (out.total_rows, out.total_checks, out.overall_dq_pct) == (0, 0, None)
+    assert [r[1:] for r in out.rules] == [(0, 0)] * 3
+    reports = entity_reports(store, "things")
+    assert tuple(reports["overall"].first()) == (3, 0, 3, 0, 0, 0, None)
+    assert {r.STATUS for r in reports["rule_detail"].collect()} == {"SKIPPED"}
+    assert reports["breach_register"].count() == 0
+
+
+def test_counting_reads_only_the_columns_rules_name(spark, sf_dir):
+    program = [RuleMapping(1, "r", "RULE_11_NUMERIC_POSITIVE", "l_tax"),
+               RuleMapping(2, "s", "RULE_40_TEMPORAL_WINDOW_CONSISTENCY", "l_tax|l_discount")]
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = rule_counts(apply_rules(df, program, keep=[]), program)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_discount:double,l_tax:double>" in plan
+
+
+def test_counting_stored_results_reads_one_column(spark, store):
+    onboard(store, small_pack(), things(spark), DAY)
+    run_entity(store, "things", "2024-01-01", dt.datetime(2024, 1, 1), order_by=["k"])
+    plan = result_patterns(store.read("things_dq"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<DQ_RESULT:string>" in plan
+
+
+def test_rule_numbers_with_quotes(spark):
+    program = [RuleMapping(1, "it's a \\ rule", "RULE_3_NUMERIC_NOT_NULL", "v")]
+    df = spark.createDataFrame([(1,)], "v int")
+    assert rule_counts(apply_rules(df, program, keep=[]), program).first().dq_rule_no == "it's a \\ rule"
