@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from plumbline.operators.uniqueness import mark_first
 from plumbline.schemas import RESULT_COLUMN
 from plumbline.sources.staging import POSITION
 
+log = logging.getLogger(__name__)
+
 STATUS = "status"
 
 
@@ -61,6 +64,7 @@ def judge(
         elif m.template:
             passes = template_passes(m.template)
         else:
+            log.warning("%s: nobody defines %s, its verdicts are NULL", m.dq_rule_no, m.rule)
             passes = None
         conditions.append((m, passes))
     return Judged(df, columns, conditions, skipped)

@@ -23,16 +23,20 @@ def of_entity(mappings: DataFrame, entity: str | None) -> DataFrame:
     return mappings if entity is None else mappings.where(F.col("source_table") == entity)
 
 
-def latest_run(results: DataFrame, mappings: DataFrame, entity: str | None) -> DataFrame:
-    """The log rows that carry the entity's newest timestamp."""
+def latest_timestamp(results: DataFrame, mappings: DataFrame, entity: str | None) -> DataFrame:
+    """One row: the entity's newest timestamp. The log meets the registry as one row per rule."""
     rules = of_entity(mappings, entity).select("dq_rule_no")
-    newest = (
+    return (
         results.groupBy("dq_rule_no")
         .agg(F.max(_TS).alias(_TS))
         .join(rules, "dq_rule_no", "left_semi")
         .agg(F.max(_TS).alias(_TS))
     )
-    return results.join(F.broadcast(newest), _TS)  # one row
+
+
+def latest_run(results: DataFrame, mappings: DataFrame, entity: str | None) -> DataFrame:
+    """The log rows that carry the entity's newest timestamp."""
+    return results.join(F.broadcast(latest_timestamp(results, mappings, entity)), _TS)  # one row
 
 
 def _log(results: DataFrame, mappings: DataFrame, entity: str | None, latest: bool) -> DataFrame:
@@ -50,7 +54,7 @@ def _per_rule(results: DataFrame) -> DataFrame:
     )
 
 
-def _with_catalogue(mappings: DataFrame, generic: DataFrame, entity: str | None) -> DataFrame:
+def with_catalogue(mappings: DataFrame, generic: DataFrame, entity: str | None) -> DataFrame:
     """Mappings with their effective category; those without a catalogue row drop out."""
     rules = generic.select("generic_rule_desc_short", F.col("dq_category").alias("_generic_category"))
     return (
@@ -103,7 +107,7 @@ def by_category(
 ) -> DataFrame:
     """Pass percentage per quality category."""
     joined = _per_rule(_log(results, mappings, entity, latest)).join(
-        _with_catalogue(mappings, generic, entity).select("dq_rule_no", "DQ_CATEGORY"), "dq_rule_no"
+        with_catalogue(mappings, generic, entity).select("dq_rule_no", "DQ_CATEGORY"), "dq_rule_no"
     )
     checks, passed = ("TOTAL_CHECKS", "TOTAL_PASSED") if latest else ("TOTAL_RELEVANT_RECORDS", "TOTAL_POS_RESULTS")
     applied = [] if latest else [_distinct_rules(F.col("applied")).alias("RULES_APPLIED")]
@@ -118,7 +122,7 @@ def by_category(
 def _rule_rows(
     results: DataFrame, mappings: DataFrame, generic: DataFrame, entity: str | None, latest: bool
 ) -> DataFrame:
-    rules = _with_catalogue(mappings, generic, entity).select(
+    rules = with_catalogue(mappings, generic, entity).select(
         "dq_rule_no", "DQ_CATEGORY", "source_field", "generic_rule_desc_short", "rule_description",
         "threshold_pct", "owner_dept", "owner_user",
     )
@@ -187,7 +191,7 @@ def category_series(categories: DataFrame) -> DataFrame:
 
 def trend(results: DataFrame, mappings: DataFrame, generic: DataFrame, entity: str | None = None) -> DataFrame:
     """Pass percentage per run and category, with the change since the category's run before."""
-    rules = _with_catalogue(mappings, generic, entity).select("dq_rule_no", "DQ_CATEGORY")
+    rules = with_catalogue(mappings, generic, entity).select("dq_rule_no", "DQ_CATEGORY")
     runs = (
         results.withColumnsRenamed({RELEVANT: "checks", POSITIVE: "passed"})
         .join(rules, "dq_rule_no")

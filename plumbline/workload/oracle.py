@@ -131,15 +131,18 @@ g AS ({generic_values()})"""
 REL, POS = "r.dq_number_relevant_records", "r.dq_number_pos_results"
 
 
+LATEST = (
+    "r.dq_execution_timestamp = (SELECT MAX(r2.dq_execution_timestamp) FROM log r2 "
+    "JOIN m m2 ON r2.dq_rule_no = m2.dq_rule_no WHERE m2.source_table = '{entity}')"
+)
+
+
 def _scope(entity: str | None, latest: bool) -> str:
     parts = []
     if entity:
         parts.append(f"m.source_table = '{entity}'")
     if latest:
-        parts.append(
-            "r.dq_execution_timestamp = (SELECT MAX(r2.dq_execution_timestamp) FROM log r2 "
-            f"JOIN m m2 ON r2.dq_rule_no = m2.dq_rule_no WHERE m2.source_table = '{entity}')"
-        )
+        parts.append(LATEST.format(entity=entity))
     return " AND ".join(parts) or "TRUE"
 
 

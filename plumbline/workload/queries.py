@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import encoding
 from plumbline.functions.rules import out_of_scope
+from plumbline.functions.scores import pass_pct
 from plumbline.operators import numbering
 from plumbline.operators.counts import (
     POSITIVE,
@@ -382,6 +383,76 @@ def rule_scores(spark, sf_dir):
     return with_score(counted(spark, sf_dir, "orders_gold"))
 
 
+@register(
+    "a04_pass_percentage",
+    f"{o.history()} SELECT dq_run_id, {o.pct('dq_number_pos_results', 'dq_number_relevant_records')} AS pass_pct FROM log",
+)
+def pass_percentage(spark, sf_dir):
+    return audit_log(spark, sf_dir).select("dq_run_id", pass_pct(F.col(POSITIVE), F.col(RELEVANT)).alias("pass_pct"))
+
+
+@register(
+    "a05_conditional_rule_counts",
+    f"{o.history()} SELECT dq_execution_timestamp, COUNT(DISTINCT dq_rule_no) AS total_rules, "
+    "COUNT(DISTINCT CASE WHEN dq_number_relevant_records > 0 THEN dq_rule_no END) AS rules_applied, "
+    "COUNT(DISTINCT CASE WHEN dq_number_relevant_records = 0 THEN dq_rule_no END) AS rules_skipped "
+    "FROM log GROUP BY dq_execution_timestamp",
+)
+def conditional_rule_counts(spark, sf_dir):
+    """Rules of each run; the overall report counts the same over a history."""
+    rule, relevant = F.col("dq_rule_no"), F.col(RELEVANT)
+    return naive_ts(audit_log(spark, sf_dir).groupBy(TS).agg(
+        F.count_distinct(rule).alias("total_rules"),
+        F.count_distinct(F.when(relevant > 0, rule)).alias("rules_applied"),
+        F.count_distinct(F.when(relevant == 0, rule)).alias("rules_skipped"),
+    ))
+
+
+@register(
+    "a06_effective_category",
+    f"WITH p AS ({g.MAPPINGS_SQL}), g AS ({o.generic_values()}) "
+    "SELECT p.rule_mapping_id, p.source_table, COALESCE(p.dq_category, g.dq_category) AS \"DQ_CATEGORY\" "
+    "FROM p JOIN g ON p.generic_rule_desc_short = g.generic_rule_desc_short",
+)
+def effective_category(spark, sf_dir):
+    rules = reports.with_catalogue(g.mappings(spark, sf_dir), g.catalogue(spark), None)
+    return rules.select("rule_mapping_id", "source_table", "DQ_CATEGORY")
+
+
+@register(
+    "a07_last_run",
+    f"{o.history()} SELECT dq_rule_no, strftime(MAX(dq_execution_timestamp), '%Y-%m-%d %H:%M') AS last_run "
+    "FROM log GROUP BY dq_rule_no",
+)
+def last_run(spark, sf_dir):
+    newest = F.date_format(F.max(TS), "yyyy-MM-dd HH:mm")
+    return audit_log(spark, sf_dir).groupBy("dq_rule_no").agg(newest.alias("last_run"))
+
+
+@register(
+    "f03_entity_filter",
+    f"SELECT rule_mapping_id, dq_rule_no, active FROM ({g.MAPPINGS_SQL}) AS p WHERE source_table = 'customer_gold'",
+)
+def entity_filter(spark, sf_dir):
+    """Retired mappings stay in the reports."""
+    rows = reports.of_entity(g.mappings(spark, sf_dir), "customer_gold")
+    return rows.select("rule_mapping_id", "dq_rule_no", "active")
+
+
+@register(
+    "f04_breach_predicate",
+    f"{o.history()} SELECT r.dq_run_id, r.dq_rule_no FROM log r JOIN m ON r.dq_rule_no = m.dq_rule_no "
+    f"JOIN g ON m.generic_rule_desc_short = g.generic_rule_desc_short WHERE {o.REL} > 0 "
+    f"AND {o.pct(o.POS, o.REL)} < m.threshold_pct",
+)
+def breach_predicate(spark, sf_dir):
+    log, mappings, generic = report_tables(spark, sf_dir)
+    breaches = reports.rule_detail(log, mappings, generic).where(
+        (F.col(RELEVANT) > 0) & (F.col("PASS_PCT") < F.col("threshold_pct"))
+    )
+    return breaches.select("dq_run_id", "dq_rule_no")
+
+
 @register("p01_customer_pack", _counts_sql("customer_gold"))
 def customer_pack(spark, sf_dir):
     return counted(spark, sf_dir, "customer_gold")
@@ -534,15 +605,25 @@ def j02(spark, sf_dir):
 
 
 @register(
-    "j03_latest_run_rows",
+    "f05_latest_run_rows",
     f"{o.history()} SELECT r.dq_run_id, r.dq_rule_no, r.dq_execution_timestamp FROM log r "
-    f"WHERE {o._scope('orders_gold', True).split(' AND ', 1)[1]}",
+    f"WHERE {o.LATEST.format(entity='orders_gold')}",
 )
-def j03(spark, sf_dir):
+def f05(spark, sf_dir):
     log, mappings, _ = report_tables(spark, sf_dir)
     return naive_ts(reports.latest_run(log, mappings, "orders_gold").select("dq_run_id", "dq_rule_no", TS))
 
 
+@register(
+    "j03_latest_timestamp",
+    f"{o.history()} SELECT MAX(r.dq_execution_timestamp) AS dq_execution_timestamp FROM log r "
+    "JOIN m ON r.dq_rule_no = m.dq_rule_no WHERE m.source_table = 'orders_gold'",
+)
+def j03(spark, sf_dir):
+    log, mappings, _ = report_tables(spark, sf_dir)
+    return naive_ts(reports.latest_timestamp(log, mappings, "orders_gold"))
+
+
 @register(
     "l04_latest_entries",
     f"{o.history()} SELECT dq_run_id, dq_execution_timestamp, dq_rule_no, dq_number_relevant_records, "
