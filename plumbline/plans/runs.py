@@ -58,7 +58,7 @@ def run_entity(
     from its result column alone, grouped into its few distinct patterns. The
     log is appended last, so a run that fails leaves no trace in it.
     """
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     program = load_program(store.read(RULE_MAPPINGS), store.catalog, store.schema, entity)
     if use_templates:
         program = with_templates(program, store.read(RULES_GENERIC), as_of)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.functions.scores import pass_pct
 from plumbline.operators.counts import POSITIVE, RELEVANT
@@ -14,6 +15,11 @@ from plumbline.schemas import RESULTS, RESULTS_SCHEMA
 from plumbline.sources.store import Store
 
 
+def run_instant(run_ts: dt.datetime) -> Column:
+    """The run's timestamp; without a zone it is read in the session's."""
+    return F.lit(run_ts if run_ts.tzinfo else run_ts.isoformat(sep=" ")).cast("timestamp")
+
+
 def append_run(store: Store, run_ts: dt.datetime, counts: Sequence[tuple[str, int, int]]) -> None:
     """Append (rule number, relevant, passing) of one run, numbered on from the log.
 
@@ -24,12 +30,14 @@ def append_run(store: Store, run_ts: dt.datetime, counts: Sequence[tuple[str, in
         return
     log = store.read(RESULTS)
     rules = [c[0] for c in counts]
-    same_run = (F.col("dq_execution_timestamp") == F.lit(run_ts)) & F.col("dq_rule_no").isin(rules)
+    same_run = (F.col("dq_execution_timestamp") == run_instant(run_ts)) & F.col("dq_rule_no").isin(rules)
     start, seen = log.agg(F.coalesce(F.max("dq_run_id"), F.lit(0)), F.count_if(same_run)).first()
     if seen:
         raise ValueError(f"run {run_ts} is already in the audit log")
-    rows = [(start + i, run_ts, rule, rel, pos) for i, (rule, rel, pos) in enumerate(counts, 1)]
-    store.append(RESULTS, store.spark.createDataFrame(rows, RESULTS_SCHEMA))
+    rows = [(start + i, rule, rel, pos) for i, (rule, rel, pos) in enumerate(counts, 1)]
+    schema = StructType([f for f in RESULTS_SCHEMA if f.name != "dq_execution_timestamp"])
+    run = store.spark.createDataFrame(rows, schema)
+    store.append(RESULTS, run.withColumn("dq_execution_timestamp", run_instant(run_ts)))
 
 
 def latest_entries(log: DataFrame, n: int = 30) -> DataFrame:

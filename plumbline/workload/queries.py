@@ -484,7 +484,7 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     of_customers = counted(spark, sf_dir, "customer_gold").select(
         (F.col("rule_mapping_id") + e.CUSTOMER_RUN_ID_BASE).alias("dq_run_id"),
-        F.lit(dt.datetime.fromisoformat(e.CUSTOMER_RUN_TS)).cast("timestamp").alias(TS),
+        F.lit(e.CUSTOMER_RUN_TS).cast("timestamp").alias(TS),
         "dq_rule_no", RELEVANT, POSITIVE,
     )
     return of_orders.unionByName(of_customers)

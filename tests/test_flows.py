@@ -328,3 +328,18 @@ def test_rule_numbers_with_quotes(spark):
     program = [RuleMapping(1, "it's a \\ rule", "RULE_3_NUMERIC_NOT_NULL", "v")]
     df = spark.createDataFrame([(1,)], "v int")
     assert rule_counts(apply_rules(df, program, keep=[]), program).first().dq_rule_no == "it's a \\ rule"
+
+
+def test_run_timestamps_and_time_zones(spark, store):
+    store.create_registry()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        naive, aware = dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 13, tzinfo=dt.timezone.utc)
+        append_run(store, naive, [("a", 1, 1)])
+        with pytest.raises(ValueError):
+            append_run(store, aware, [("a", 1, 1)])  # the same instant
+        text = F.date_format("dq_execution_timestamp", "yyyy-MM-dd HH:mm")
+        assert store.read(RESULTS).select(text).first()[0] == "2024-01-01 08:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
