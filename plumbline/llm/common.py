@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word: a run of characters other than the six ASCII blanks. ``bytes.split()`` cuts at the same six.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -27,6 +30,11 @@ def without(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in named])
 
 
+def extended(df: DataFrame, added: str) -> StructType:
+    """The schema of ``df`` with further fields."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most_bytes`` of ``column``, one row at least: bounds what Python holds."""
     for batch in batches:
@@ -42,3 +50,32 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
                 start, held = i, 0
             held += size
         yield batch.slice(start)
+
+
+def text_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts in one array and where each begins, with the end last. Nulls are empty."""
+    values = pa.compute.fill_null(values, "").cast(pa.large_string())
+    _, places, data = values.buffers()
+    offsets = np.frombuffer(places, np.int64)[values.offset : values.offset + len(values) + 1]
+    begin, end = (int(offsets[0]), int(offsets[-1])) if len(offsets) else (0, 0)
+    raw = np.frombuffer(data, np.uint8)[begin:end] if data is not None else np.zeros(0, np.uint8)
+    return raw, offsets - begin
+
+
+def per_batch(df: DataFrame, function, schema: str, column: str = "text") -> DataFrame:
+    """``mapInArrow`` with ``function(batch) -> dict of columns`` over slices of bounded size."""
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in small_batches(batches, column):
+            out = function(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
+def to_arrow_schema(schema: str) -> pa.Schema:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
+             "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+             "array<double>": pa.list_(pa.float64())}
+    return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])

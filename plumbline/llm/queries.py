@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from plumbline.llm import mixing, sharding
+from plumbline.llm import chat, licenses, mixing, pieces, pivots, quality, sharding, sketches, toxicity
 
 QUERIES = {
+    "op1_line_crf": quality.op1_line_crf,
+    "op2_setsketch": sketches.op2_setsketch,
+    "op3_license_scan": licenses.op3_license_scan,
+    "op5_prefix_tree": chat.op5_prefix_tree,
+    "op6_pieces": pieces.op6_pieces,
+    "op7_pivot_index": pivots.op7_pivot_index,
+    "op8_bigru": toxicity.op8_bigru,
     "op9_uniform_shards": sharding.op9_uniform_shards,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
 
 ORACLE_SQL = {
+    "op5_prefix_tree": chat.OP5_SQL,
+    "op2_setsketch": sketches.OP2_SQL,
+    "op7_pivot_index": pivots.OP7_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
 }

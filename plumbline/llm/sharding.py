@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import without
+from plumbline.llm.common import table, without
 from plumbline.sources.staging import materialise
 
 OUT = ["shard", "slot"]
@@ -107,8 +107,6 @@ def sized(documents: DataFrame) -> DataFrame:
 
 
 def op9_uniform_shards(spark, sf_dir: str) -> DataFrame:
-    from plumbline.llm.common import table
-
     rows = sized(table(spark, sf_dir, "documents"))
     placed = shuffle_into_shards(rows, [F.col("doc_id")])
     return placed.select(

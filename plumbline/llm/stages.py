@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing
+from plumbline.llm import mixing, pieces, quality
 from plumbline.llm.common import table
 
 
@@ -23,3 +23,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     md5 = F.md5(F.coalesce("text", F.lit("")))
     joined = docs.join(due, F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (md5 == F.col("_llm_md5")))
     return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_llm_times"))).alias("_llm_pass")).drop("_llm_pass")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    model = quality.fit_on(docs, table(spark, sf_dir, "labels"))
+    return quality.judge_quality(docs, model).where("kept").select(*docs.columns)
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with the digests of its ids and of the text they give back."""
+    return pieces.digests(pieces.encode_documents(docs), *docs.columns)
