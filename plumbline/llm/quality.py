@@ -96,6 +96,10 @@ def measure(texts) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.nd
     return base | {"n_dup_lines": n_dup, "n_repeat_words": n_rep}, features, words[used], in_text[used]
 
 
+def fails_base(base: dict[str, np.ndarray]) -> np.ndarray:
+    return (base["n_words"] < LEAST_WORDS) | (100 * base["n_repeat_words"] > MOST_REPEATED * base["n_words"])
+
+
 def viterbi(lean: list[float], change: list[list[float]], first: list[float]) -> list[int]:
     """The best path of two states; ``lean`` is what a line gives state 1 over state 0. Ties go to state 0."""
     (t00, t01), (t10, t11) = change
@@ -123,11 +127,15 @@ def fit(features: np.ndarray, runs: np.ndarray, poor: np.ndarray, rounds: int =
     """
     if not len(poor) or poor.all() or not poor.any():
         return PRIOR
+    scale = np.where(features.std(0) > 0, features.std(0), 1.0)
+    features = features / scale
     w = np.zeros(features.shape[1])
     weight = np.where(poor, 0.5 / poor.mean(), 0.5 / (1 - poor.mean()))
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-features @ w))
-        w -= 2.0 * (features.T @ (weight * (p - poor)) / len(poor) + decay * w)
+    for _ in range(25):  # Newton's steps
+        p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
+        slope = features.T @ (weight * (p - poor)) / len(poor) + decay * w
+        bend = (features * (weight * p * (1 - p))[:, None]).T @ features / len(poor) + decay * np.eye(len(w))
+        w -= np.linalg.solve(bend, slope)
     label = (poor & (features @ w > 0)).astype(int)
 
     order, lengths = np.unique(runs, return_counts=True)
@@ -172,20 +180,23 @@ def fit(features: np.ndarray, runs: np.ndarray, poor: np.ndarray, rounds: int =
         ]) / n + decay * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return {"weights": theta[:k].tolist(), "change": theta[k : k + 4].reshape(2, 2).tolist(), "first": theta[k + 4 :].tolist()}
+    return {"weights": (theta[:k] / scale).tolist(), "change": theta[k : k + 4].reshape(2, 2).tolist(), "first": theta[k + 4 :].tolist()}
 
 
 def fit_on(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
     """Fit on at most ``sample_docs`` labelled documents, those with the smallest hash of their id; whole texts.
 
-    Without labels of both kinds the fixed `PRIOR` is used.
+    Documents that the base rules reject anyway teach nothing about lines and are left out. Without lines of both
+    labels the fixed `PRIOR` is used.
     """
     chosen = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_llm_q"))
     chosen = chosen.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample_docs).withColumnRenamed("doc_id", "_llm_id")
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_llm_id"))
 
     def lines(batch):
-        _, features, _, in_text = measure(batch.column("text"))
+        base, features, _, in_text = measure(batch.column("text"))
+        judged = ~fails_base(base)[in_text]
+        features, in_text = features[judged], in_text[judged]
         quality = np.array(batch.column("_llm_q").to_pylist(), float)
         ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
         place = np.arange(len(in_text)) - np.searchsorted(in_text, in_text)
@@ -223,7 +234,7 @@ def judge_quality(documents: DataFrame, model: dict, least_content: float = LEAS
                 path = viterbi(lean[cuts[i] : cuts[i + 1]], change, first)
                 content[i] = words[cuts[i] : cuts[i + 1]][np.array(path, int) == 0].sum()
             share = content / np.maximum(base["n_words"], 1)
-            failed = (base["n_words"] < LEAST_WORDS) | (100 * base["n_repeat_words"] > MOST_REPEATED * base["n_words"])
+            failed = fails_base(base)
             out = base | {"base_failed": failed, "kept": ~failed & (share >= least_content), "n_lines": lines.astype(np.int64), "content_words": content, "content_share": share}
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(out[name]) for name in OUT]], names=[*batch.schema.names, *OUT]

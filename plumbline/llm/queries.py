@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from plumbline.llm import chat, licenses, mixing, pieces, pivots, quality, sharding, sketches, toxicity
+from plumbline.llm import chat, licenses, mixing, pieces, pivots, quality, sharding, sketches, suffix, toxicity
 
 QUERIES = {
     "op1_line_crf": quality.op1_line_crf,
     "op2_setsketch": sketches.op2_setsketch,
     "op3_license_scan": licenses.op3_license_scan,
+    "op4_suffix_array": suffix.op4_suffix_array,
     "op5_prefix_tree": chat.op5_prefix_tree,
     "op6_pieces": pieces.op6_pieces,
     "op7_pivot_index": pivots.op7_pivot_index,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_suffix_array": suffix.op4_suffix_array,
     "op5_prefix_tree": chat.OP5_SQL,
     "op2_setsketch": sketches.OP2_SQL,
     "op7_pivot_index": pivots.OP7_SQL,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing, pieces, quality
+from plumbline.llm import mixing, pieces, quality, sketches, suffix
 from plumbline.llm.common import table
 
 
@@ -34,3 +34,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with the digests of its ids and of the text they give back."""
     return pieces.digests(pieces.encode_documents(docs), *docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near copies; documents without an id stay."""
+    gone = sketches.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated strings; characters that lost a byte go whole, ``n_chars`` follows."""
+    gone = suffix.remove_repeats(docs).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
+    joined = docs.join(gone, suffix.text_key() == F.col("_llm_key"), "left")
+    changed = {"text": F.coalesce("_llm_kept", "text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_llm_kept").isNull(), F.col("n_chars")).otherwise(F.length("_llm_kept").cast("long"))
+    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
