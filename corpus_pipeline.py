@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm.stages import mixing_stage
+from plumbline.llm.stages import encode_stage, mixing_stage, near_dedup_stage, passage_stage, quality_stage
 from plumbline.sources.staging import scratch_path
 
 STAGES = [
+    ("quality rules", quality_stage),
+    ("MinHash near-dedup", near_dedup_stage),
+    ("suffix-array dedup", passage_stage),
     ("mixing sources to target weights", mixing_stage),
+    ("SentencePiece encoding and decoding", encode_stage),
 ]
 
 #: Viterbi paths, sketches and subword merges are not SQL; tests hold each stage against a plain version.
