@@ -79,3 +79,24 @@ def to_arrow_schema(schema: str) -> pa.Schema:
              "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
              "array<double>": pa.list_(pa.float64())}
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Batches of a sorted partition, cut so that no group of integer ``keys`` spans two, and where groups begin in
+    each, with its end last. What is held is a batch and the group at its end."""
+
+    def begins(batch: pa.RecordBatch) -> list[int]:
+        marks = np.column_stack([batch.column(k).to_numpy() for k in keys])
+        return [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1).tolist()]
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = batch if held is None else pa.concat_batches([held, batch])
+        cuts = begins(batch)
+        held = batch.slice(cuts[-1])
+        if cuts[-1]:
+            yield batch.slice(0, cuts[-1]), cuts
+    if held is not None:
+        yield held, [0, held.num_rows]

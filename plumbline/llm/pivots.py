@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import per_batch, table, to_arrow_schema
+from plumbline.llm.common import per_batch, table, to_arrow_schema, whole_groups
 from plumbline.llm.components import connected_components
 from plumbline.sources.staging import materialise
 
@@ -87,9 +87,8 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _work(rows: list[pa.RecordBatch], least: float) -> dict[str, list]:
+def _work(batch: pa.RecordBatch, least: float) -> dict[str, list]:
     """One piece of work: two blocks of a list (or one with itself) against each other."""
-    batch = pa.Table.from_batches(rows).combine_chunks()
     part = batch.column("part").to_numpy()
     point, i, j = (batch.column(c)[0].as_py() for c in ("point", "i", "j"))
     keys = np.array(batch.column("class").to_pylist(), object)
@@ -165,19 +164,9 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     arrow = to_arrow_schema("class binary, n bigint, root binary")
 
     def compare(batches):
-        held, key = [], None
-        for batch in batches:
-            marks = np.column_stack([batch.column(c).to_numpy() for c in unit_of_work])
-            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1).tolist(), len(marks)]
-            for begin, end in zip(cuts, cuts[1:]):
-                if begin == end:
-                    continue
-                if held and tuple(marks[begin]) != key:
-                    yield pa.RecordBatch.from_pydict(_work(held, least), schema=arrow)
-                    held = []
-                held, key = [*held, batch.slice(begin, end - begin)], tuple(marks[begin])
-        if held:
-            yield pa.RecordBatch.from_pydict(_work(held, least), schema=arrow)
+        for batch, cuts in whole_groups(batches, unit_of_work):
+            for a, b in zip(cuts, cuts[1:]):
+                yield pa.RecordBatch.from_pydict(_work(batch.slice(a, b - a), least), schema=arrow)
 
     placed = work.repartition(*unit_of_work).sortWithinPartitions(*unit_of_work)
     found, _ = materialise(placed.mapInArrow(compare, "class binary, n bigint, root binary"))

@@ -5,13 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BLANKS, per_batch, small_batches, table, text_bytes
+from plumbline.llm.common import BLANKS, per_batch, small_batches, table, text_bytes, whole_groups
 from plumbline.llm.components import connected_components
 from plumbline.sources.staging import materialise
 
@@ -146,12 +145,17 @@ def star_candidates(bands: DataFrame) -> DataFrame:
 def block_candidates(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
     """Pairs of unlike components that share a bucket and whose estimate passes.
 
-    Only buckets that still hold several components count. Their members are split into blocks; a piece of work holds
-    two blocks of a bucket, compares the registers in memory and returns only pairs that pass.
+    Only buckets whose members besides the smallest (which has been tried against all) are still in several components
+    count. These members are split into blocks; a piece of work holds two blocks of a bucket, compares the registers in
+    memory and returns only pairs that pass.
     """
     named = bands.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    open_ = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
-    members = named.join(open_.where("x < y").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("parts")), "bucket")
+    spread = named.groupBy("bucket").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"), F.min("id").alias("centre")
+    ).where("n > 2 and x < y")
+    members, _ = materialise(named.join(spread.select("bucket", "centre"), "bucket").where("id > centre").drop("centre"))
+    open_ = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
+    members = members.join(open_.where("x < y").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("parts")), "bucket")
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     members = members.withColumn("part", part).withColumn("other", other)
@@ -160,26 +164,31 @@ def block_candidates(bands: DataFrame, sets: DataFrame, labels: DataFrame, perce
     ).join(sets.select("id", "n_shingles", "sketch"), "id")
     least = least_estimate(percent)
 
-    def compare(rows):
-        if len(rows) < 2:
-            return rows.iloc[:0][["id", "label"]].rename(columns={"id": "a", "label": "b"})
-        rows = rows.sort_values("id", ignore_index=True)
-        k = np.stack([np.frombuffer(s, np.uint16) for s in rows["sketch"]])
-        n, label, ids, part = (rows[c].to_numpy() for c in ("n_shingles", "label", "id", "part"))
-        i, j = rows["i"].iat[0], rows["j"].iat[0]
-        left, right = (np.flatnonzero(part == i), np.flatnonzero(part == j))
-        found = []
+    def pairs(ids, label, n, part, k, i, j) -> list[tuple[int, int]]:
+        left, right, found = np.flatnonzero(part == i), np.flatnonzero(part == j), []
         for x in left:
             ys = right[(label[right] != label[x]) & ((i != j) | (right > x))]
-            ratio = np.minimum(n[ys], n[x]) / np.maximum(n[ys], n[x])
-            ys = ys[100 * ratio >= percent]
+            ys = ys[100 * np.minimum(n[ys], n[x]) >= percent * np.maximum(n[ys], n[x])]
             if len(ys):
                 above, below = (k[x] > k[ys]).sum(1), (k[x] < k[ys]).sum(1)
                 near = estimate(np.full(len(ys), float(n[x])), n[ys].astype(float), above, below) >= least
                 found += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in ys[near]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return work.groupBy("bucket", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+        return found
+
+    def compare(batches):
+        for batch, cuts in whole_groups(batches, unit):
+            ids, label, n, part, i, j = (batch.column(c).to_numpy() for c in ("id", "label", "n_shingles", "part", "i", "j"))
+            k = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            found = []
+            for a, b in zip(cuts, cuts[1:]):
+                if b - a > 1 and (label[a:b] != label[a]).any():
+                    found += pairs(ids[a:b], label[a:b], n[a:b], part[a:b], k[a:b], i[a], j[a])
+            found = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    unit = ["bucket", "i", "j"]
+    placed = work.repartition(*unit).sortWithinPartitions(*unit, "id")
+    return placed.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
