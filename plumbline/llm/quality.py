@@ -118,7 +118,7 @@ def viterbi(lean: list[float], change: list[list[float]], first: list[float]) ->
     return path[::-1]
 
 
-def fit(features: np.ndarray, runs: np.ndarray, poor: np.ndarray, rounds: int = 300, rate: float = 0.1, decay: float = 1e-3) -> dict:
+def fit(features: np.ndarray, runs: np.ndarray, poor: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 1e-3) -> dict:
     """Fit the chain by conditional likelihood.
 
     Labels are of documents, not of lines, so lines are labelled in two steps: a logistic model of lines against their

@@ -11,14 +11,20 @@ from plumbline.llm.common import extended, small_batches, table, without
 from plumbline.llm.licenses import words_of
 
 WINDOW, STRIDE = 32, 16
-HIDDEN, EMBED, GRAMS, ATTEND = 8, 8, 2048, 8
+HIDDEN, EMBED, ATTEND = 8, 8, 8
+#: Vectors of hashed byte runs, of three bytes anywhere and of so many bytes at a word's start.
+GRAMS, STARTS, START_BYTES = 2048, 8192, (4, 5, 6, 7)
 #: Labelled documents the network is fitted on, by label: those with the smallest hash of their id.
 SAMPLE_TOXIC, SAMPLE_OTHER = 1000, 2000
 #: Words of the sample that get a vector of their own: they stand in so many of its documents at least.
-LEAST_DOCS = 2
+LEAST_DOCS = 3
 THRESHOLD = 0.3
 HELD_OUT_OF, HELD_OUT = 4, 2
-EPOCHS, WARM, BATCH, RATE = 24, 6, 64, 0.01
+EPOCHS, WARM, BATCH, RATE = 12, 1, 64, 0.01
+#: Share of the words whose own vector a step of the fit leaves out, so that character runs and context count too.
+LEFT_OUT = 0.3
+#: How fast the vectors of byte runs fade when nothing asks for them.
+FADING = 0.1
 #: Words whose inputs a worker keeps between texts.
 CACHE = 200_000
 OUT = ["held_out", "score", "predicted"]
@@ -36,20 +42,37 @@ def gram_codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes[inside].astype(np.int64), begins - 2 * np.arange(len(words))
 
 
+def start_codes(words: list[bytes]) -> np.ndarray:
+    """Hashes of each word's first bytes, (word, length of the run); 0 where the word is shorter."""
+    raw = np.frombuffer(b"".join(b"^" + w + b"$" for w in words), np.uint8).astype(np.uint32)
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    codes, running = np.zeros((len(words), len(START_BYTES)), np.int64), np.zeros(len(words), np.uint32)
+    for k in range(max(START_BYTES)):
+        there = lengths > k
+        running[there] = running[there] * np.uint32(16777619) + raw[begins[there] + k]
+        if k + 1 in START_BYTES:
+            hashed = (running ^ running >> np.uint32(15)) * np.uint32(2654435761) >> np.uint32(7)
+            codes[there, START_BYTES.index(k + 1)] = hashed[there] % (STARTS - 1) + 1
+    return codes
+
+
 class Network:
     """Parameters, and the passes over windows of words.
 
-    A word enters by its own vector (zero for unknown words) and by the mean vector of its character runs. Each
-    direction has gates z, r and candidate n; states of both are pooled by attention into one vector, then a logit.
+    A word enters by its own vector (zero for unknown words), by the mean vector of its runs of three bytes and by the
+    sum of the vectors of its starts. Each direction has gates z, r and candidate n; states of both are pooled by
+    attention into one vector, then a logit.
     """
 
     def __init__(self, vocabulary: list[bytes], seed: int = 3, dtype=np.float32):
         rng = np.random.default_rng(seed)
-        h, d = HIDDEN, 2 * EMBED
-        shapes = {"own": (len(vocabulary) + 1, EMBED), "gram": (GRAMS, EMBED), "into": (2, d, 3 * h), "bias": (2, 3 * h),
+        h, d = HIDDEN, 3 * EMBED
+        shapes = {"own": (len(vocabulary) + 1, EMBED), "gram": (GRAMS, EMBED), "start": (STARTS, EMBED), "into": (2, d, 3 * h), "bias": (2, 3 * h),
                   "again": (2, h, 3 * h), "look": (2 * h, ATTEND), "ask": (ATTEND,), "out": (2 * h,), "base": (1,)}
-        scale = {"own": 0.0, "gram": 0.1, "into": d**-0.5, "again": h**-0.5, "look": (2 * h) ** -0.5, "ask": ATTEND**-0.5, "out": (2 * h) ** -0.5}
+        scale = {"own": 0.0, "gram": 0.0, "start": 0.0, "into": d**-0.5, "again": h**-0.5, "look": (2 * h) ** -0.5, "ask": ATTEND**-0.5, "out": (2 * h) ** -0.5}
         self.p = {k: (rng.standard_normal(s) * scale.get(k, 0.0)).astype(dtype) for k, s in shapes.items()}
+        self.p["start"][0] = 0
         self.rows = {w: i + 1 for i, w in enumerate(vocabulary)}
 
     def inputs(self, words: list[bytes]) -> np.ndarray:
@@ -58,7 +81,7 @@ class Network:
         counts = np.diff(np.append(begins, len(codes)))
         gram = np.add.reduceat(self.p["gram"][codes], begins) / counts[:, None].astype(self.p["gram"].dtype)
         own = self.p["own"][[self.rows.get(w, 0) for w in words]]
-        x = np.concatenate([own, gram], 1)
+        x = np.concatenate([own, gram, self.p["start"][start_codes(words)].sum(1)], 1)
         return np.einsum("wd,kdg->wkg", x, self.p["into"], optimize=True) + self.p["bias"]
 
     def forward(self, added: np.ndarray, mask: np.ndarray, keep: bool = False):
@@ -140,14 +163,21 @@ def window_index(counts: list[int], ids: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> Network:
     """Fit on whole texts. A text is as toxic as its most toxic window: after ``WARM`` rounds, in which a window drawn
-    from each text stands for it, each round finds every text's highest window and fits those."""
+    from each text stands for it, each round finds every text's highest window and fits those. A word's own vector
+    begins with how much more often it stands in toxic texts, shrunk towards no difference."""
     rng = np.random.default_rng(seed)
     split = [words_of(t) for t in texts]
     docs_with: dict[bytes, int] = {}
-    for words in split:
+    toxic_with: dict[bytes, int] = {}
+    for words, bad in zip(split, toxic.tolist()):
         for w in set(words):
             docs_with[w] = docs_with.get(w, 0) + 1
+            toxic_with[w] = toxic_with.get(w, 0) + bad
     net = Network(sorted(w for w, n in docs_with.items() if n >= LEAST_DOCS), seed)
+    prior = 2 * toxic.mean()
+    for w, row in net.rows.items():
+        odds = (toxic_with[w] + prior) / (docs_with[w] - toxic_with[w] + 2 - prior)
+        net.p["own"][row, 0] = np.log(odds * (2 - prior) / prior) / 4
     distinct = sorted(docs_with) or [b""]
     number = {w: i for i, w in enumerate(distinct)}
     ids = np.fromiter((number[w] for words in split for w in words), np.int64)
@@ -157,8 +187,8 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     codes, begins = gram_codes(distinct)
     ends = np.append(begins[1:], len(codes))
     own_rows = np.array([net.rows.get(w, 0) for w in distinct])
+    starts = start_codes(distinct)
     label = toxic.astype(np.float32)
-    weight = np.where(toxic, 0.5 / max(toxic.mean(), 1e-9), 0.5 / max(1 - toxic.mean(), 1e-9)).astype(np.float32)
     m, v, step = {}, {}, 0
     for epoch in range(epochs):
         if epoch < WARM:
@@ -178,24 +208,28 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
             picked = codes[np.repeat(begins[words] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())]
             gram = np.zeros((len(words), EMBED), np.float32)
             np.add.at(gram, spread, net.p["gram"][picked] / sizes[spread, None].astype(np.float32))
-            x = np.concatenate([net.p["own"][own_rows[words]], gram], 1)
+            own = (rng.random((len(words), 1)) >= LEFT_OUT).astype(np.float32)
+            x = np.concatenate([net.p["own"][own_rows[words]] * own, gram, net.p["start"][starts[words]].sum(1)], 1)
             added = (np.einsum("wd,kdg->wkg", x, net.p["into"], optimize=True) + net.p["bias"])[where.reshape(rows.shape)]
             logit, tape = net.forward(added, used, True)
-            d_logit = (weight[docs] * (1 / (1 + np.exp(-logit)) - label[docs]) / len(docs)).astype(np.float32)
+            d_logit = ((1 / (1 + np.exp(-logit)) - label[docs]) / len(docs)).astype(np.float32)
             g, d_added = net.gradients(added, used, d_logit, tape)
             d_word = np.zeros((len(words), 2, 3 * HIDDEN), np.float32)
             np.add.at(d_word, where.ravel(), d_added.reshape(-1, 2, 3 * HIDDEN))
             g["bias"], g["into"] = d_word.sum(0), np.einsum("wd,wkg->kdg", x, d_word, optimize=True)
             d_x = np.einsum("wkg,kdg->wd", d_word, net.p["into"], optimize=True)
-            g["own"], g["gram"] = np.zeros_like(net.p["own"]), np.zeros_like(net.p["gram"])
-            np.add.at(g["own"], own_rows[words], d_x[:, :EMBED])
+            g |= {k: np.zeros_like(net.p[k]) for k in ("own", "gram", "start")}
+            np.add.at(g["own"], own_rows[words], d_x[:, :EMBED] * own)
             g["own"][0] = 0
-            np.add.at(g["gram"], picked, (d_x[:, EMBED:] / sizes[:, None])[spread])
+            np.add.at(g["gram"], picked, (d_x[:, EMBED : 2 * EMBED] / sizes[:, None])[spread])
+            np.add.at(g["start"], starts[words], np.repeat(d_x[:, None, 2 * EMBED :], len(START_BYTES), 1))
+            g["start"][0] = 0
             step += 1
             for k, grad in g.items():
                 m[k] = 0.9 * m.get(k, 0) + 0.1 * grad
                 v[k] = 0.999 * v.get(k, 0) + 0.001 * grad**2
-                net.p[k] = (net.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+                fading = FADING * rate if k in ("gram", "start") else 0.0
+                net.p[k] = ((1 - fading) * net.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return net
 
 
