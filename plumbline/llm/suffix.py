@@ -171,6 +171,7 @@ def _induce(text: np.ndarray, smaller: np.ndarray, order: np.ndarray, counts: np
             done = tail[c]
             push_back(wave)
         push_back(out[starts[c] : larger_end[c]][::-1])
+    out[0] = n - 1  # the end mark, which no other suffix induces
     return out
 
 
