@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.rules import ROW_RULES, UNIQUE_RULE, split_fields
-from plumbline.operators.templates import fill_template
+from plumbline.operators.templates import fill_template, is_first_of_value
 from plumbline.packs import Pack
 
 
@@ -74,7 +74,10 @@ def pack_program(pack: Pack) -> list[RuleMapping]:
 def with_templates(
     program: Iterable[RuleMapping], generic: DataFrame, as_of: dt.date | str | None = None
 ) -> list[RuleMapping]:
-    """Give rule types without a built-in condition the SQL template of their catalogue row."""
+    """Give rule types without a built-in condition the SQL template of their catalogue row.
+
+    A template that asks for the first row of each value becomes the uniqueness rule.
+    """
     program = list(program)
     open_rules = sorted({m.rule for m in program if not (m.is_row_rule or m.is_unique_rule)})
     if not open_rules:
@@ -84,9 +87,13 @@ def with_templates(
         .select("generic_rule_desc_short", "rule_logic_template")
         .collect()
     )
-    return [
-        replace(m, template=fill_template(templates[m.rule], m.fields, as_of))
-        if templates.get(m.rule)
-        else m
-        for m in program
-    ]
+
+    def filled(m: RuleMapping) -> RuleMapping:
+        template = templates.get(m.rule)
+        if not template:
+            return m
+        if is_first_of_value(template) and len(m.fields) == 1:
+            return replace(m, rule=UNIQUE_RULE)
+        return replace(m, template=fill_template(template, m.fields, as_of))
+
+    return [filled(m) for m in program]

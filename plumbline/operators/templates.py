@@ -28,6 +28,16 @@ def fill_template(template: str, fields: Sequence[str], as_of: dt.date | str | N
     return filled
 
 
+_FIRST_OF_VALUE = re.compile(
+    r"\s*ROW_NUMBER\s*\(\s*\)\s*OVER\s*\(\s*PARTITION\s+BY\s+\{\w+\}\s+ORDER\s+BY\s+\{\w+\}\s*\)\s*=\s*1\s*", re.IGNORECASE
+)
+
+
+def is_first_of_value(template: str) -> bool:
+    """Whether a template asks for the first row of each value: the uniqueness rule, not a window over whole rows."""
+    return bool(_FIRST_OF_VALUE.fullmatch(template))
+
+
 def template_passes(sql: str) -> Column:
     """Pass condition of a filled template that yields 1 or 0, or true or false."""
     return F.expr(sql).cast("int") == 1

@@ -15,6 +15,9 @@ of its rows, so neither a window over whole rows nor a window per value is safe.
    position, and the wide rows are shuffled once, on a unique key.
 
 Long texts are grouped by their SHA-256, so keys have a bounded width.
+
+"First" follows the declared columns, then a digest of the row's own values, and
+only then its place in the table: rewriting or moving a table changes no count.
 """
 
 from __future__ import annotations
@@ -47,7 +50,12 @@ HOT_ROWS = 1_000_000
 LONG_TEXT_BYTES = 64
 MAX_CONCURRENT_COUNTS = 4
 
+# Bits of one word in the list of fields in which a row is a later duplicate.
+WORD_BITS = 62
+
 _KEY, _COUNT, _FIRST, _LATE = "_dq_key", "_dq_count", "_dq_first", "_dq_late"
+_IDENTITY = ("_dq_id_a", "_dq_id_b")
+_CONTENT = ("_dq_row_a", "_dq_row_b")
 
 
 def grouping_key(df: DataFrame, field: str) -> Column:
@@ -74,13 +82,27 @@ def _is_narrow(df: DataFrame, columns: Sequence[str]) -> bool:
     return all(isinstance(k, (NumericType, DatetimeType, BooleanType)) for k in kinds)
 
 
-def with_row_identity(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """The frame with columns that identify each of its rows, the same in every scan."""
-    if has_position(df):
-        return df, list(POSITION)
-    if order_by and _is_narrow(df, order_by) and is_key(df, order_by):
-        return df, list(order_by)
-    return stage_with_position(df), list(POSITION)
+def _digests(df: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Add a 128-bit digest of the columns, as two numbers."""
+    values = [column(c) for c in columns]
+    return df.select("*", *[F.xxhash64(F.lit(seed), *values).alias(name) for seed, name in enumerate(names)])
+
+
+def with_row_identity(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """The frame with columns that identify each of its rows, the same in every scan; and the order that settles
+    which row of a value comes first.
+
+    A declared order that is a key identifies rows by itself, by a digest where it holds texts. Otherwise a digest of
+    the row's values follows the declared order, and rows equal in all of them are told apart by their position.
+    """
+    if not has_position(df) and order_by and is_key(df, order_by):
+        if _is_narrow(df, order_by):
+            return df, list(order_by), list(order_by)
+        return _digests(df, order_by, _IDENTITY), list(_IDENTITY), [*order_by, *_IDENTITY]
+    own = [f.name for f in df.schema if f.name not in POSITION and "map<" not in f.dataType.simpleString()]
+    if not has_position(df):
+        df = stage_with_position(df)
+    return _digests(df, own, _CONTENT), list(POSITION), [*order_by, *_CONTENT, *POSITION]
 
 
 def mark_first(
@@ -92,11 +114,11 @@ def mark_first(
 ) -> tuple[DataFrame, dict[str, Column]]:
     """Per field, a Column that is true on the first row of each value.
 
-    "First" follows ``order_by`` and then the position in the table. The frame
-    returned carries the helper columns those Columns read.
+    "First" follows ``order_by``, the row's values and then its position in the
+    table. The frame returned carries the helper columns those Columns read.
     """
-    df, identity = with_row_identity(df, order_by)
-    order = list(dict.fromkeys([*order_by, *identity]))
+    df, identity, order = with_row_identity(df, order_by)
+    order = list(dict.fromkeys(order))
     fields = list(dict.fromkeys(fields))
     keys = {f: grouping_key(df, f) for f in fields}
     narrow_frames = [df.select(keys[f].alias(_KEY), *[column(c) for c in order]) for f in fields]
@@ -124,8 +146,9 @@ def mark_first(
     elif crowded:
         late = [_late_rows(narrow, hot, order, identity) for _, narrow, hot in crowded]
         marked = _join_late(marked, late, identity)
-        for bit, (field, _, _) in enumerate(crowded):
-            flags[field] = F.coalesce(F.getbit(F.col(_LATE), F.lit(bit)) == 0, F.lit(True))
+        for i, (field, _, _) in enumerate(crowded):
+            word, bit = divmod(i, WORD_BITS)
+            flags[field] = F.coalesce(F.getbit(F.col(f"{_LATE}_{word}"), F.lit(bit)) == 0, F.lit(True))
     return marked, flags
 
 
@@ -195,15 +218,18 @@ def _late_rows(
 
 
 def _join_late(marked: DataFrame, lists: Sequence[DataFrame], identity: Sequence[str]) -> DataFrame:
-    """Attach to each row the set of fields in which it is a later duplicate, as bits."""
-    if len(lists) > 63:
-        raise ValueError("more than 63 heavily repeated fields under a uniqueness rule")
-    bits = [rows.withColumn(_LATE, F.lit(1 << i).cast("long")) for i, rows in enumerate(lists)]
-    names = [f"_dq_late_{i}" for i in range(len(identity))]
+    """Attach to each row the set of fields in which it is a later duplicate, as bits of as many words as it takes."""
+    words = [f"{_LATE}_{w}" for w in range(-(-len(lists) // WORD_BITS))]
+    bits = [
+        rows.select("*", *[F.lit(1 << i % WORD_BITS if w == i // WORD_BITS else 0).cast("long").alias(word)
+                           for w, word in enumerate(words)])
+        for i, rows in enumerate(lists)
+    ]
+    names = [f"_dq_at_{i}" for i in range(len(identity))]
     late = (
         reduce(DataFrame.unionByName, bits)
         .groupBy(*[column(c) for c in identity])
-        .agg(F.bit_or(_LATE).alias(_LATE))
-        .select(*[column(c).alias(a) for c, a in zip(identity, names)], _LATE)
+        .agg(*[F.bit_or(word).alias(word) for word in words])
+        .select(*[column(c).alias(a) for c, a in zip(identity, names)], *words)
     )
     return marked.join(late, _all_same(identity, names), "left")

@@ -121,13 +121,34 @@ def test_float_values_group_as_equal(spark):
 
 
 def test_text_as_declared_order_is_not_broadcast(spark):
-    """A wide order column is no row identity; the rows get their position instead."""
+    """A text that is a key identifies rows by a digest of fixed width; nothing is copied to give them a position."""
     df = spark.createDataFrame([("x" * 500, 1), ("y" * 500, 1), ("z" * 500, 2)], "t string, v int")
     marked, flags = mark_first(df, ["v"], ["t"])
-    assert "_dq_row" in marked.columns
+    assert "_dq_id_a" in marked.columns and "_dq_row" not in marked.columns
     assert sorted(r.t[0] for r in marked.where(flags["v"]).collect()) == ["x", "z"]
 
 
 def test_nested_columns_are_refused(spark):
     with pytest.raises(ValueError, match="atomic"):
         mark_first(spark.createDataFrame([([1],)], "v array<int>"), ["v"])
+
+
+def test_layout_does_not_decide(spark, tmp_path):
+    """No declared order: one file or seven, the same rows come first."""
+    rows = spark.range(2000).select(F.expr("id % 400").alias("v"), F.expr("id % 3").alias("status"), F.col("id").alias("x"))
+    firsts = []
+    for files in (1, 7):
+        path = str(tmp_path / f"files{files}")
+        rows.orderBy(F.rand(files)).repartition(files).write.parquet(path)
+        marked, flags = mark_first(with_position(spark.read.parquet(path)), ["v"])
+        firsts.append(sorted(r.x for r in marked.where(flags["v"]).collect()))
+    assert firsts[0] == firsts[1] and len(firsts[0]) == 400
+
+
+def test_more_crowded_fields_than_a_word_has_bits(spark):
+    names = [f"c{i}" for i in range(64)]
+    df = spark.range(60).select("id", *[F.expr(f"(id + {i}) % {3 + i % 5}").alias(n) for i, n in enumerate(names)])
+    marked, flags = mark_first(df, names, ["id"], max_broadcast_keys=0)
+    got = marked.agg(*[F.count_if(flags[n]).alias(n) for n in names]).first()
+    assert list(got) == [3 + i % 5 for i in range(64)]
+    assert {r.id for r in marked.where(flags["c63"]).collect()} == by_window(df.withColumn("k", F.col("id")), "c63", ["id"])
