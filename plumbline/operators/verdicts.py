@@ -7,7 +7,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.functions.encoding import NOT_EVALUATED, encode_conditions
@@ -104,3 +104,38 @@ def enrich(
     )
     kept = judged.columns if keep is None else keep
     return judged.df.select(*[column(c) for c in kept], encoded.alias(RESULT_COLUMN))
+
+
+def enrich_counted(
+    df: DataFrame,
+    program: Sequence[RuleMapping],
+    as_of: dt.date | str | None = None,
+    order_by: Sequence[str] = (),
+    marker: str = NOT_EVALUATED,
+) -> tuple[DataFrame, Observation]:
+    """The enriched frame, and what its next action will have observed: ``n`` rows and, for the i-th rule, ``r{i}``
+    evaluated and ``p{i}`` passing ones.
+
+    Counting is part of the write: fixed counters per task, no second scan and nothing to shuffle.
+    """
+    judged = judge(df, program, as_of, order_by)
+    encoded = encode_conditions(
+        [(m.rule_mapping_id, passes) for m, passes in judged.conditions], judged.skipped, marker
+    )
+    in_scope = F.lit(True) if judged.skipped is None else ~judged.skipped
+    flags, counters = {}, [F.count(F.lit(1)).alias("n")]
+    for i, (_, passes) in enumerate(judged.conditions):
+        if passes is None:
+            counters += [F.count(F.lit(None)).alias(f"r{i}"), F.count(F.lit(None)).alias(f"p{i}")]
+            continue
+        flags[f"_dq_pass_{i}"] = F.coalesce(passes, F.lit(False))
+        counters += [
+            F.count(F.when(F.col("_dq_in_scope"), 1)).alias(f"r{i}"),
+            F.count(F.when(F.col("_dq_in_scope") & F.col(f"_dq_pass_{i}"), 1)).alias(f"p{i}"),
+        ]
+    kept = [column(c) for c in judged.columns]
+    counted = Observation()
+    rows = judged.df.select(
+        *kept, encoded.alias(RESULT_COLUMN), in_scope.alias("_dq_in_scope"), *[v.alias(n) for n, v in flags.items()]
+    ).observe(counted, *counters)
+    return rows.select(*kept, RESULT_COLUMN), counted

@@ -37,4 +37,5 @@ PACK = Pack(
     owner_dept="Dept. Master Data",
     owner_user="Mr. Alex Smith",
     rules=tuple(PackRule(*r) for r in _RULES),
+    order_by=("cust_id",),
 )

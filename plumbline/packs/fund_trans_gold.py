@@ -32,4 +32,5 @@ PACK = Pack(
     owner_user="Mr. Alex Smith",
     rules=tuple(PackRule(*r) for r in _RULES),
     new_generic_rules=TWO_COLUMN_RULES,
+    order_by=("cust_id",),
 )

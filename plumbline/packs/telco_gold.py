@@ -23,4 +23,5 @@ PACK = Pack(
     owner_user="Mrs. Elena Fischer",
     rules=tuple(PackRule(*r) for r in _RULES),
     exclude_columns=("_rescued_data",),
+    order_by=("cust_id",),
 )

@@ -18,5 +18,6 @@ def onboard(store: Store, pack: Pack, source: DataFrame, created_date: dt.date |
     extra = [r for r in pack.new_generic_rules if r not in ALL_RULES]
     register_rules(store, [*ALL_RULES, *extra], created_date)
     register_request(store, pack, created_date)
-    store.snapshot(source, pack.entity, pack.exclude_columns)
+    if store.snapshot(source, pack.entity, pack.exclude_columns) and pack.order_by:
+        store.set_order(pack.entity, pack.order_by)
     register_mappings(store, pack, created_date=created_date)

@@ -7,18 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from plumbline.functions.encoding import NOT_EVALUATED
-from plumbline.functions.scores import pass_pct
-from plumbline.operators.counts import POSITIVE, RELEVANT, result_patterns, rule_counts_from_results, run_summary
 from plumbline.operators.program import load_program, with_templates
 from plumbline.operators.validation import check_program
-from plumbline.operators.verdicts import enrich
+from plumbline.operators.verdicts import enrich_counted
 from plumbline.plans import reports
 from plumbline.schemas import RESULTS, RULE_MAPPINGS, RULES_GENERIC
-from plumbline.sources.audit import append_run
-from plumbline.sources.staging import materialise
+from plumbline.sources.audit import append_run, check_new_run
 from plumbline.sources.store import Store
 
 
@@ -42,62 +38,62 @@ class RunOutcome:
         )
 
 
+def percentage(passed: int, checks: int) -> float | None:
+    """Pass percentage, half up to two places, as the reports give it."""
+    if not checks:
+        return None
+    return (passed * 20_000 + checks) // (2 * checks) / 100
+
+
 def run_entity(
     store: Store,
     entity: str,
     as_of: dt.date | str | None = None,
     run_ts: dt.datetime | None = None,
     report_date: str | None = None,
-    order_by: Sequence[str] = (),
+    order_by: Sequence[str] | None = None,
     marker: str = NOT_EVALUATED,
     use_templates: bool = False,
 ) -> RunOutcome:
     """Apply an entity's active rules and append the counts to the audit log.
 
-    The enriched table is written in one pass over the entity. The counts come
-    from its result column alone, grouped into its few distinct patterns. The
-    log is appended last, so a run that fails leaves no trace in it.
+    The enriched table is written beside the old one in one pass over the entity,
+    which counts the verdicts as it goes. It takes the old one's place when it is
+    whole, and the log is appended last: a run that is refused or fails changes
+    neither. Which duplicate comes first is said by ``order_by``, else by what the
+    entity's pack declared, then by the rows' values.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     program = load_program(store.read(RULE_MAPPINGS), store.catalog, store.schema, entity)
     if use_templates:
         program = with_templates(program, store.read(RULES_GENERIC), as_of)
     check_program(program, store.read(entity).schema)
+    check_new_run(store, run_ts, [m.dq_rule_no for m in program])
+    if order_by is None:
+        order_by = store.order(entity)
 
     df = store.read_entity(entity, positions=any(m.is_unique_rule for m in program))
     out = f"{entity}_dq"
-    enriched = store.overwrite(out, enrich(df, program, as_of, order_by, marker))
-
-    patterns, _ = materialise(result_patterns(enriched))
-    totals = run_summary(patterns).first()
-    counts = rule_counts_from_results(patterns, program).orderBy("rule_mapping_id")
-    rules = [tuple(r) for r in counts.select("dq_rule_no", RELEVANT, POSITIVE).collect()]
+    enriched, counted = enrich_counted(df, program, as_of, order_by, marker)
+    staged = store.stage(out, enriched)
+    seen = counted.get
+    rules = [(m.dq_rule_no, seen[f"r{i}"], seen[f"p{i}"]) for i, m in enumerate(program)]
+    store.swap(staged, out)
     append_run(store, run_ts, rules)
+    checks, passed = sum(r[1] for r in rules), sum(r[2] for r in rules)
     return RunOutcome(
-        store.name(out), report_date or str(dt.date.today()), run_ts,
-        totals["total_rows"], totals["total_checks"] or 0, totals["passed_checks"] or 0,
-        totals["overall_dq_pct"], rules,
+        store.name(out), report_date or str(dt.date.today()), run_ts, seen["n"], checks, passed,
+        percentage(passed, checks), rules,
     )
 
 
 def entity_reports(store: Store, entity: str | None, latest: bool = False) -> dict[str, DataFrame]:
-    """The four reports of an entity, or of all of them."""
+    """The four reports of an entity, or of all of them; over all, the total counts every rule in the log."""
     results, mappings, generic = (store.read(t) for t in (RESULTS, RULE_MAPPINGS, RULES_GENERIC))
     return {
-        "overall": reports.overall(results, mappings, entity, latest),
+        "overall": reports.overall(results, mappings if entity else None, entity, latest),
         "by_category": reports.by_category(results, mappings, generic, entity, latest),
         "rule_detail": reports.rule_detail(results, mappings, generic, entity, latest),
         "breach_register": reports.breach_register(results, mappings, generic, entity, latest),
     }
 
-
-def outcome_line(summary: DataFrame, table: str) -> DataFrame:
-    """The run's outcome as one line of text, from its summary row."""
-    pct = pass_pct(F.col("passed_checks"), F.col("total_checks"))
-    return summary.select(
-        F.format_string(
-            f"SUCCESS: %d rows -> {table} | Overall DQ%%: %s%% (%d/%d checks)",
-            "total_rows", F.coalesce(pct.cast("string"), F.lit("None")),
-            F.coalesce("passed_checks", F.lit(0)), F.coalesce("total_checks", F.lit(0)),
-        ).alias("outcome")
-    )

@@ -20,6 +20,15 @@ def run_instant(run_ts: dt.datetime) -> Column:
     return F.lit(run_ts if run_ts.tzinfo else run_ts.isoformat(sep=" ")).cast("timestamp")
 
 
+def check_new_run(store: Store, run_ts: dt.datetime, rules: Sequence[str]) -> int:
+    """The log's highest run id; refuses a run whose timestamp the log already has for one of the rules."""
+    same_run = (F.col("dq_execution_timestamp") == run_instant(run_ts)) & F.col("dq_rule_no").isin(list(rules))
+    last, seen = store.read(RESULTS).agg(F.coalesce(F.max("dq_run_id"), F.lit(0)), F.count_if(same_run)).first()
+    if seen:
+        raise ValueError(f"run {run_ts} is already in the audit log")
+    return last
+
+
 def append_run(store: Store, run_ts: dt.datetime, counts: Sequence[tuple[str, int, int]]) -> None:
     """Append (rule number, relevant, passing) of one run, numbered on from the log.
 
@@ -28,12 +37,7 @@ def append_run(store: Store, run_ts: dt.datetime, counts: Sequence[tuple[str, in
     """
     if not counts:
         return
-    log = store.read(RESULTS)
-    rules = [c[0] for c in counts]
-    same_run = (F.col("dq_execution_timestamp") == run_instant(run_ts)) & F.col("dq_rule_no").isin(rules)
-    start, seen = log.agg(F.coalesce(F.max("dq_run_id"), F.lit(0)), F.count_if(same_run)).first()
-    if seen:
-        raise ValueError(f"run {run_ts} is already in the audit log")
+    start = check_new_run(store, run_ts, [c[0] for c in counts])
     rows = [(start + i, rule, rel, pos) for i, (rule, rel, pos) in enumerate(counts, 1)]
     schema = StructType([f for f in RESULTS_SCHEMA if f.name != "dq_execution_timestamp"])
     run = store.spark.createDataFrame(rows, schema)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from plumbline.schemas import REGISTRY_SCHEMAS
 from plumbline.sources.staging import with_position
 
 
+ORDER_PROPERTY = "plumbline.order_by"
+
+
 @dataclass(frozen=True)
 class Store:
     """Tables of one schema. ``table_format`` is any table format the cluster has."""
@@ -44,27 +48,58 @@ class Store:
         finds another row identity.
         """
         df = self.read(table)
-        if not positions:
-            return df
-        try:
-            return with_position(df)
-        except AnalysisException:
+        if not positions or not self._has_files(table):
             return df
+        return with_position(df)
+
+    def _has_files(self, table: str) -> bool:
+        """Whether the table's files tell each row's place: Parquet does."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
+        return described.where("col_name = 'Provider' AND lower(data_type) = 'parquet'").count() > 0
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Append rows, columns in the table's order; nothing is written for no rows."""
+        """Append rows, columns in the table's order; nothing is written for no rows.
+
+        Registry batches and runs are a few rows: they become one file.
+        """
         if df.isEmpty():
             return
         columns = self.read(table).columns
-        df.select(*columns).write.mode("append").format(self.table_format).saveAsTable(self.name(table))
+        df.select(*columns).coalesce(1).write.mode("append").format(self.table_format).saveAsTable(self.name(table))
 
     def overwrite(self, table: str, df: DataFrame) -> DataFrame:
-        """Replace the table, its schema included, and read it back."""
-        df.write.mode("overwrite").format(self.table_format).option("overwriteSchema", "true").saveAsTable(
-            self.name(table)
-        )
+        """Replace the table, its schema included, and read it back. The old one stays until the new one is whole."""
+        self.swap(self.stage(table, df), table)
         return self.read(table)
 
+    def stage(self, table: str, df: DataFrame) -> str:
+        """Write a frame to a table of its own beside ``table``; what fails leaves nothing behind."""
+        staged = f"{table}__{uuid.uuid4().hex[:12]}"
+        try:
+            df.write.format(self.table_format).saveAsTable(self.name(staged))
+        except Exception:
+            self.discard(staged)
+            raise
+        return staged
+
+    def swap(self, staged: str, table: str) -> None:
+        """Let a staged table take the place of ``table``."""
+        self.discard(table)
+        self.spark.sql(f"ALTER TABLE {self.name(staged)} RENAME TO {self.schema}.{table}")
+
+    def discard(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+
+    def set_order(self, table: str, columns: Sequence[str]) -> None:
+        """Keep with the table which columns say what duplicate comes first."""
+        text = json.dumps(list(columns)).replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('{ORDER_PROPERTY}' = '{text}')")
+
+    def order(self, table: str) -> list[str]:
+        """The columns kept by `set_order`; none if nothing was kept."""
+        properties = dict(self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect())
+        return json.loads(properties.get(ORDER_PROPERTY, "[]"))
+
     def snapshot(self, source: DataFrame, table: str, exclude: Sequence[str] = ()) -> bool:
         """Copy a source frame into the store unless the table exists; tell whether it was copied."""
         if self.exists(table):
