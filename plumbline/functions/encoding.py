@@ -87,11 +87,10 @@ def passes_in_row(encoded: Column) -> Column:
 
 
 def decode(encoded: Column) -> Column:
-    """The encoded string as a map from rule label to verdict; both markers give NULL."""
+    """The encoded string as a map from rule label to verdict; both markers give NULL, an empty string no entry."""
+    filled = F.filter(segments(encoded), lambda s: F.trim(s) != "")
     return F.map_from_entries(
-        F.transform(
-            segments(encoded), lambda s: F.struct(segment_label(s), segment_value(s).try_cast("int"))
-        )
+        F.transform(filled, lambda s: F.struct(segment_label(s), segment_value(s).try_cast("int")))
     )
 
 

@@ -32,6 +32,10 @@ def rule_counts(
     One aggregate row per group holds every counter; it is turned into one row
     per rule afterwards, so the shuffle does not grow with the number of rules.
     """
+    if not program:
+        empty = verdicts.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("false").drop("_n")
+        return empty.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in (
+            ("rule_mapping_id", "bigint"), ("dq_rule_no", "string"), (RELEVANT, "bigint"), (POSITIVE, "bigint"))])
     counters = [
         F.expr(sql)
         for i, m in enumerate(program)
@@ -54,8 +58,8 @@ def _sql_text(value: str) -> str:
 def result_patterns(enriched: DataFrame) -> DataFrame:
     """Distinct encoded results with their number of rows.
 
-    Rows share few patterns, and partial aggregation folds them inside each task:
-    a table of any size leaves a handful of strings to decode.
+    For tables that somebody else has written; a run counts while it writes. Rows
+    that share a pattern fold inside each task before the shuffle.
     """
     return enriched.groupBy(RESULT_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 

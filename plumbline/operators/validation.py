@@ -6,7 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DatetimeType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
 from plumbline.functions.rules import ROW_RULES, UNIQUE_RULE
 from plumbline.operators.program import RuleMapping
@@ -24,7 +30,20 @@ TYPE_NAMES = {
     "timestamp_ntz": "TIMESTAMP",
 }
 
-NUMERIC_COMPARISONS = ("RULE_10_NUMERIC_NON_NEGATIVE", "RULE_11_NUMERIC_POSITIVE")
+# What a rule can judge without ending the job, wider than what the catalogue recommends: texts are cast where a
+# malformed one can fail the row instead.
+JUDGED_KINDS = {
+    "RULE_2_STRING_NOT_NULL": (StringType, NumericType, DatetimeType, BooleanType),
+    "RULE_10_NUMERIC_NON_NEGATIVE": (NumericType,),
+    "RULE_11_NUMERIC_POSITIVE": (NumericType,),
+    "RULE_12_DATE_NOT_FUTURE": (DatetimeType, StringType),
+    "RULE_13_DATE_NOT_PAST_LIMIT": (DatetimeType, StringType),
+    "RULE_14_DATE_NOT_FUTURE_LIMIT": (DatetimeType, StringType),
+    "RULE_20_ISO_COUNTRY_CODE": (StringType,),
+    "RULE_21_BOOLEAN_FLAG": (NumericType, BooleanType, StringType),
+    "RULE_40_TEMPORAL_WINDOW_CONSISTENCY": (NumericType,),
+    "RULE_41_POSITIVE_IF_COUNT_NONZERO": (NumericType,),
+}
 
 NO_CATALOGUE_ROW = "NO_CATALOGUE_ROW"
 UNKNOWN_RULE = "UNKNOWN_RULE"
@@ -103,8 +122,8 @@ def validate_mappings(mappings: DataFrame, generic: DataFrame, columns: DataFram
 def check_program(program: Sequence[RuleMapping], schema: StructType) -> None:
     """Refuse a program that cannot run on the entity.
 
-    That is a wrong number of fields, a missing column, or a numeric comparison on
-    text, which would end the job at the first malformed value.
+    That is a wrong number of fields, a missing column, or a column of a type the
+    rule cannot judge, which would end the job in analysis or at a malformed value.
     """
     kinds = {f.name.lower(): f.dataType for f in schema.fields}
     problems = []
@@ -115,8 +134,10 @@ def check_program(program: Sequence[RuleMapping], schema: StructType) -> None:
         if len(m.fields) != arity:
             problems.append(f"{m.dq_rule_no}: {m.rule} reads {arity} field(s), got {m.source_field!r}")
         problems += [f"{m.dq_rule_no}: no column {f!r}" for f in m.fields if f.lower() not in kinds]
-        if m.rule in NUMERIC_COMPARISONS:
-            texts = [f for f in m.fields if isinstance(kinds.get(f.lower()), StringType)]
-            problems += [f"{m.dq_rule_no}: {m.rule} cannot judge the text column {f!r}" for f in texts]
+        for f in m.fields:
+            kind, judged = kinds.get(f.lower()), JUDGED_KINDS.get(m.rule)
+            if kind is not None and judged and not isinstance(kind, judged):
+                name = "text" if isinstance(kind, StringType) else kind.simpleString()
+                problems.append(f"{m.dq_rule_no}: {m.rule} cannot judge the {name} column {f!r}")
     if problems:
         raise ValueError("mappings do not fit the entity: " + "; ".join(problems))

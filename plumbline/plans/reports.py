@@ -81,9 +81,10 @@ def _totals(checks: str, passed: str) -> list[Column]:
 def overall(
     results: DataFrame, mappings: DataFrame | None = None, entity: str | None = None, latest: bool = False
 ) -> DataFrame:
-    """One row: rules, checks, passes and pass percentage. Without ``mappings`` the log alone counts."""
+    """One row: rules, checks, passes and pass percentage. Without ``mappings`` the log alone counts, all entities."""
     if mappings is None:
-        joined = _per_rule(results)
+        newest = F.broadcast(results.agg(F.max(_TS).alias(_TS)))  # one row
+        joined = _per_rule(results.join(newest, _TS) if latest else results)
     else:
         joined = _per_rule(_log(results, mappings, entity, latest)).join(
             of_entity(mappings, entity).select("dq_rule_no"), "dq_rule_no"
@@ -119,6 +120,11 @@ def by_category(
     )
 
 
+def with_mapping(results: DataFrame, mappings: DataFrame) -> DataFrame:
+    """Log entries with the mapping of their rule."""
+    return results.join(mappings, "dq_rule_no")
+
+
 def _rule_rows(
     results: DataFrame, mappings: DataFrame, generic: DataFrame, entity: str | None, latest: bool
 ) -> DataFrame:
@@ -126,7 +132,7 @@ def _rule_rows(
         "dq_rule_no", "DQ_CATEGORY", "source_field", "generic_rule_desc_short", "rule_description",
         "threshold_pct", "owner_dept", "owner_user",
     )
-    return _log(results, mappings, entity, latest).join(rules, "dq_rule_no").select(
+    return with_mapping(_log(results, mappings, entity, latest), rules).select(
         "*",
         (F.col(RELEVANT) - F.col(POSITIVE)).alias("FAILED"),
         pass_pct(F.col(POSITIVE), F.col(RELEVANT)).alias("PASS_PCT"),
@@ -190,20 +196,24 @@ def category_series(categories: DataFrame) -> DataFrame:
 
 
 def trend(results: DataFrame, mappings: DataFrame, generic: DataFrame, entity: str | None = None) -> DataFrame:
-    """Pass percentage per run and category, with the change since the category's run before."""
-    rules = with_catalogue(mappings, generic, entity).select("dq_rule_no", "DQ_CATEGORY")
+    """Pass percentage per run and category, with the change since the category's run before.
+
+    Over all entities each has its own rows, named by ``source_table``.
+    """
+    key = ["DQ_CATEGORY"] if entity else ["source_table", "DQ_CATEGORY"]
+    rules = with_catalogue(mappings, generic, entity).select("dq_rule_no", *key)
     runs = (
         results.withColumnsRenamed({RELEVANT: "checks", POSITIVE: "passed"})
         .join(rules, "dq_rule_no")
-        .groupBy(_TS, "DQ_CATEGORY")
+        .groupBy(_TS, *key)
         .agg(*_totals("TOTAL_CHECKS", "TOTAL_PASSED"))
     )
     score = pass_hundredths(F.col("TOTAL_PASSED"), F.col("TOTAL_CHECKS"))
-    by_run = Window.partitionBy("DQ_CATEGORY").orderBy(_TS)
+    by_run = Window.partitionBy(*key).orderBy(_TS)
     change = F.col("_score") - F.lag("_score").over(by_run)
     return (
         runs.withColumn("_score", score)
         .withColumns({"PASS_PCT": F.col("_score").cast("double") / 100, "CHANGE": change.cast("double") / 100})
         .drop("_score")
-        .orderBy(_TS, "DQ_CATEGORY")
+        .orderBy(_TS, *key)
     )
