@@ -18,9 +18,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from plumbline.operators.counts import result_patterns, rule_counts, rule_counts_from_results  # noqa: E402
+from plumbline.functions.encoding import rule_evaluated, rule_passed  # noqa: E402
+from plumbline.operators.counts import rule_counts  # noqa: E402
 from plumbline.operators.program import RuleMapping  # noqa: E402
-from plumbline.operators.verdicts import apply_rules, enrich, judge  # noqa: E402
+from plumbline.operators.verdicts import apply_rules, enrich_counted, judge  # noqa: E402
 from plumbline.functions.rules import verdict  # noqa: E402
 from plumbline.sources.staging import scratch_path, with_position  # noqa: E402
 from plumbline.workload.queries import REGISTER  # noqa: E402
@@ -52,7 +53,8 @@ REGISTERED = [
     "p01_customer_pack", "p02_fund_trans_pack", "p03_telco_pack", "e01_encode_result", "a01_run_summary",
     "a02_rule_counts", "a02_rule_counts_from_results", "d11_unique_hot_null", "d11_unique_long_text",
     "w01_first_of_tied_rows", "w01_first_by_many_values", "q02_by_category", "q04_breach_register",
-    "q07_rule_detail_latest", "q12_trend", "r01_upsert_rules", "r03_upsert_mappings", "k02_run_entity",
+    "f05_latest_run_rows", "q01_overall", "q07_rule_detail_latest", "q09_entity_reports_all", "q12_trend",
+    "q12_trend_per_entity", "d16_unique_template", "w01_first_after_rewrite", "s05_append_audit", "k01_onboard_entity", "r01_upsert_rules", "r03_upsert_mappings", "k02_run_entity",
 ]
 
 
@@ -65,11 +67,10 @@ def lineitem(spark: SparkSession) -> DataFrame:
 
 
 def run_rules(spark: SparkSession, n: int) -> None:
-    """Enrich, store, and count from the stored result: a whole run over lineitem."""
-    program = PROGRAM[:n]
-    path = scratch_path(spark, "bench")
-    enrich(lineitem(spark), program, AS_OF, ["l_orderkey", "l_linenumber"]).write.parquet(path)
-    force(rule_counts_from_results(result_patterns(spark.read.parquet(path)), program))
+    """Enrich and store, counting in the same pass: a whole run over lineitem."""
+    frame, counted = enrich_counted(lineitem(spark), PROGRAM[:n], AS_OF, ["l_orderkey", "l_linenumber"])
+    frame.write.parquet(scratch_path(spark, "bench"))
+    assert counted.get["n"]
 
 
 def count_rules(spark: SparkSession, n: int) -> None:
@@ -97,9 +98,9 @@ def plain_run(spark: SparkSession, n: int) -> None:
         *[f"_v{m.rule_mapping_id}" for m in program]).write.parquet(path)
     stored = spark.read.parquet(path)
     for m in program:
+        result = F.col("DQ_RESULT")
         stored.agg(
-            F.sum(F.when(F.col("DQ_RESULT").rlike(f"RULE_{m.rule_mapping_id}: [01]"), 1).otherwise(0)),
-            F.sum(F.when(F.col("DQ_RESULT").rlike(f"RULE_{m.rule_mapping_id}: 1"), 1).otherwise(0)),
+            F.count_if(rule_evaluated(result, m.rule_mapping_id)), F.count_if(rule_passed(result, m.rule_mapping_id))
         ).collect()
 
 

@@ -159,6 +159,11 @@ def program_of(entity: str) -> list[RuleMapping]:
     return pack_program(ORDERS_PACK if entity == "orders_gold" else load_pack(entity))
 
 
+def log_program(entity: str) -> list[RuleMapping]:
+    """The row rules of an entity: what its audit log is counted from in the report queries."""
+    return [m for m in program_of(entity) if not m.is_unique_rule]
+
+
 # SQL twins ---------------------------------------------------------------
 
 

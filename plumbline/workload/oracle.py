@@ -109,15 +109,15 @@ def generic_values() -> str:
 
 def history() -> str:
     """CTEs log, m and g: the audit log of both entities and the registry."""
-    orders, customer = e.program_of("orders_gold"), e.program_of("customer_gold")
+    orders, customer = e.log_program("orders_gold"), e.log_program("customer_gold")
     ordinal = "CASE rule_mapping_id " + " ".join(
         f"WHEN {m.rule_mapping_id} THEN {i}" for i, m in enumerate(orders, 1)
     ) + " END"
-    return f"""WITH ov AS ({verdicts("orders_gold", orders, e.ORDERS_AS_OF, "order_id", True)}),
-cv AS ({verdicts("customer_gold", customer, e.CUSTOMER_AS_OF, "cust_id", True)}),
+    return f"""WITH ov AS MATERIALIZED ({verdicts("orders_gold", orders, e.ORDERS_AS_OF, "order_id", True)}),
+cv AS MATERIALIZED ({verdicts("customer_gold", customer, e.CUSTOMER_AS_OF, "cust_id", True)}),
 oc AS ({counts(orders, "ov", "run_month, month_no")}),
 cc AS ({counts(customer, "cv")}),
-log AS (
+log AS MATERIALIZED (
   SELECT CAST(month_no * {len(orders)} + {ordinal} AS BIGINT) AS dq_run_id, run_month AS dq_execution_timestamp,
          dq_rule_no, dq_number_relevant_records, dq_number_pos_results FROM oc
   UNION ALL
@@ -141,8 +141,10 @@ def _scope(entity: str | None, latest: bool) -> str:
     parts = []
     if entity:
         parts.append(f"m.source_table = '{entity}'")
-    if latest:
+    if latest and entity:
         parts.append(LATEST.format(entity=entity))
+    elif latest:
+        parts.append("r.dq_execution_timestamp = (SELECT MAX(dq_execution_timestamp) FROM log)")
     return " AND ".join(parts) or "TRUE"
 
 
@@ -218,17 +220,18 @@ def breach_register(entity: str | None, latest: bool = False) -> str:
         f"{score}, m.owner_dept, m.owner_user, r.dq_execution_timestamp", entity, latest, extra)
 
 
-def trend(entity: str) -> str:
+def trend(entity: str | None) -> str:
+    named, grouped, by = ("", "1, 2", "") if entity else ("m.source_table, ", "1, 2, 3", "source_table, ")
     return f"""{history()},
 t AS (
-  SELECT r.dq_execution_timestamp, COALESCE(m.dq_category, g.dq_category) AS DQ_CATEGORY,
+  SELECT r.dq_execution_timestamp, {named}COALESCE(m.dq_category, g.dq_category) AS DQ_CATEGORY,
          {_sums("TOTAL_CHECKS", "TOTAL_PASSED")}
   FROM log r JOIN m ON r.dq_rule_no = m.dq_rule_no
   JOIN g ON m.generic_rule_desc_short = g.generic_rule_desc_short
-  WHERE {_scope(entity, False)} GROUP BY 1, 2
+  WHERE {_scope(entity, False)} GROUP BY {grouped}
 ),
 s AS (SELECT *, {hundredths("TOTAL_PASSED", "TOTAL_CHECKS")} AS score FROM t)
-SELECT dq_execution_timestamp, DQ_CATEGORY, TOTAL_CHECKS, TOTAL_PASSED, TOTAL_FAILED,
+SELECT dq_execution_timestamp, {by}DQ_CATEGORY, TOTAL_CHECKS, TOTAL_PASSED, TOTAL_FAILED,
        CAST(score AS DOUBLE) / 100 AS PASS_PCT,
-       CAST(score - LAG(score) OVER (PARTITION BY DQ_CATEGORY ORDER BY dq_execution_timestamp) AS DOUBLE) / 100 AS CHANGE
+       CAST(score - LAG(score) OVER (PARTITION BY {by}DQ_CATEGORY ORDER BY dq_execution_timestamp) AS DOUBLE) / 100 AS CHANGE
 FROM s"""

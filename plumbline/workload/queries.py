@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import json
+import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import encoding
@@ -27,11 +30,11 @@ from plumbline.operators.program import RuleMapping, active_mappings, with_templ
 from plumbline.operators.uniqueness import mark_first
 from plumbline.operators.validation import validate_mappings
 from plumbline.operators.verdicts import apply_rules, enrich, verdict_column
-from plumbline.packs import load_pack
+from plumbline.packs import load_pack, read_pack
 from plumbline.plans import reports
 from plumbline.plans.onboarding import onboard
-from plumbline.plans.runs import outcome_line, run_entity
-from plumbline.schemas import RESULT_COLUMN, RESULTS, RULE_MAPPINGS
+from plumbline.plans.runs import entity_reports, run_entity
+from plumbline.schemas import RESULT_COLUMN, RESULTS, RULE_MAPPINGS, RULES_GENERIC, RULES_GENERIC_SCHEMA
 from plumbline.sources import registry
 from plumbline.sources.audit import append_run, latest_entries
 from plumbline.sources.staging import materialise, scratch_path, with_position
@@ -150,34 +153,61 @@ def unique_long_text(spark, sf_dir):
 
 @register(
     "w01_first_of_tied_rows",
-    "SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_first "
-    "FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 0",
+    "SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_first, "
+    "MIN(l_shipdate) AS first_shipdate FROM lineitem GROUP BY l_orderkey, l_linenumber",
 )
 def first_of_tied_rows(spark, sf_dir):
-    """(l_orderkey, l_linenumber) is no key: rows tie, and exactly one per value may pass."""
+    """(l_orderkey, l_linenumber) is no key: rows tie, and the one that ships first passes."""
     df = with_position(e.read(spark, sf_dir, "lineitem")).withColumn(
         "line_ref", F.concat_ws("-", "l_orderkey", "l_linenumber")
     )
-    marked, flags = mark_first(df, ["line_ref"], ["l_orderkey", "l_linenumber"])
+    marked, flags = mark_first(df, ["line_ref"], ["l_orderkey", "l_linenumber", "l_shipdate"])
     return marked.groupBy("l_orderkey", "l_linenumber").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(flags["line_ref"]).alias("n_first")
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(flags["line_ref"]).alias("n_first"),
+        F.min(F.when(flags["line_ref"], F.col("l_shipdate"))).alias("first_shipdate"),
     )
 
 
 @register(
     "w01_first_by_many_values",
-    "SELECT l_orderkey, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_first "
-    "FROM lineitem GROUP BY l_orderkey",
+    "SELECT l_orderkey, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_first, "
+    "MIN(l_linenumber) AS first_line FROM lineitem GROUP BY l_orderkey",
 )
 def first_by_many_values(spark, sf_dir):
     """The path for more repeated values than a broadcast takes, hot ones apart: a keyed join of failing rows."""
     df = with_position(e.read(spark, sf_dir, "lineitem"))
     marked, flags = mark_first(df, ["l_orderkey"], ["l_linenumber"], max_broadcast_keys=0, hot_rows=8)
     return marked.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(flags["l_orderkey"]).alias("n_first")
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(flags["l_orderkey"]).alias("n_first"),
+        F.min(F.when(flags["l_orderkey"], F.col("l_linenumber"))).alias("first_line"),
     )
 
 
+@register(
+    "w01_first_after_rewrite",
+    "SELECT CAST(COUNT(*) FILTER (l_returnflag <> 'R') AS BIGINT) AS in_scope FROM lineitem",
+)
+def first_after_rewrite(spark, sf_dir):
+    """Without a declared order the rows' values decide: one file or seven, the masked count is the same.
+
+    The result is the number of rows in scope, or a failure if the two layouts differ in which rows come first.
+    """
+    rows = e.read(spark, sf_dir, "lineitem")
+    sums = []
+    for files in (1, 7):
+        path = scratch_path(spark, "layout")
+        rows.repartition(files).write.parquet(path)
+        marked, flags = mark_first(with_position(spark.read.parquet(path)), ["l_suppkey"])
+        in_scope = F.col("l_returnflag") != "R"
+        content = F.xxhash64(*rows.columns).cast("decimal(38,0)")
+        sums.append(marked.agg(
+            F.count_if(in_scope).alias("in_scope"), F.sum(F.when(flags["l_suppkey"] & in_scope, content)).alias("first"),
+        ))
+    differ = F.raise_error(F.lit("the layout of the files decides which row comes first"))
+    both = sums[0].crossJoin(sums[1].select(F.col("first").alias("other")))  # one row each
+    return both.select(F.when(F.col("first").eqNullSafe(F.col("other")), F.col("in_scope")).otherwise(differ.cast("long")).alias("in_scope"))
+
+
 @register(
     "f02_row_mask",
     f"SELECT cust_id, CAST(status AS INTEGER) AS status, COALESCE(status <> 1, FALSE) AS out_of_scope "
@@ -235,6 +265,16 @@ def rule_templates(spark, sf_dir):
     return apply_rules(e.orders_gold(spark, sf_dir), filled, e.ORDERS_AS_OF, keep=["order_id"])
 
 
+@register("d16_unique_template", _rule_case(RULE_CASES["d11_unique_hot_null"]).sql)
+def unique_template(spark, sf_dir):
+    """The uniqueness template as a user's rule type: judged as the uniqueness rule, not by a window over whole rows."""
+    case = RULE_CASES["d11_unique_hot_null"]
+    generic = g.catalogue(spark).withColumn("generic_rule_desc_short", F.concat(F.lit("USER_"), "generic_rule_desc_short"))
+    program = with_templates([RuleMapping(1, "DQ_1", f"USER_{case.rule}", case.field)], generic)
+    judged = apply_rules(entity(spark, sf_dir, case.entity), program, case.as_of, [case.key], keep=[case.key])
+    return judged.withColumnRenamed(verdict_column(1), "verdict")
+
+
 def _validation_sql() -> str:
     types = o.values([(*k, v) for k, v in g.COLUMN_TYPES.items()], "source_table, field, column_type")
     return f"""WITH p AS ({g.MAPPINGS_SQL}), g AS ({o.generic_values()}), t AS ({types}),
@@ -441,16 +481,13 @@ def entity_filter(spark, sf_dir):
 
 @register(
     "f04_breach_predicate",
-    f"{o.history()} SELECT r.dq_run_id, r.dq_rule_no FROM log r JOIN m ON r.dq_rule_no = m.dq_rule_no "
+    f"{o.history()} SELECT r.dq_execution_timestamp, r.dq_rule_no FROM log r JOIN m ON r.dq_rule_no = m.dq_rule_no "
     f"JOIN g ON m.generic_rule_desc_short = g.generic_rule_desc_short WHERE {o.REL} > 0 "
     f"AND {o.pct(o.POS, o.REL)} < m.threshold_pct",
 )
 def breach_predicate(spark, sf_dir):
     log, mappings, generic = report_tables(spark, sf_dir)
-    breaches = reports.rule_detail(log, mappings, generic).where(
-        (F.col(RELEVANT) > 0) & (F.col("PASS_PCT") < F.col("threshold_pct"))
-    )
-    return breaches.select("dq_run_id", "dq_rule_no")
+    return naive_ts(reports.breach_register(log, mappings, generic)).select(TS, "dq_rule_no")
 
 
 @register("p01_customer_pack", _counts_sql("customer_gold"))
@@ -472,8 +509,11 @@ def telco_pack(spark, sf_dir):
 
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log of monthly order runs and one customer run, counted from the entities."""
-    orders = e.program_of("orders_gold")
+    """A log of monthly order runs and one customer run, counted from the entities.
+
+    Reports are what these queries are about, so the log holds the row rules only: two light passes make it.
+    """
+    orders = e.log_program("orders_gold")
     judged = apply_rules(
         e.orders_gold(spark, sf_dir), orders, e.ORDERS_AS_OF, ["order_id"], keep=["run_month", "month_no"]
     )
@@ -482,7 +522,9 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("month_no") * len(orders) + ordinal).alias("dq_run_id"),
         F.col("run_month").alias(TS), "dq_rule_no", RELEVANT, POSITIVE,
     )
-    of_customers = counted(spark, sf_dir, "customer_gold").select(
+    customers = e.log_program("customer_gold")
+    judged = apply_rules(entity(spark, sf_dir, "customer_gold"), customers, AS_OF["customer_gold"], keep=[])
+    of_customers = rule_counts(judged, customers).select(
         (F.col("rule_mapping_id") + e.CUSTOMER_RUN_ID_BASE).alias("dq_run_id"),
         F.lit(e.CUSTOMER_RUN_TS).cast("timestamp").alias(TS),
         "dq_rule_no", RELEVANT, POSITIVE,
@@ -546,6 +588,23 @@ def q09_overall(spark, sf_dir):
     return reports.overall(audit_log(spark, sf_dir))
 
 
+@register("q09_overall_all_entities_latest", o.overall(None, latest=True, joined=False))
+def q09_overall_latest(spark, sf_dir):
+    return reports.overall(audit_log(spark, sf_dir), latest=True)
+
+
+@register("q09_entity_reports_all", o.overall(None, joined=False))
+def q09_entity_reports(spark, sf_dir):
+    """Through the public entry, over a registry that lacks the customer's rules: the total still counts them."""
+    store = new_store(spark)
+    store.create_registry()
+    log, mappings, generic = report_tables(spark, sf_dir)
+    store.append(RESULTS, log)
+    held = mappings.where("source_table = 'orders_gold'").withColumn("dq_val_request_id", F.lit(1).cast("long"))
+    store.append(RULE_MAPPINGS, held)
+    return entity_reports(store, None)["overall"]
+
+
 @register("q09_by_category_all_entities", o.by_category(None))
 def q09_by_category(spark, sf_dir):
     return reports.by_category(*report_tables(spark, sf_dir))
@@ -585,6 +644,40 @@ def q12(spark, sf_dir):
     return naive_ts(reports.trend(*report_tables(spark, sf_dir), "orders_gold"))
 
 
+@register("q12_trend_per_entity", o.trend(None))
+def q12_per_entity(spark, sf_dir):
+    return naive_ts(reports.trend(*report_tables(spark, sf_dir)))
+
+
+def _positions(report: DataFrame) -> DataFrame:
+    """A report's rows with their place in its order."""
+    return report.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@register(
+    "l02_rule_detail_in_order",
+    f"SELECT DQ_RULE_NO AS rule_no, DQ_CATEGORY, CAST(ROW_NUMBER() OVER (ORDER BY DQ_CATEGORY, DQ_RULE_NO) - 1 AS BIGINT) AS place "
+    f"FROM ({o.rule_detail('orders_gold', latest=True)}) AS d",
+)
+def l02(spark, sf_dir):
+    rows = _positions(reports.rule_detail(*report_tables(spark, sf_dir), "orders_gold", latest=True))
+    return rows.select(F.col("DQ_RULE_NO").alias("rule_no"), "DQ_CATEGORY", "place")
+
+
+@register(
+    "l03_breaches_in_order",
+    "SELECT dq_rule_no, dq_execution_timestamp, CAST(DENSE_RANK() OVER (ORDER BY PASS_PCT, dq_rule_no) AS BIGINT) AS place "
+    f"FROM ({o.breach_register('orders_gold')}) AS d",
+)
+def l03(spark, sf_dir):
+    """Entries of a rule that tie in their score have the same place."""
+    rows = _positions(naive_ts(reports.breach_register(*report_tables(spark, sf_dir), "orders_gold")))
+    new = F.lag(F.struct("PASS_PCT", "dq_rule_no")).over(Window.orderBy("place"))  # a report: one entry per rule and run
+    same = F.coalesce(new == F.struct("PASS_PCT", "dq_rule_no"), F.lit(False))
+    ranked = rows.withColumn("step", F.when(same, 0).otherwise(1))
+    return ranked.select("dq_rule_no", TS, F.sum("step").over(Window.orderBy("place")).alias("place"))
+
+
 @register(
     "j01_results_to_mappings",
     f"{o.history()} SELECT r.dq_run_id, r.dq_rule_no, m.source_table, m.source_field FROM log r "
@@ -592,7 +685,7 @@ def q12(spark, sf_dir):
 )
 def j01(spark, sf_dir):
     log, mappings, _ = report_tables(spark, sf_dir)
-    return log.join(mappings, "dq_rule_no").select("dq_run_id", "dq_rule_no", "source_table", "source_field")
+    return reports.with_mapping(log, mappings).select("dq_run_id", "dq_rule_no", "source_table", "source_field")
 
 
 @register(
@@ -684,6 +777,21 @@ def s05(spark, sf_dir):
     return naive_ts(store.read(RESULTS))
 
 
+@register(
+    "s07_list_tables",
+    "SELECT 'customer_gold' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM customer UNION ALL "
+    "SELECT 'orders_gold', COUNT(*) FROM orders UNION ALL SELECT unnest(['dq_rules_generic', "
+    "'dq_validation_request', 'dq_rule_mappings', 'dq_results']), 0",
+)
+def s07(spark, sf_dir):
+    """The registry as created beside two snapshots: every table of the store with its rows."""
+    store = new_store(spark)
+    store.create_registry()
+    for name in ("customer", "orders"):
+        store.snapshot(e.read(spark, sf_dir, name), f"{name}_gold")
+    return store.row_counts(store.tables())
+
+
 @register(
     "s10_row_counts",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}" for t in TABLES),
@@ -714,6 +822,21 @@ def r01(spark, sf_dir):
     )
 
 
+@register("r05_upsert_through_store", _merge_sql(
+    "part", g.RULES, g.REGISTERED_MAPPINGS, "generic_rule_desc_short", "generic_rule_id",
+    "generic_rule_desc_short, dq_category"))
+def r05(spark, sf_dir):
+    """Two batches through the store's tables: the second finds the first there."""
+    store, new = new_store(spark), g.rules(spark, sf_dir)
+    store.create_registry()
+    for batch in (new.where(g.REGISTERED_MAPPINGS), new):
+        held = store.read(RULES_GENERIC)
+        added = registry.numbered(batch, held, "generic_rule_desc_short", "generic_rule_id", ["ordinal"])
+        absent = [f for f in RULES_GENERIC_SCHEMA if f.name not in added.columns]
+        store.append(RULES_GENERIC, added.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]))
+    return store.read(RULES_GENERIC).select("generic_rule_id", "generic_rule_desc_short", "dq_category")
+
+
 @register("r02_upsert_requests", _merge_sql(
     "supplier", g.REQUESTS, g.REGISTERED_REQUESTS, "dq_validation_request_short", "dq_val_request_id",
     "dq_validation_request_short, owner_dept, owner_user"))
@@ -876,4 +999,27 @@ def k02(spark, sf_dir):
     f"passed_checks || '/' || total_checks || ' checks)' AS outcome FROM ({_summary_sql('customer_gold')}) AS s",
 )
 def k03(spark, sf_dir):
-    return outcome_line(summarised(spark, sf_dir, "customer_gold"), "customer_gold_dq")
+    """The run's own line, with its table's name less the schema, which differs from run to run."""
+    store, outcome = _entity_run(spark, sf_dir)
+    line = outcome.line().replace(f"{store.catalog}.{store.schema}.", "")
+    return store.row_counts([f"{load_pack('customer_gold').entity}_dq"]).select(F.lit(line).alias("outcome"))
+
+
+@register(
+    "k01_onboard_from_file",
+    "SELECT CAST(m.rule_mapping_id AS BIGINT) AS rule_mapping_id, m.dq_rule_no, m.source_field, "
+    f"(SELECT CAST(COUNT(*) AS BIGINT) FROM ({e.ENTITY_SQL['telco_gold']}) AS t) AS snapshot_rows "
+    f"FROM ({o.mapping_values([load_pack('telco_gold')])}) AS m",
+)
+def k01_from_file(spark, sf_dir):
+    """A pack from a JSON file, as a user writes one."""
+    with tempfile.NamedTemporaryFile("w", suffix=".json") as file:  # read by the driver alone, before any job
+        json.dump(dataclasses.asdict(load_pack("telco_gold")), file)
+        file.flush()
+        pack = read_pack(file.name)
+    store = new_store(spark)
+    onboard(store, pack, e.telco_gold(spark, sf_dir), g.CREATED)
+    rows = store.row_counts([pack.entity]).toDF("source_table", "snapshot_rows")
+    return store.read(RULE_MAPPINGS).join(rows, "source_table").select(
+        "rule_mapping_id", "dq_rule_no", "source_field", "snapshot_rows"
+    )
