@@ -12,6 +12,7 @@ from plumbline.llm.common import extended, small_batches, table, without
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 OUT = ["ids", "piece_ends", "decoded"]
+DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 
 class CharacterMap:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import mixing, pieces, quality, sketches, suffix
-from plumbline.llm.common import table
+from plumbline.llm.common import table, without
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,12 +28,15 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     model = quality.fit_on(docs, table(spark, sf_dir, "labels"))
-    return quality.judge_quality(docs, model).where("kept").select(*docs.columns)
+    held = {c: f"_llm_held_{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    judged = quality.judge_quality(docs.withColumnsRenamed(held), model).where("kept")
+    return judged.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with the digests of its ids and of the text they give back."""
-    return pieces.digests(pieces.encode_documents(docs), *docs.columns)
+    own = without(docs, [*pieces.OUT, *pieces.DIGESTS])
+    return pieces.digests(pieces.encode_documents(own), *own.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

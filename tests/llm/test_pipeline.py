@@ -80,3 +80,15 @@ def test_no_documents(spark, documents, n):
 def test_all_queries_are_registered(spark):
     assert sorted({int(k[2:].split("_")[0]) for k in queries.QUERIES}) == list(range(1, 11))
     assert [name for name, _ in corpus_pipeline.STAGES] and corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_clashing_columns_pass_through(spark, documents):
+    """Columns named like an operator's own come out as they went in, but for those the last stage returns itself."""
+    names = ["kept", "n_words", "size", "taken", "key", "lo", "id", "bucket", "component_id"]
+    docs = documents.limit(60).selectExpr("*", *[f"doc_id + {i} AS {n}" for i, n in enumerate(names)])
+    for n in range(4):
+        got = stage(n)(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert all(r[name] == r.doc_id + i for r in got.collect() if r.doc_id is not None for i, name in enumerate(names))
+    last = stage(4)(spark, docs.selectExpr("*", "1 AS ids", "2 AS n_tokens"), SF)
+    assert last.count() == 60 and "ids" not in last.columns
