@@ -21,7 +21,7 @@ BASE, RATE, TOP = 1.001, 20.0, 65_534
 #: A pair goes on to the full sets if its estimate is at least the threshold less so many standard errors.
 ERRORS = 5.0
 #: Members of a bucket that are compared with each other in one piece of work.
-BLOCK = 256
+BLOCK = 512
 PERCENT = 75
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -136,59 +136,111 @@ def sketch(documents: DataFrame) -> DataFrame:
     return per_batch(documents.select("doc_id", "text"), run, "doc_id bigint, n_shingles bigint, set_id binary, sketch binary")
 
 
-def star_candidates(bands: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's smallest member: as many pairs as members."""
-    centres = bands.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").drop("last")
-    return bands.join(centres, "bucket").where("id > a").select("a", F.col("id").alias("b")).distinct()
+def meetings(sets: DataFrame) -> DataFrame:
+    """Members of buckets that hold several: ``id``, ``band``, ``bucket``, its size ``n`` and its ``centre``.
+
+    A bucket is one band's register values. Its centre is the member that meets most others over all its buckets, so
+    that the buckets of a crowd of near copies share the centre that is nearest to all of them.
+    """
+    at = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)))
+    bands = sets.select("id", "sketch", at.alias("band")).select(
+        "id", "band", F.xxhash64("band", F.expr(f"substring(sketch, band * {2 * BAND} + 1, {2 * BAND})")).alias("bucket")
+    )
+    sizes = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met, _ = materialise(bands.join(sizes, "bucket"))
+    scores = met.groupBy("id").agg(F.sum("n").alias("score"))
+    best = met.join(scores, "id").groupBy("bucket").agg(F.max(F.struct("score", (-F.col("id")).alias("id"))).alias("best"))
+    return materialise(met.join(best.select("bucket", (-F.col("best.id")).alias("centre")), "bucket"))[0]
+
+
+def star_candidates(met: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's centre: as many pairs as members at most."""
+    pair = [F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")]
+    return met.where("id <> centre").select(*pair).distinct()
+
+
+def _passing(x: int, others: np.ndarray, n: np.ndarray, k: np.ndarray, band: int, percent: int) -> np.ndarray:
+    """Of ``others`` those that x may be similar to and that it meets in ``band`` first."""
+    others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
+    same = (k[others].reshape(-1, REGISTERS // BAND, BAND) == k[x].reshape(-1, BAND)).all(2)
+    others = others[same.argmax(1) == band]
+    if not len(others):
+        return others
+    above, below = (k[x] > k[others]).sum(1), (k[x] < k[others]).sum(1)
+    return others[estimate(np.full(len(others), float(n[x])), n[others].astype(float), above, below) >= least_estimate(percent)]
+
+
+def _shared(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements the sorted set x shares with each of the others."""
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(x, joined), len(x) - 1)
+    begins = np.cumsum([0, *map(len, others)])[:-1]
+    return np.add.reduceat((x[at] == joined).astype(np.int64), begins)
+
+
+_UNIT = ["bucket", "i", "j"]
 
 
-def block_candidates(bands: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of unlike components that share a bucket and whose estimate passes.
+def block_links(met: DataFrame, sets: DataFrame, labels: DataFrame, documents: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links between components that meet in a bucket, as many as it takes to join them.
 
-    Only buckets whose members besides the smallest (which has been tried against all) are still in several components
-    count. These members are split into blocks; a piece of work holds two blocks of a bucket, compares the registers in
-    memory and returns only pairs that pass.
+    Only buckets whose members besides the centre (which has been tried against all) are still in several components
+    count. These members are split into blocks; a piece of work holds two blocks of a bucket. It first finds by the
+    registers which members have any likely partner of another component. Their full sets are fetched, pairs are
+    verified in memory, each in the first bucket that it meets in, and a link is returned when it joins two components.
     """
-    named = bands.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    spread = named.groupBy("bucket").agg(
-        F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"), F.min("id").alias("centre")
-    ).where("n > 2 and x < y")
-    members, _ = materialise(named.join(spread.select("bucket", "centre"), "bucket").where("id > centre").drop("centre"))
-    open_ = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
-    members = members.join(open_.where("x < y").select("bucket", F.ceil(F.col("n") / block).cast("int").alias("parts")), "bucket")
+    named = met.where("id <> centre").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id"))
+    open_ = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    members = named.join(open_.where("x < y").select("bucket", "parts"), "bucket")
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    members = members.withColumn("part", part).withColumn("other", other)
+    members = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     work = members.select(
-        "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "label"
+        "bucket", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "label"
     ).join(sets.select("id", "n_shingles", "sketch"), "id")
-    least = least_estimate(percent)
 
-    def pairs(ids, label, n, part, k, i, j) -> list[tuple[int, int]]:
-        left, right, found = np.flatnonzero(part == i), np.flatnonzero(part == j), []
-        for x in left:
-            ys = right[(label[right] != label[x]) & ((i != j) | (right > x))]
-            ys = ys[100 * np.minimum(n[ys], n[x]) >= percent * np.maximum(n[ys], n[x])]
-            if len(ys):
-                above, below = (k[x] > k[ys]).sum(1), (k[x] < k[ys]).sum(1)
-                near = estimate(np.full(len(ys), float(n[x])), n[ys].astype(float), above, below) >= least
-                found += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in ys[near]]
-        return found
-
-    def compare(batches):
-        for batch, cuts in whole_groups(batches, unit):
-            ids, label, n, part, i, j = (batch.column(c).to_numpy() for c in ("id", "label", "n_shingles", "part", "i", "j"))
+    def pieces(batches):
+        for batch, cuts in whole_groups(batches, _UNIT):
+            ids, label, n, part, band, i, j = (batch.column(c).to_numpy() for c in ("id", "label", "n_shingles", "part", "band", "i", "j"))
             k = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            found = []
             for a, b in zip(cuts, cuts[1:]):
                 if b - a > 1 and (label[a:b] != label[a]).any():
-                    found += pairs(ids[a:b], label[a:b], n[a:b], part[a:b], k[a:b], i[a], j[a])
-            found = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+                    left, right = a + np.flatnonzero(part[a:b] == i[a]), a + np.flatnonzero(part[a:b] == j[a])
+                    yield batch, left, right, i[a] == j[a], ids, label, n, k, int(band[a])
+
+    def hopeful(batches):
+        for batch, left, right, alike, ids, label, n, k, band in pieces(batches):
+            used = np.zeros(batch.num_rows, bool)
+            for x in left:
+                others = right[(label[right] != label[x]) & (right > x if alike else True)]
+                others = _passing(x, others, n, k, band, percent)
+                used[others] = True
+                used[x] |= len(others) > 0
+            yield batch.filter(pa.array(used))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in work.schema)
+    placed = work.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "id").mapInArrow(hopeful, kinds)
+    chosen, _ = materialise(placed)
+    full = full_sets(chosen.select("id").distinct(), documents)
+
+    def verified(batches):
+        for batch, left, right, alike, ids, label, n, k, band in pieces(batches):
+            shingles = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("shingles")]
+            label = label.copy()
+            found = []
+            for x in left:
+                others = _passing(x, right[(label[right] != label[x]) & (right > x if alike else True)], n, k, band, percent)
+                if not len(others):
+                    continue
+                shared = _shared(shingles[x], [shingles[y] for y in others])
+                for y in others[100 * shared >= percent * (n[x] + n[others] - shared)]:
+                    if label[y] != label[x]:
+                        found.append((ids[x], ids[y]))
+                        label[label == label[y]] = label[x]
+            found = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    unit = ["bucket", "i", "j"]
-    placed = work.repartition(*unit).sortWithinPartitions(*unit, "id")
-    return placed.mapInArrow(compare, "a bigint, b bigint").distinct()
+    placed = chosen.join(full, "id").repartition(*_UNIT).sortWithinPartitions(*_UNIT, "id")
+    return placed.mapInArrow(verified, "a bigint, b bigint")
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -211,16 +263,20 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "k_a", "k_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def verify(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
-    """Pairs linked by their full sets. Only documents in a pair send their sets on."""
-    pairs, measured = materialise(pairs, n=F.count(F.lit(1)))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def full_sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """``id`` and ``shingles`` (the whole set, sorted) of the documents named."""
     texts = documents.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
 
-    def shingles(batch):
+    def run(batch):
         return {"id": batch.column("id"), "shingles": [s.tobytes() for s in shingle_sets(batch.column("text"))]}
 
-    full, _ = materialise(per_batch(texts, shingles, "id bigint, shingles binary"))
+    return materialise(per_batch(texts, run, "id bigint, shingles binary"))[0]
+
+
+def verify(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """Pairs linked by their full sets. Only documents in a pair send their sets on."""
+    pairs, _ = materialise(pairs)
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), documents)
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a").join(
         full.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b"
     )
@@ -244,9 +300,9 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, block: int = B
     times those of both.
 
     Documents of equal sets are one class, known by its smallest doc_id. Classes meet in buckets, one per band of
-    register values. First each member is tried against its bucket's smallest; whatever that leaves in several
-    components is compared within the bucket, block by block. Candidates pass a joint likelihood estimate and are then
-    confirmed on full sets. So a bucket of any size gives about as many pairs as members, and no link between
+    register values. First each member is tried against its bucket's centre; whatever that leaves in several components
+    is compared within the bucket, block by block, in memory. Candidates pass a joint likelihood estimate and are then
+    confirmed on full sets. So a bucket of any size returns no more links than it has members, and no link between
     different components is lost but by the bands (5 in a million at the threshold) or the estimate (fewer).
 
     Texts without words, null texts and null ids are linked with nothing; a null id is kept, with a null component.
@@ -258,13 +314,10 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, block: int = B
         F.min("doc_id").alias("id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")
     ))
     # an id that repeats with different texts stands for each of its sets
-    at = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)))
-    bands = sets.select("id", "sketch", at.alias("band")).select(
-        "id", F.xxhash64("band", F.expr(f"substring(sketch, band * {2 * BAND} + 1, {2 * BAND})")).alias("bucket")
-    )
-    first, _ = materialise(verify(likely(star_candidates(bands), sets, percent), documents, percent))
+    met = meetings(sets)
+    first, _ = materialise(verify(likely(star_candidates(met), sets, percent), documents, percent))
     labels = connected_components(first)
-    more, found = materialise(verify(block_candidates(bands, sets, labels, percent, block), documents, percent), n=F.count(F.lit(1)))
+    more, found = materialise(block_links(met, sets, labels, documents, percent, block), n=F.count(F.lit(1)))
     if found["n"]:
         labels = connected_components(first.unionByName(more))
     classes = sets.select("set_id", "id").join(labels, "id", "left").select(
