@@ -16,7 +16,7 @@ from plumbline.sources.staging import materialise, scratch_path
 LENGTH = 400  # bytes of a repeated string
 GRAM = 32  # bytes of an anchor
 #: Bytes that a suffix array is built over, about; and distinct surroundings of one anchor beyond which they are split.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 HOT = 6000
 _PLACE_BITS = 30
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -73,20 +73,23 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
 
 def find_anchors(documents: DataFrame, length: int, gram: int) -> DataFrame:
     """A row per anchor: ``h``, its hash; ``around``, a digest of the bytes that any string of ``length`` bytes with the
-    anchor may cover; ``key``, the text's digest; ``lo`` and ``hi``, the place of those bytes."""
+    anchor may cover; ``key``, the text's digest; ``lo`` and ``hi``, the place of those bytes; ``at``, where in them the
+    anchor is (-1 if in several places)."""
     reach = length - gram
 
     def run(batches):
-        arrow = to_arrow_schema("h bigint, around binary, key binary, lo int, hi int")
+        arrow = to_arrow_schema(kinds)
         for batch in small_batches(batches, "text", 1 << 20):
             raw, offsets = text_bytes(batch.column("text"))
             hashes, places, texts = anchors(raw, offsets, length, gram)
             lo = np.maximum(places - reach, offsets[:-1][texts]) if len(texts) else places
             hi = np.minimum(places + length, offsets[1:][texts]) if len(texts) else places
+            at = places - lo
             if len(places):  # a gram that repeats within the same stretch counts once
-                _, once = np.unique(np.column_stack([hashes.view(np.int64), lo, hi]), axis=0, return_index=True)
+                _, once, times = np.unique(np.column_stack([hashes.view(np.int64), lo, hi]), axis=0, return_index=True, return_counts=True)
+                at[once[times > 1]] = -1
                 once.sort()
-                hashes, lo, hi, texts = hashes[once], lo[once], hi[once], texts[once]
+                hashes, lo, hi, texts, at = hashes[once], lo[once], hi[once], texts[once], at[once]
             whole, last, key, keys = raw.tobytes(), -1, b"", []
             for t in texts.tolist():
                 if t != last:
@@ -96,10 +99,11 @@ def find_anchors(documents: DataFrame, length: int, gram: int) -> DataFrame:
             base = offsets[:-1][texts] if len(texts) else places
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes.view(np.int64)), pa.array(around, pa.binary()), pa.array(keys, pa.binary()),
-                 pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32))], schema=arrow
+                 pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)), pa.array(at.astype(np.int32))], schema=arrow
             )
 
-    return documents.select("text").mapInArrow(run, "h bigint, around binary, key binary, lo int, hi int")
+    kinds = "h bigint, around binary, key binary, lo int, hi int, at int"
+    return documents.select("text").mapInArrow(run, kinds)
 
 
 def _stepwise_equal(text: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -202,10 +206,11 @@ def suffix_array(text: np.ndarray, deep: int) -> np.ndarray:
     n = len(text)
     if n < 3:
         return np.arange(n, dtype=np.int32)[::-1].copy()
-    step = np.sign(text[1:].astype(np.int16) - text[:-1].astype(np.int16))
-    known = np.where(step != 0, np.arange(n - 1), n - 1)
+    step = np.sign(text[1:].astype(np.int16) - text[:-1].astype(np.int16)).astype(np.int8)
+    known = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n - 1))
     nearest = np.minimum.accumulate(known[::-1])[::-1]
     smaller = np.append(step[np.minimum(nearest, n - 2)] > 0, True)
+    del step, known, nearest
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     counts = np.bincount(text, minlength=257)
     if len(lms) < 2:
@@ -214,6 +219,7 @@ def suffix_array(text: np.ndarray, deep: int) -> np.ndarray:
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     ordered = first[is_lms[first]].astype(np.int64)
+    del first, is_lms
     length = np.empty(n, np.int32)
     length[lms] = np.append(np.diff(lms), 0) + 1
     a, b = ordered[:-1], ordered[1:]
@@ -235,9 +241,9 @@ def permuted_prefixes(text: np.ndarray, array: np.ndarray, left: np.ndarray) ->
     A place whose left neighbours agree has one byte less than the place before it; only the others are compared.
     """
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[array[1:]] = array[:-1]
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     compared = (before <= 0) | (place == 0) | (left == 0)
     compared[1:] |= (left[:-1] == 0) | (text[:-1] != text[np.maximum(before[1:], 1) - 1]) | (left[np.maximum(before[1:], 1) - 1] == 0)
     shared = np.zeros(n, np.int32)
@@ -254,7 +260,8 @@ def permuted_prefixes(text: np.ndarray, array: np.ndarray, left: np.ndarray) ->
         length[active] += np.where(whole, 8, same.argmin(1))
         active = active[whole]
     shared[own] = np.minimum(length, most)
-    source = np.maximum.accumulate(np.where(compared, place, 0))
+    del own, most, length, active, before
+    source = np.maximum.accumulate(np.where(compared, place, np.int32(0)))
     return np.maximum(shared[source] - (place - source), 0)
 
 
@@ -270,9 +277,9 @@ def repeated_in_shard(pieces: list[bytes], texts: np.ndarray, begins: np.ndarray
     letters = raw.astype(np.uint16) + np.uint16(1)
     letters[ends] = 1
     text = np.append(letters, np.uint16(0))
-    piece = np.repeat(np.arange(len(pieces)), sizes + 1)
-    at = np.arange(len(raw)) - (ends - sizes)[piece]
-    left = np.append(np.maximum(sizes[piece] - at, 0), 0)
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes + 1)
+    at = (np.arange(len(raw)) - (ends - sizes)[piece]).astype(np.int32)
+    left = np.append(np.maximum(sizes[piece] - at, 0), 0).astype(np.int32)
     array = suffix_array(text, length)
     shared = permuted_prefixes(text, array, left)[array]
     run = np.cumsum(shared < length)
@@ -289,28 +296,73 @@ def repeated_in_shard(pieces: list[bytes], texts: np.ndarray, begins: np.ndarray
     return list(zip(piece[firsts].tolist(), at[firsts].tolist(), (at[lasts] + length).tolist()))
 
 
+def common_prefix(a: bytes, b: bytes) -> int:
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return low
+
+
+def _most_common(strings: list[bytes]) -> list[int]:
+    """For each string the longest prefix that it shares with any other: with a neighbour in order."""
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    most = [0] * len(strings)
+    for a, b in zip(order, order[1:]):
+        shared = common_prefix(strings[a], strings[b])
+        most[a], most[b] = max(most[a], shared), max(most[b], shared)
+    return most
+
+
+def may_repeat(pieces: list[bytes], at: list[int], length: int) -> list[bool]:
+    """Whether a string of ``length`` bytes around an anchor can be in another piece of the anchor's group: what a
+    piece shares with any other before the anchor and from it on must add up to that."""
+    if min(at) < 0:
+        return [True] * len(pieces)
+    after = _most_common([p[a:] for p, a in zip(pieces, at)])
+    before = _most_common([p[:a][::-1] for p, a in zip(pieces, at)])
+    return [a + b >= length for a, b in zip(after, before)]
+
+
 def _shards(length: int):
-    """Task that gathers whole anchor groups to shards and reports repeated stretches of their texts."""
+    """Task that gathers whole anchor groups to shards and reports repeated stretches of their texts.
+
+    Groups are freed first of pieces that share too little with the others to hold a repeated string.
+    """
 
     def run(batches):
         held: list = []
-        size, last = 0, None
+        group: list = []
+        size = 0
+
+        def closed() -> list:
+            hopeful = may_repeat([r[3] for r in group], [r[4] for r in group], length) if len(group) > 1 else [False]
+            rows = [r for r, may in zip(group, hopeful) if may]
+            group.clear()
+            return rows
 
         def solve():
             keys = {}
-            number = np.array([keys.setdefault(k, len(keys)) for _, k, _, _ in held])
-            found = repeated_in_shard([p for *_, p in held], number, np.array([lo for _, _, lo, _ in held]), length)
+            number = np.array([keys.setdefault(r[1], len(keys)) for r in held])
+            found = repeated_in_shard([r[3] for r in held], number, np.array([r[2] for r in held]), length)
             rows = {(held[i][1], held[i][2] + a, held[i][2] + b) for i, a, b in found}
             columns = list(zip(*sorted(rows))) or [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32())], schema=arrow)
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("h", "key", "lo", "piece"))):
-                if size >= SHARD_BYTES and row[0] != last:
-                    yield solve()
-                    held, size = [], 0
-                held.append(row)
-                size, last = size + len(row[3]), row[0]
+            for row in zip(*(batch.column(c).to_pylist() for c in ("h", "key", "lo", "piece", "at"))):
+                if group and row[0] != group[0][0]:
+                    rows = closed()
+                    more = sum(len(r[3]) for r in rows)
+                    if held and size + more > SHARD_BYTES:  # a large group is a shard by itself
+                        yield solve()
+                        held.clear()
+                        size = 0
+                    held += rows
+                    size += more
+                group.append(row)
+        if group:
+            held += closed()
         if held:
             yield solve()
 
@@ -338,20 +390,20 @@ def repeated_stretches(documents: DataFrame, length: int = LENGTH, gram: int = G
     texts = stored(copies.join(found.select("key").distinct(), "key", "left_semi"))
 
     folded, _ = materialise(
-        found.groupBy("h", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo", "hi")).alias("at")).select("h", "around", "n", "at.*")
+        found.groupBy("h", "around", "at").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo", "hi")).alias("one")).select("h", "around", "at", "n", "one.*")
     )
-    whole = found.join(folded.where("n > 1").select("h", "around"), ["h", "around"], "left_semi")
+    whole = found.join(folded.where("n > 1").select("h", "around", "at"), ["h", "around", "at"], "left_semi")
     whole = whole.where(F.col("hi") - F.col("lo") >= length).select("key", "lo", "hi").distinct()
 
     mixed = folded.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("fewest")).where("kinds > 1 and fewest = 1")
     asked = folded.join(mixed.select("h", (F.col("kinds") > hot).alias("crowded")), "h")
-    asked = asked.join(texts, "key").select("h", "crowded", "key", "lo", F.expr("substring(cast(text as binary), lo + 1, hi - lo)").alias("piece"))
+    asked = asked.join(texts, "key").select("h", "crowded", "key", "lo", "at", F.expr("substring(cast(text as binary), lo + 1, hi - lo)").alias("piece"))
     asked = stored(asked.where(F.length("piece") >= length))
     sorted_out = asked.where("not crowded").drop("crowded").repartition("h").sortWithinPartitions("h", "key", "lo")
     by_array = sorted_out.mapInArrow(_shards(length), "key binary, lo int, hi int")
     # an anchor with more surroundings than a shard holds: each string with it is counted by its digest
-    each = asked.where("crowded").select("key", "lo", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - length)).alias("at"))
-    each = each.select("key", (F.col("lo") + F.col("at")).cast("int").alias("lo"), F.unhex(F.md5(F.expr(f"substring(piece, at + 1, {length})"))).alias("string")).distinct()
+    each = asked.where("crowded").select("key", "lo", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - length)).alias("from"))
+    each = each.select("key", (F.col("lo") + F.col("from")).cast("int").alias("lo"), F.unhex(F.md5(F.expr(f"substring(piece, from + 1, {length})"))).alias("string")).distinct()
     several = each.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
     by_count = each.join(several, "string", "left_semi").select("key", "lo", (F.col("lo") + length).alias("hi"))
     return stored(whole.unionByName(by_array).unionByName(by_count)), texts

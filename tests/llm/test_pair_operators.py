@@ -245,3 +245,23 @@ def test_anchors_of_equal_strings_agree():
         seen.append([x for x in own.tolist() if 32 <= x <= 80])
     assert seen[0] and all(s == seen[0] for s in seen)
     assert pa.array([1]) is not None
+
+
+def test_hopeless_pieces_are_those_without_a_partner():
+    rng = random.Random(4)
+    for _ in range(200):
+        anchor = b"##"
+        pieces = []
+        for _ in range(rng.randrange(2, 7)):
+            before, after = (bytes(rng.choice(b"ab") for _ in range(rng.randrange(6))) for _ in range(2))
+            pieces.append((before + anchor + after, len(before)))
+        texts, at = [p for p, _ in pieces], [a for _, a in pieces]
+        got = suffix.may_repeat(texts, at, 6)
+        for i, (p, a) in enumerate(pieces):
+            held = any(
+                suffix.common_prefix(p[a:], q[b:]) + suffix.common_prefix(p[:a][::-1], q[:b][::-1]) >= 6
+                for j, (q, b) in enumerate(pieces) if j != i
+            )
+            assert got[i] or not held
+    assert suffix.may_repeat([b"a", b"b"], [0, -1], 400) == [True, True]
+    assert suffix.common_prefix(b"abc", b"abd") == 2 and suffix.common_prefix(b"", b"x") == 0
