@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,9 +16,11 @@ from plumbline.functions.encoding import (
     segment_value,
     segments,
 )
+from plumbline.functions.rules import column, out_of_scope
 from plumbline.functions.scores import pass_pct, rule_score
 from plumbline.operators.program import RuleMapping
-from plumbline.operators.verdicts import verdict_column
+from plumbline.operators.uniqueness import first_rows_per_group
+from plumbline.operators.verdicts import STATUS, apply_rules, verdict_column
 from plumbline.schemas import RESULT_COLUMN
 
 RELEVANT = "dq_number_relevant_records"
@@ -51,6 +54,42 @@ def rule_counts(
     return wide.selectExpr(*group_columns, per_rule)
 
 
+def program_counts(
+    df: DataFrame,
+    program: Sequence[RuleMapping],
+    as_of: dt.date | str | None = None,
+    order_by: Sequence[str] = (),
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The same as ``rule_counts`` of ``apply_rules``, for counts alone.
+
+    Row rules, and the relevant rows of uniqueness rules, are counted in one pass. The passing rows of a uniqueness
+    rule are its values' first rows in scope, as many as one aggregate per field finds: no row is marked.
+    """
+    unique = [m for m in program if m.is_unique_rule]
+    if not unique:
+        return rule_counts(apply_rules(df, program, as_of, keep=by), program, by)
+    masked = STATUS in df.columns
+    in_scope = ~out_of_scope(STATUS) if masked else F.lit(True)
+    kept = list(dict.fromkeys([*by, STATUS] if masked else by))
+    judged = apply_rules(df, [m for m in program if not m.is_unique_rule], as_of, keep=kept)
+    none_yet = {verdict_column(m.rule_mapping_id): F.when(in_scope, 0) for m in unique}
+    parts = rule_counts(judged.withColumns(none_yet), program, by)
+    firsts = first_rows_per_group(df, [m.source_field for m in unique], order_by, in_scope, by)
+    for m in unique:
+        rows = firsts[m.source_field].select(
+            *[column(c) for c in by],
+            F.lit(m.rule_mapping_id).cast("long").alias("rule_mapping_id"),
+            F.lit(m.dq_rule_no).alias("dq_rule_no"),
+            F.lit(0).cast("long").alias(RELEVANT),
+            F.col("_dq_count").alias(POSITIVE),
+        )
+        parts = parts.unionByName(rows)
+    return parts.groupBy(*[column(c) for c in by], "rule_mapping_id", "dq_rule_no").agg(
+        F.sum(RELEVANT).alias(RELEVANT), F.sum(POSITIVE).alias(POSITIVE)
+    )
+
+
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -152,6 +152,29 @@ def mark_first(
     return marked, flags
 
 
+def first_rows_per_group(
+    df: DataFrame, fields: Sequence[str], order_by: Sequence[str], counted: Column, by: Sequence[str] = ()
+) -> dict[str, DataFrame]:
+    """Per field, in each group of ``by``: ``_dq_count``, the values whose first row lies in the group and is ``counted``.
+
+    "First" is the row that ``mark_first`` marks. One aggregate per field over its value, the order and ``by``: a hot
+    value folds to one row per task, and no row gets a mark.
+    """
+    df, _, order = with_row_identity(df, order_by)
+    order = list(dict.fromkeys(order))
+    places = [column(c).alias(f"_dq_order_{i}") for i, c in enumerate(order)]
+    groups = {c: f"_dq_by_{i}" for i, c in enumerate(by)}
+    row = F.struct(*places, counted.alias(_COUNT), *[column(c).alias(a) for c, a in groups.items()])
+
+    def of(field: str) -> DataFrame:
+        first = df.select(grouping_key(df, field).alias(_KEY), row.alias(_FIRST)).groupBy(_KEY).agg(F.min(_FIRST).alias(_FIRST))
+        return first.groupBy(*[F.col(f"{_FIRST}.{a}").alias(c) for c, a in groups.items()]).agg(
+            F.count_if(F.col(f"{_FIRST}.{_COUNT}")).alias(_COUNT)
+        )
+
+    return {field: of(field) for field in dict.fromkeys(fields)}
+
+
 def _repeated_keys(narrow: DataFrame) -> tuple[DataFrame, dict]:
     return materialise(
         narrow.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT)),

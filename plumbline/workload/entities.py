@@ -160,8 +160,8 @@ def program_of(entity: str) -> list[RuleMapping]:
 
 
 def log_program(entity: str) -> list[RuleMapping]:
-    """The row rules of an entity: what its audit log is counted from in the report queries."""
-    return [m for m in program_of(entity) if not m.is_unique_rule]
+    """What an entity's audit log is counted from in the report queries and their SQL twins: all its rules."""
+    return program_of(entity)
 
 
 # SQL twins ---------------------------------------------------------------

@@ -20,6 +20,7 @@ from plumbline.operators import numbering
 from plumbline.operators.counts import (
     POSITIVE,
     RELEVANT,
+    program_counts,
     result_patterns,
     rule_counts,
     rule_counts_from_results,
@@ -511,20 +512,21 @@ def telco_pack(spark, sf_dir):
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log of monthly order runs and one customer run, counted from the entities.
 
-    Reports are what these queries are about, so the log holds the row rules only: two light passes make it.
+    Counts are all that the log holds, so rows get no verdicts: one pass for the row rules of an entity, one aggregate
+    for each of its uniqueness rules.
     """
     orders = e.log_program("orders_gold")
-    judged = apply_rules(
-        e.orders_gold(spark, sf_dir), orders, e.ORDERS_AS_OF, ["order_id"], keep=["run_month", "month_no"]
-    )
+    by = ["run_month", "month_no"]
+    counts = program_counts(e.orders_gold(spark, sf_dir), orders, e.ORDERS_AS_OF, ["order_id"], by)
     ordinal = F.col("rule_mapping_id") - F.lit(orders[0].rule_mapping_id) + 1
-    of_orders = rule_counts(judged, orders, ["run_month", "month_no"]).select(
+    of_orders = counts.select(
         (F.col("month_no") * len(orders) + ordinal).alias("dq_run_id"),
         F.col("run_month").alias(TS), "dq_rule_no", RELEVANT, POSITIVE,
     )
     customers = e.log_program("customer_gold")
-    judged = apply_rules(entity(spark, sf_dir, "customer_gold"), customers, AS_OF["customer_gold"], keep=[])
-    of_customers = rule_counts(judged, customers).select(
+    rows = entity(spark, sf_dir, "customer_gold")
+    counts = program_counts(rows, customers, AS_OF["customer_gold"], ["cust_id"])
+    of_customers = counts.select(
         (F.col("rule_mapping_id") + e.CUSTOMER_RUN_ID_BASE).alias("dq_run_id"),
         F.lit(e.CUSTOMER_RUN_TS).cast("timestamp").alias(TS),
         "dq_rule_no", RELEVANT, POSITIVE,
