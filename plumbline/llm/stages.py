@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import mixing, pieces, quality, sketches, suffix
-from plumbline.llm.common import table, without
+from plumbline.llm.common import count_words, table, without
+from plumbline.operators.numbering import assign_ids
+from plumbline.sources.staging import materialise
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +42,68 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; documents without an id stay."""
-    gone = sketches.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies, that with the smallest doc_id; rows without an id stay for those with one,
+    and of near copies among themselves one stays. Rows without words stay.
+
+    Rows are judged one by one: where ids repeat or are null, each id and text gets a number of its own to be judged by.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    keyed = docs.select("doc_id", digest.alias("_llm_md5"))
+    again, seen = materialise(
+        keyed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), keep=F.expr("n > 1 or doc_id is null"),
+        least=F.min("doc_id"), most=F.max("doc_id"), odd=F.count_if(F.expr("n > 1 or doc_id is null")),
+    )
+    if not seen["odd"]:
+        gone = sketches.near_duplicates(docs).where("not kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+    again = again.select(F.col("doc_id").alias("_llm_id"))
+    odd, counted = materialise(
+        keyed.join(again, F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left_semi").distinct(), n=F.count(F.lit(1))
+    )
+    most, least = seen["most"] or 0, seen["least"] or 0
+    start = most if most < 2**62 else min(least, 0) - counted["n"] - 1
+    numbers = assign_ids(odd, "_llm_node", start, ["doc_id", "_llm_md5"]).select(
+        "_llm_node", F.col("doc_id").alias("_llm_id"), F.col("_llm_md5").alias("_llm_own")
+    )
+    numbers, _ = materialise(numbers)
+    same = F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (digest == F.col("_llm_own"))
+    node = F.coalesce("_llm_node", "doc_id")
+    rows = suffix.stored(docs.join(numbers, same, "left").select(
+        *docs.columns, node.alias("_llm_node"), (F.col("_llm_node").isNotNull() & (count_words(F.col("text")) > 0)).alias("_llm_odd")
+    ))
+
+    judged = sketches.near_duplicates(rows.select(F.col("_llm_node").alias("doc_id"), "text")).where("n_shingles > 0")
+    judged = judged.select(F.col("doc_id").alias("_llm_node"), F.col("component_id").alias("_llm_group")).distinct()
+    known = numbers.select("_llm_node", "_llm_id", F.lit(True).alias("_llm_known"))
+    judged = judged.join(known, "_llm_node", "left").withColumn(
+        "_llm_id", F.when(F.col("_llm_known"), F.col("_llm_id")).otherwise(F.col("_llm_node"))
+    )
+    judged, _ = materialise(judged)
+    first = judged.groupBy("_llm_group", F.col("_llm_id").isNull()).agg(F.min(F.struct("_llm_id", "_llm_node")).alias("first"))
+    gone = judged.join(first.select(F.col("first._llm_node").alias("_llm_node")), "_llm_node", "left_anti").select("_llm_node")
+    left = rows.join(gone, "_llm_node", "left_anti")
+    # equal rows fold in each task: a crowd of them is nobody's window
+    plain = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("_llm_row")
+    once = left.where("_llm_odd").groupBy("_llm_node").agg(one).select("_llm_row.*")
+    return left.where("not _llm_odd").select(*docs.columns).unionByName(once)
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` without rows that have no id and the text of a row with one: near-dedup leaves both, and the copy must not
+    count as a place where the text is repeated."""
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return docs
+    named = docs.where("doc_id is not null")
+    own = named.select(suffix.text_key().alias("_llm_own"))
+    return named.unionByName(nameless.join(own, suffix.text_key() == F.col("_llm_own"), "left_anti"))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated strings; characters that lost a byte go whole, ``n_chars`` follows."""
-    gone = suffix.remove_repeats(docs).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
+    gone = suffix.remove_repeats(_counted(docs)).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
     joined = docs.join(gone, suffix.text_key() == F.col("_llm_key"), "left")
     changed = {"text": F.coalesce("_llm_kept", "text")}
     if "n_chars" in docs.columns:
