@@ -18,7 +18,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "op4_suffix_array": suffix.op4_suffix_array,
     "op5_prefix_tree": chat.OP5_SQL,
     "op2_setsketch": sketches.OP2_SQL,
     "op7_pivot_index": pivots.OP7_SQL,
