@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -13,8 +15,8 @@ from plumbline.llm.components import connected_components
 from plumbline.sources.staging import materialise
 
 LEAST_COSINE = 0.9
-#: Nearest reference points that describe a vector, and how many of them two vectors must share.
-PREFIX, SHARED = 7, 2
+#: Nearest reference points that describe a vector among up to ``FEW`` points, and how many of them two vectors must share.
+PREFIX, SHARED, FEW = 7, 2, 160
 #: Reference points per cube root of the number of vectors: lists then grow slower than the table.
 PIVOTS = 16
 #: Reference points are drawn from so many times their number of sampled vectors, none of them closer than this cosine,
@@ -49,11 +51,17 @@ def choose_pivots(vectors: list[np.ndarray], most: int) -> dict[int, np.ndarray]
     return {length: np.array(found) for length, found in chosen.items() if found}
 
 
+def depth(points: int) -> int:
+    """How many nearest reference points describe a vector: one more for each tenfold number of vectors (the number of
+    points grows with its cube root), so that two vectors share enough of them as often at every size."""
+    return PREFIX + max(0, math.ceil(3 * math.log10(max(points, 1) / FEW)))
+
+
 def nearest(vectors: np.ndarray, pivots: np.ndarray | None) -> np.ndarray:
-    """Numbers of the ``PREFIX`` nearest reference points of each unit vector, nearest first."""
+    """Numbers of the nearest reference points of each unit vector, nearest first."""
     if pivots is None:
         return np.zeros((len(vectors), 0), np.int64)
-    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :PREFIX]
+    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, : depth(len(pivots))]
 
 
 def linked_pairs(x: np.ndarray, near_x: np.ndarray, y: np.ndarray, near_y: np.ndarray, here: int, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +119,7 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     reachable) and ``kept`` (it is that one). Vectors with a cosine of ``least`` or more in double precision are linked.
 
     Equal vectors are one class. Every class is posted to the lists of its nearest reference points; within a list,
-    pairs that share ``SHARED`` of their ``PREFIX`` points are verified. Lists are worked through in pairs of blocks
+    pairs that share ``SHARED`` of their `depth` points are verified. Lists are worked through in pairs of blocks
     of about ``BLOCK`` members; a piece of work returns a row per member, with how many it links to and one member it
     is connected to, so a crowd of near copies never becomes a row per pair. A pair counts in the list of its smallest
     shared point only. Reference points come from a sample of the classes with the smallest digests, bounded by
