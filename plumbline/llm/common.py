@@ -24,6 +24,13 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def ascii_lower(text: Column) -> Column:
+    """``text`` with A-Z in lower case and all else as it is."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    plain = F.octet_length(text) == F.length(text)  # ASCII only: the quick way does the same
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
 def without(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` without columns of these names, whatever their case: an operator's own columns replace them."""
     named = {c.lower() for c in columns}

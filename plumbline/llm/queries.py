@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import chat, licenses, mixing, pieces, pivots, quality, sharding, sketches, suffix, toxicity
+from plumbline.llm import chat, collocations, licenses, mixing, pieces, pivots, quality, sharding, sketches, suffix, toxicity
 
 QUERIES = {
     "op1_line_crf": quality.op1_line_crf,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bigru": toxicity.op8_bigru,
     "op9_uniform_shards": sharding.op9_uniform_shards,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_setm_phrases": collocations.op11_setm_phrases,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op2_setsketch": sketches.OP2_SQL,
     "op7_pivot_index": pivots.OP7_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
+    "op11_setm_phrases": collocations.OP11_SQL,
 }
