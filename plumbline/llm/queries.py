@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import chat, collocations, licenses, mixing, pieces, pivots, quality, sharding, sketches, suffix, toxicity
+from plumbline.llm import centroids, chat, collocations, fingerprints, licenses, mixing, pieces, pivots, quality, sharding, sketches, suffix, toxicity
 
 QUERIES = {
     "op1_line_crf": quality.op1_line_crf,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_uniform_shards": sharding.op9_uniform_shards,
     "op10_mix_sources": mixing.op10_mix_sources,
     "op11_setm_phrases": collocations.op11_setm_phrases,
+    "op12_order_minhash": fingerprints.op12_order_minhash,
+    "op13_vantage_kmeans": centroids.op13_vantage_kmeans,
 }
 
 ORACLE_SQL = {
@@ -24,4 +26,5 @@ ORACLE_SQL = {
     "op7_pivot_index": pivots.OP7_SQL,
     "op10_mix_sources": mixing.OP10_SQL,
     "op11_setm_phrases": collocations.OP11_SQL,
+    "op13_vantage_kmeans": centroids.OP13_SQL,
 }
