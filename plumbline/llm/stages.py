@@ -11,6 +11,10 @@ from plumbline.operators.numbering import assign_ids
 from plumbline.sources.staging import materialise
 
 
+#: Bytes of a passage that must not repeat. A run of over 50 words takes about 330 bytes, hardly ever less than 280.
+PASSAGE = 256
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it; the one at a source's border counts by the nearest whole pass.
 
@@ -42,8 +46,8 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, that with the smallest doc_id; rows without an id stay for those with one,
-    and of near copies among themselves one stays. Rows without words stay.
+    """One row of each group of near copies: that with the smallest doc_id, one without an id only if no other is there.
+    Rows without words (null and empty texts too) stay, other columns pass through. No documents: none.
 
     Rows are judged one by one: where ids repeat or are null, each id and text gets a number of its own to be judged by.
     """
@@ -80,7 +84,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         "_llm_id", F.when(F.col("_llm_known"), F.col("_llm_id")).otherwise(F.col("_llm_node"))
     )
     judged, _ = materialise(judged)
-    first = judged.groupBy("_llm_group", F.col("_llm_id").isNull()).agg(F.min(F.struct("_llm_id", "_llm_node")).alias("first"))
+    order = F.struct(F.col("_llm_id").isNull().alias("nameless"), "_llm_id", "_llm_node")
+    first = judged.groupBy("_llm_group").agg(F.min(order).alias("first"))
     gone = judged.join(first.select(F.col("first._llm_node").alias("_llm_node")), "_llm_node", "left_anti").select("_llm_node")
     left = rows.join(gone, "_llm_node", "left_anti")
     # equal rows fold in each task: a crowd of them is nobody's window
@@ -90,20 +95,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return left.where("not _llm_odd").select(*docs.columns).unionByName(once)
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """``docs`` without rows that have no id and the text of a row with one: near-dedup leaves both, and the copy must not
-    count as a place where the text is repeated."""
-    nameless = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return docs
-    named = docs.where("doc_id is not null")
-    own = named.select(suffix.text_key().alias("_llm_own"))
-    return named.unionByName(nameless.join(own, suffix.text_key() == F.col("_llm_own"), "left_anti"))
-
-
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of repeated strings; characters that lost a byte go whole, ``n_chars`` follows."""
-    gone = suffix.remove_repeats(_counted(docs)).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
+    """Every document without the bytes of strings of ``PASSAGE`` bytes that start twice or more; characters that lost a
+    byte go whole, ``n_chars`` follows.
+
+    Null, empty and shorter texts come out as they went in, and so do all other columns; a repeated text, or what two
+    texts share, goes from every place. No documents: none.
+    """
+    gone = suffix.remove_repeats(docs, PASSAGE).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
     joined = docs.join(gone, suffix.text_key() == F.col("_llm_key"), "left")
     changed = {"text": F.coalesce("_llm_kept", "text")}
     if "n_chars" in docs.columns:

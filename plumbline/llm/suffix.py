@@ -18,6 +18,8 @@ GRAM = 32  # bytes of an anchor
 #: Bytes that a suffix array is built over, about; and distinct surroundings of one anchor beyond which they are split.
 SHARD_BYTES = 1 << 20
 HOT = 6000
+#: Repeated anchors (8 bytes each) up to this many are looked up by a broadcast, more by a shuffle.
+MOST_BROADCAST = 1_000_000
 _PLACE_BITS = 30
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -179,25 +181,30 @@ def _induce(text: np.ndarray, smaller: np.ndarray, order: np.ndarray, counts: np
     return out
 
 
-def _sort_names(names: np.ndarray, deep: int) -> np.ndarray:
-    """Order of the suffixes of a string of names, as far as their first ``deep`` names tell: each round sorts runs
-    twice as long from the ranks of the round before."""
-    rank, width, n = names.astype(np.int64), 1, len(names)
-    while True:
-        after = np.zeros(n, np.int64)
-        after[: n - width if width < n else 0] = rank[width:] + 1
-        pair = rank * (n + 2) + after
-        order = np.argsort(pair, kind="stable")
-        ranked = np.concatenate([[0], np.cumsum(np.diff(pair[order]) != 0)])
-        rank = np.empty(n, np.int64)
-        rank[order] = ranked
+def _sort_names(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a string of names. Each round tells apart what is still equal by the ranks of the
+    suffixes ``width`` names on, twice as far as the round before; a rank is where its group begins in the order."""
+    n, width = len(names), 1
+    order = np.argsort(names, kind="stable")
+    heads = np.append(True, np.diff(names[order]) != 0)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
+    tied = np.flatnonzero(~(heads & np.append(heads[1:], True)))
+    while len(tied):
+        suffixes = order[tied]
+        own, beyond = rank[suffixes], suffixes + width
+        after = np.where(beyond < n, rank[np.minimum(beyond, n - 1)], -1)
+        by = np.lexsort((after, own))
+        order[tied], own, after = suffixes[by], own[by], after[by]
+        heads = np.append(True, (np.diff(own) != 0) | (np.diff(after) != 0))
+        rank[order[tied]] = tied[np.maximum.accumulate(np.where(heads, np.arange(len(tied)), 0))]
+        tied = tied[~(heads & np.append(heads[1:], True))]
         width *= 2
-        if width >= deep or ranked[-1] == n - 1:
-            return order
+    return order
 
 
-def suffix_array(text: np.ndarray, deep: int) -> np.ndarray:
-    """Suffixes of ``text`` in order by their first ``deep`` letters at least. The last letter must be the only 0.
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Suffixes of ``text`` in order. The last letter must be the only 0.
 
     Suffixes are classified as smaller or larger than the next; substrings between leftmost-smaller places are sorted
     by a first induction and named; equal names are told apart by sorting the string of names; a second induction from
@@ -229,7 +236,7 @@ def suffix_array(text: np.ndarray, deep: int) -> np.ndarray:
     name[ordered] = np.concatenate([[0], np.cumsum(~same)])
     names = name[lms]
     if names.max() + 1 < len(lms):
-        order = lms[_sort_names(names, deep)]
+        order = lms[_sort_names(names)]
     else:
         order = ordered
     return _induce(text, smaller, order.astype(np.int32), counts)
@@ -280,7 +287,7 @@ def repeated_in_shard(pieces: list[bytes], texts: np.ndarray, begins: np.ndarray
     piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes + 1)
     at = (np.arange(len(raw)) - (ends - sizes)[piece]).astype(np.int32)
     left = np.append(np.maximum(sizes[piece] - at, 0), 0).astype(np.int32)
-    array = suffix_array(text, length)
+    array = suffix_array(text)
     shared = permuted_prefixes(text, array, left)[array]
     run = np.cumsum(shared < length)
     heads = np.flatnonzero(np.append(True, shared[1:] < length))
@@ -384,7 +391,12 @@ def repeated_stretches(documents: DataFrame, length: int = LENGTH, gram: int = G
     """``key``, ``lo``, ``hi``: stretches of texts covered by repeated strings; and ``key``, ``text`` of texts that may
     have some. ``key`` is the digest of a text."""
     found = stored(find_anchors(documents, length, gram))
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    again, measured = materialise(
+        found.groupBy("h").agg(F.count(F.lit(1)).alias("n")), keep=F.col("n") > 1, repeated=F.count_if(F.col("n") > 1)
+    )
+    again = again.select("h")
+    if (measured["repeated"] or 0) <= MOST_BROADCAST:
+        again = F.broadcast(again)
     found = stored(found.join(again, "h", "left_semi"))
     copies = documents.select(text_key().alias("key"), "text").groupBy("key").agg(F.any_value("text").alias("text"))
     texts = stored(copies.join(found.select("key").distinct(), "key", "left_semi"))

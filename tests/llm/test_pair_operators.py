@@ -169,7 +169,7 @@ def texts_for_arrays():
 def test_suffix_arrays_and_prefixes():
     for raw in (x for group in texts_for_arrays() for x in group):
         text = np.append(np.frombuffer(raw, np.uint8).astype(np.uint16) + 1, np.uint16(0))
-        got = suffix.suffix_array(text, len(text))
+        got = suffix.suffix_array(text)
         expected = sorted(range(len(text)), key=lambda i: text[i:].tolist())
         assert got.tolist() == expected, raw
         left = np.append(np.arange(len(raw), 0, -1), 0)
@@ -265,3 +265,31 @@ def test_hopeless_pieces_are_those_without_a_partner():
             assert got[i] or not held
     assert suffix.may_repeat([b"a", b"b"], [0, -1], 400) == [True, True]
     assert suffix.common_prefix(b"abc", b"abd") == 2 and suffix.common_prefix(b"", b"x") == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_identical_long_pieces_in_one_shard(seed):
+    """Pieces that agree for longer than a string: prefixes carry from place to place only in a fully sorted array."""
+    rng = random.Random(seed)
+    long = [bytes(rng.choice(b"ab ") for _ in range(rng.choice([450, 900, 2500]))) for _ in range(3)]
+    texts = []
+    for _ in range(14):
+        parts = [rng.choice(long)[rng.randrange(40) :][: rng.randrange(380, 2500)] for _ in range(rng.randrange(1, 4))]
+        texts.append(b"-".join([bytes(rng.choice(b"xyz") for _ in range(rng.randrange(30))), *parts]).decode())
+    found = suffix.repeated_in_shard([t.encode() for t in texts], np.arange(len(texts)), np.zeros(len(texts), np.int64), 400)
+    gone = [np.zeros(len(t), bool) for t in texts]
+    for i, a, b in found:
+        gone[i][a:b] = True
+    assert [int(g.sum()) for g in gone] == [removed for removed, _, _ in repeats_brute(texts, 400)]
+
+
+def test_long_repeats_match_brute_force(spark):
+    rng = random.Random(9)
+    passage = [" ".join(f"p{rng.randrange(10**4)}" for _ in range(400)) for _ in range(2)]
+    texts = [" ".join(f"w{rng.randrange(10**4)}" for _ in range(60)) + p[rng.randrange(300) :][: rng.randrange(300, 2300)] for p in passage * 12] + passage
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    got = {bytes(r.key): (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix.remove_repeats(frame).collect()}
+    import hashlib
+
+    for text, (removed, spans, kept) in zip(texts, repeats_brute(texts, 400)):
+        assert got.get(hashlib.md5(text.encode()).digest(), (0, 0, text.encode())) == (removed, spans, kept)
