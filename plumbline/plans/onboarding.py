@@ -12,12 +12,14 @@ from plumbline.sources.registry import register_mappings, register_request, regi
 from plumbline.sources.store import Store
 
 
-def onboard(store: Store, pack: Pack, source: DataFrame, created_date: dt.date | None = None) -> None:
-    """Register a pack and snapshot its source. Safe to repeat: what exists is left alone."""
+def onboard(store: Store, pack: Pack, source: DataFrame, created_date: dt.date | None = None, update: bool = False) -> None:
+    """Register a pack and snapshot its source. Safe to repeat, also after a failure: what exists is left alone, but a
+    table without an order gets the pack's. With ``update`` registered rows take on what the pack says now."""
     store.create_registry()
     extra = [r for r in pack.new_generic_rules if r not in ALL_RULES]
-    register_rules(store, [*ALL_RULES, *extra], created_date)
-    register_request(store, pack, created_date)
-    if store.snapshot(source, pack.entity, pack.exclude_columns) and pack.order_by:
+    register_rules(store, [*ALL_RULES, *extra], created_date, update)
+    register_request(store, pack, created_date, update)
+    copied = store.snapshot(source, pack.entity, pack.exclude_columns, pack.order_by)
+    if not copied and pack.order_by and not store.order(pack.entity):
         store.set_order(pack.entity, pack.order_by)
-    register_mappings(store, pack, created_date=created_date)
+    register_mappings(store, pack, created_date=created_date, update=update)

@@ -14,7 +14,7 @@ from plumbline.operators.validation import check_program
 from plumbline.operators.verdicts import enrich_counted
 from plumbline.plans import reports
 from plumbline.schemas import RESULTS, RULE_MAPPINGS, RULES_GENERIC
-from plumbline.sources.audit import append_run, check_new_run
+from plumbline.sources.audit import append_run, check_new_run, recent_log
 from plumbline.sources.store import Store
 
 
@@ -88,12 +88,18 @@ def run_entity(
 
 
 def entity_reports(store: Store, entity: str | None, latest: bool = False) -> dict[str, DataFrame]:
-    """The four reports of an entity, or of all of them; over all, the total counts every rule in the log."""
-    results, mappings, generic = (store.read(t) for t in (RESULTS, RULE_MAPPINGS, RULES_GENERIC))
+    """The four reports of an entity, or of all of them; over all, the total counts every rule in the log.
+
+    Reports of the latest run read the log's partitions from the newest back.
+    """
+    mappings, generic = store.read(RULE_MAPPINGS), store.read(RULES_GENERIC)
+    if not latest:
+        results = store.read(RESULTS)
+    else:
+        results = recent_log(store, reports.of_entity(mappings, entity) if entity else None)
     return {
         "overall": reports.overall(results, mappings if entity else None, entity, latest),
         "by_category": reports.by_category(results, mappings, generic, entity, latest),
         "rule_detail": reports.rule_detail(results, mappings, generic, entity, latest),
         "breach_register": reports.breach_register(results, mappings, generic, entity, latest),
     }
-

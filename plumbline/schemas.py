@@ -18,6 +18,9 @@ RESULTS = "dq_results"
 
 RESULT_COLUMN = "DQ_RESULT"
 
+#: The log's partitions: the day of a run, in UTC. Readers see the log without it.
+RUN_DATE = "dq_run_date"
+
 
 def _struct(*fields: tuple) -> StructType:
     return StructType([StructField(name, kind(), nullable) for name, kind, nullable in fields])

@@ -1,9 +1,9 @@
-"""Registry maintenance: insert-only upserts of rules, requests and mappings."""
+"""Registry maintenance: upserts of rules, requests and mappings, insert-only unless asked to update."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +14,7 @@ from plumbline.schemas import (
     RULE_MAPPINGS,
     RULES_GENERIC,
     VALIDATION_REQUEST,
-    RULE_MAPPINGS_SCHEMA,
     RULES_GENERIC_SCHEMA,
-    VALIDATION_REQUEST_SCHEMA,
 )
 from plumbline.sources.store import Store
 
@@ -103,34 +101,75 @@ def mapping_rows(
     return stamped(df.withColumn("dq_rule_no", number), created_date)
 
 
-def register_rules(store: Store, rules: Sequence[tuple], created_date: dt.date | None = None) -> None:
+def merged(registered: DataFrame, new: DataFrame, key: str, kept: Sequence[str]) -> DataFrame:
+    """``registered`` with the rows of ``new`` in the place of those with the same key, but for the columns ``kept``.
+
+    Each row of ``new`` has a key of its own. Other registered rows stay as they are.
+    """
+    changed = new.select(F.col(key).alias("_dq_key"), *[F.col(c).alias(f"_dq_new_{c}") for c in new.columns if c not in (key, *kept)])
+    joined = registered.join(changed, F.col(key) == F.col("_dq_key"), "left")
+    hit = F.col("_dq_key").isNotNull()
+    return joined.select(*[
+        F.when(hit, F.col(f"_dq_new_{c}")).otherwise(F.col(c)).alias(c) if f"_dq_new_{c}" in changed.columns else F.col(c)
+        for c in registered.columns
+    ])
+
+
+def differing(registered: DataFrame, new: DataFrame, key: str, kept: Sequence[str]) -> int:
+    """How many registered rows a merge would change."""
+    columns = [c for c in new.columns if c in registered.columns and c not in kept]
+    return new.select(*columns).join(registered.select(key), key, "left_semi").exceptAll(registered.select(*columns)).count()
+
+
+_STAMP = ("active", "created_date", "created_by")
+
+
+def _upsert(
+    store: Store, table: str, key: str, new: DataFrame, added: Callable[[DataFrame], DataFrame], kept: Sequence[str], update: bool
+) -> None:
+    """Add the rows whose key is not registered, while no other session writes the table; ``added`` completes them.
+
+    With ``update`` registered rows take on the new values first, by a new version of the table; ids and stamps stay.
+    """
+    with store.exclusive(table):
+        if update and differing(store.read(table), new, key, kept):
+            store.overwrite(table, merged(store.read(table), new, key, kept))
+        registered = store.read(table)
+        store.append(table, added(registered).select(*registered.columns))
+
+
+def register_rules(store: Store, rules: Sequence[tuple], created_date: dt.date | None = None, update: bool = False) -> None:
     """Add the rule types the catalogue does not hold, in the order given."""
-    new = generic_rule_rows(store.spark, rules, created_date)
-    rows = numbered(
-        new, store.read(RULES_GENERIC), "generic_rule_desc_short", "generic_rule_id", ["ordinal"]
-    )
-    store.append(RULES_GENERIC, rows.select(*RULES_GENERIC_SCHEMA.fieldNames()))
+    new, key = generic_rule_rows(store.spark, rules, created_date), "generic_rule_desc_short"
+
+    def added(registered: DataFrame) -> DataFrame:
+        return numbered(new, registered, key, "generic_rule_id", ["ordinal"])
 
+    _upsert(store, RULES_GENERIC, key, new, added, ("generic_rule_id", "ordinal", *_STAMP), update)
 
-def register_request(store: Store, pack: Pack, created_date: dt.date | None = None) -> None:
+
+def register_request(store: Store, pack: Pack, created_date: dt.date | None = None, update: bool = False) -> None:
     """Add the pack's validation request unless it is there."""
-    rows = numbered(
-        request_row(store.spark, pack, created_date),
-        store.read(VALIDATION_REQUEST),
-        "dq_validation_request_short",
-        "dq_val_request_id",
-    )
-    store.append(VALIDATION_REQUEST, rows.select(*VALIDATION_REQUEST_SCHEMA.fieldNames()))
+    new, key = request_row(store.spark, pack, created_date), "dq_validation_request_short"
+
+    def added(registered: DataFrame) -> DataFrame:
+        return numbered(new, registered, key, "dq_val_request_id")
+
+    _upsert(store, VALIDATION_REQUEST, key, new, added, ("dq_val_request_id", *_STAMP), update)
 
 
 def register_mappings(
-    store: Store, pack: Pack, table: str | None = None, created_date: dt.date | None = None
+    store: Store, pack: Pack, table: str | None = None, created_date: dt.date | None = None, update: bool = False
 ) -> None:
-    """Add the pack's mappings whose id is not registered. Registered ones stay as they are."""
+    """Add the pack's mappings whose id is not registered. Registered ones stay as they are, unless ``update`` lets them
+    take on the pack's thresholds, owners, fields and texts."""
     new = mapping_rows(store.spark, pack, store.catalog, store.schema, table or pack.entity, created_date)
-    rows = unregistered(new, store.read(RULE_MAPPINGS), "rule_mapping_id")
-    rows = resolve_request_ids(rows, store.read(VALIDATION_REQUEST))
-    store.append(RULE_MAPPINGS, rows.select(*RULE_MAPPINGS_SCHEMA.fieldNames()))
+    new, key = resolve_request_ids(new, store.read(VALIDATION_REQUEST)), "rule_mapping_id"
+
+    def added(registered: DataFrame) -> DataFrame:
+        return unregistered(new, registered, key)
+
+    _upsert(store, RULE_MAPPINGS, key, new, added, _STAMP, update)
 
 
 def show_rules(generic: DataFrame) -> DataFrame:

@@ -137,6 +137,15 @@ LATEST = (
 )
 
 
+def latest_rows(entity: str, columns: str) -> str:
+    """Log rows of the entity's latest run, found first and by itself."""
+    return f"""{history()},
+newest AS MATERIALIZED (
+  SELECT MAX(r2.dq_execution_timestamp) AS ts FROM log r2 JOIN m m2 ON r2.dq_rule_no = m2.dq_rule_no
+  WHERE m2.source_table = '{entity}')
+SELECT {columns} FROM log r JOIN newest ON r.dq_execution_timestamp = newest.ts"""
+
+
 def _scope(entity: str | None, latest: bool) -> str:
     parts = []
     if entity:

@@ -701,8 +701,7 @@ def j02(spark, sf_dir):
 
 @register(
     "f05_latest_run_rows",
-    f"{o.history()} SELECT r.dq_run_id, r.dq_rule_no, r.dq_execution_timestamp FROM log r "
-    f"WHERE {o.LATEST.format(entity='orders_gold')}",
+    o.latest_rows("orders_gold", "r.dq_run_id, r.dq_rule_no, r.dq_execution_timestamp"),
 )
 def f05(spark, sf_dir):
     log, mappings, _ = report_tables(spark, sf_dir)
