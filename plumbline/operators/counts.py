@@ -19,7 +19,7 @@ from plumbline.functions.encoding import (
 from plumbline.functions.rules import column, out_of_scope
 from plumbline.functions.scores import pass_pct, rule_score
 from plumbline.operators.program import RuleMapping
-from plumbline.operators.uniqueness import first_rows_per_group
+from plumbline.operators.uniqueness import late_rows_per_group
 from plumbline.operators.verdicts import STATUS, apply_rules, verdict_column
 from plumbline.schemas import RESULT_COLUMN
 
@@ -63,8 +63,8 @@ def program_counts(
 ) -> DataFrame:
     """The same as ``rule_counts`` of ``apply_rules``, for counts alone.
 
-    Row rules, and the relevant rows of uniqueness rules, are counted in one pass. The passing rows of a uniqueness
-    rule are its values' first rows in scope, as many as one aggregate per field finds: no row is marked.
+    Row rules, and the relevant rows of uniqueness rules, are counted in one pass. A uniqueness rule passes all of
+    these but the later rows of repeated values, and only rows of repeated values are looked at again: no row is marked.
     """
     unique = [m for m in program if m.is_unique_rule]
     if not unique:
@@ -73,16 +73,16 @@ def program_counts(
     in_scope = ~out_of_scope(STATUS) if masked else F.lit(True)
     kept = list(dict.fromkeys([*by, STATUS] if masked else by))
     judged = apply_rules(df, [m for m in program if not m.is_unique_rule], as_of, keep=kept)
-    none_yet = {verdict_column(m.rule_mapping_id): F.when(in_scope, 0) for m in unique}
-    parts = rule_counts(judged.withColumns(none_yet), program, by)
-    firsts = first_rows_per_group(df, [m.source_field for m in unique], order_by, in_scope, by)
+    all_first = {verdict_column(m.rule_mapping_id): F.when(in_scope, 1) for m in unique}
+    parts = rule_counts(judged.withColumns(all_first), program, by)
+    late = late_rows_per_group(df, [m.source_field for m in unique], order_by, in_scope, by)
     for m in unique:
-        rows = firsts[m.source_field].select(
+        rows = late[m.source_field].select(
             *[column(c) for c in by],
             F.lit(m.rule_mapping_id).cast("long").alias("rule_mapping_id"),
             F.lit(m.dq_rule_no).alias("dq_rule_no"),
             F.lit(0).cast("long").alias(RELEVANT),
-            F.col("_dq_count").alias(POSITIVE),
+            (-F.col("_dq_count")).alias(POSITIVE),
         )
         parts = parts.unionByName(rows)
     return parts.groupBy(*[column(c) for c in by], "rule_mapping_id", "dq_rule_no").agg(

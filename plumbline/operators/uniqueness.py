@@ -3,10 +3,13 @@
 The table is wide and mostly clean, and one value (often NULL) may hold a third
 of its rows, so neither a window over whole rows nor a window per value is safe.
 
-1. Count each value in a narrow aggregate. Partial aggregation folds a hot value
-   to one row per task before the shuffle. Values seen once need no more work.
+1. Count the values of all fields in one scan of these columns. Partial
+   aggregation folds a hot value to one row per task before the shuffle. Values
+   seen once need no more work.
 2. If few values repeat, find the first row of each and look them up by a
-   broadcast join: the wide rows are never shuffled.
+   broadcast join: the wide rows are never shuffled. The declared columns and the
+   rows' places are read for that; other columns only for values whose first two
+   rows tie in the declared order.
 3. If many values repeat in one field only, and the counts show that no group is
    large, rank the rows by a window.
 4. Otherwise list the failing rows by position. Hot values are few by arithmetic
@@ -23,10 +26,8 @@ only then its place in the table: rewriting or moving a table changes no count.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -43,12 +44,15 @@ from pyspark.sql.types import (
 from plumbline.functions.rules import column
 from plumbline.sources.staging import POSITION, has_position, materialise, stage_with_position
 
-# A key is at most 65 bytes and a position 24: this many stay below 32 MB.
-MAX_BROADCAST_KEYS = 100_000
-# A value is hot above this many rows, and above 1/MAX_BROADCAST_KEYS of the table.
+# Looked-up values: a key is 8 bytes or, as text, up to 65; a position 24; a hash table's entry 16 more.
+MAX_BROADCAST_BYTES = 32 << 20
+_NUMBER_BYTES, _TEXT_BYTES, _ENTRY_BYTES = 8, 65, 40
+# A value is hot above this many rows, and above the share of the table that leaves few enough hot values to broadcast.
 HOT_ROWS = 1_000_000
 LONG_TEXT_BYTES = 64
-MAX_CONCURRENT_COUNTS = 4
+
+# Fields counted in one scan: each row goes into the aggregate once per field.
+COUNTED_AT_ONCE = 8
 
 # Bits of one word in the list of fields in which a row is a later duplicate.
 WORD_BITS = 62
@@ -89,27 +93,33 @@ def _digests(df: DataFrame, columns: Sequence[str], names: Sequence[str]) -> Dat
 
 
 def with_row_identity(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
-    """The frame with columns that identify each of its rows, the same in every scan; and the order that settles
-    which row of a value comes first.
+    """The frame with columns that identify each of its rows, the same in every scan; and the columns whose values
+    settle which of two rows comes first where the declared order does not (none if it always does).
 
-    A declared order that is a key identifies rows by itself, by a digest where it holds texts. Otherwise a digest of
-    the row's values follows the declared order, and rows equal in all of them are told apart by their position.
+    A declared order that is a key identifies rows by itself, by a digest where it holds texts. Otherwise a row is
+    identified by its position, and the rows' values follow the declared order.
     """
     if not has_position(df) and order_by and is_key(df, order_by):
         if _is_narrow(df, order_by):
-            return df, list(order_by), list(order_by)
-        return _digests(df, order_by, _IDENTITY), list(_IDENTITY), [*order_by, *_IDENTITY]
+            return df, list(order_by), []
+        return _digests(df, order_by, _IDENTITY), list(_IDENTITY), []
     own = [f.name for f in df.schema if f.name not in POSITION and "map<" not in f.dataType.simpleString()]
     if not has_position(df):
         df = stage_with_position(df)
-    return _digests(df, own, _CONTENT), list(POSITION), [*order_by, *_CONTENT, *POSITION]
+    return df, list(POSITION), own
+
+
+def _broadcast_keys(df: DataFrame, key: Column) -> int:
+    """How many values of a field may be looked up by a broadcast: as many as stay below its bound in bytes."""
+    is_text = isinstance(df.select(key).schema[0].dataType, (StringType, BinaryType))
+    return MAX_BROADCAST_BYTES // ((_TEXT_BYTES if is_text else _NUMBER_BYTES) + _ENTRY_BYTES)
 
 
 def mark_first(
     df: DataFrame,
     fields: Sequence[str],
     order_by: Sequence[str] = (),
-    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    max_broadcast_keys: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, dict[str, Column]]:
     """Per field, a Column that is true on the first row of each value.
@@ -117,72 +127,104 @@ def mark_first(
     "First" follows ``order_by``, the row's values and then its position in the
     table. The frame returned carries the helper columns those Columns read.
     """
-    df, identity, order = with_row_identity(df, order_by)
-    order = list(dict.fromkeys(order))
+    order_by = list(dict.fromkeys(order_by))
+    df, identity, values = with_row_identity(df, order_by)
     fields = list(dict.fromkeys(fields))
     keys = {f: grouping_key(df, f) for f in fields}
-    narrow_frames = [df.select(keys[f].alias(_KEY), *[column(c) for c in order]) for f in fields]
-    # The counts of the fields are independent jobs over one column each.
-    with ThreadPoolExecutor(MAX_CONCURRENT_COUNTS) as pool:
-        counted = list(pool.map(inheritable_thread_target(df.sparkSession)(_repeated_keys), narrow_frames))
+    counted = _repeated_keys(df, list(keys.values()))
 
     marked, flags, crowded = df, {}, []
-    for n, (field, narrow, (repeated, seen)) in enumerate(zip(fields, narrow_frames, counted)):
+    for n, (field, (repeated, seen)) in enumerate(zip(fields, counted)):
+        most = _broadcast_keys(df, keys[field]) if max_broadcast_keys is None else max_broadcast_keys
         if not seen["repeated"]:
             flags[field] = F.lit(True)
-        elif seen["repeated"] <= max_broadcast_keys:
-            first = _first_rows(narrow, repeated, order, identity)
+        elif seen["repeated"] <= most:
+            first = _first_rows(df, keys[field], repeated, order_by, identity, values)
             marked = _look_up(marked, first, keys[field], identity, f"_dq_first_{n}")
             flags[field] = F.col(f"_dq_first_{n}")
         else:
-            limit = max(hot_rows, seen["rows"] // MAX_BROADCAST_KEYS)
-            hot = repeated.where(F.col(_COUNT) > limit) if seen["largest"] > limit else None
-            crowded.append((field, narrow, hot))
-
-    if len(crowded) == 1 and crowded[0][2] is None:
+            limit = max(hot_rows, seen["rows"] // _broadcast_keys(df, keys[field]))
+            crowded.append((field, repeated.where(F.col(_COUNT) > limit) if seen["largest"] > limit else None))
+
+    if not crowded:
+        return marked, flags
+    settled = _digests(df, values, _CONTENT) if values else df
+    order = list(dict.fromkeys([*order_by, *(_CONTENT if values else ()), *identity]))
+    if len(crowded) == 1 and crowded[0][1] is None:
         field = crowded[0][0]
-        marked = marked.withColumn("_dq_rank", _rank(keys[field], [c for c in order if c != field]))
+        by_values = [F.xxhash64(F.lit(seed), *[column(c) for c in values]) for seed in range(len(_CONTENT))] if values else []
+        places = [column(c) for c in dict.fromkeys(order_by) if c != field], [column(c) for c in identity if c not in (field, *order_by)]
+        rank = F.row_number().over(Window.partitionBy(keys[field]).orderBy(*places[0], *by_values, *places[1]))
+        marked = marked.withColumn("_dq_rank", rank)
         flags[field] = F.col("_dq_rank") == 1
-    elif crowded:
-        late = [_late_rows(narrow, hot, order, identity) for _, narrow, hot in crowded]
+    else:
+        late = []
+        for field, hot in crowded:
+            narrow = settled.select(keys[field].alias(_KEY), *[column(c) for c in order])
+            first = None if hot is None else _first_rows(df, keys[field], hot, order_by, identity, values)
+            late.append(_late_rows(narrow, first, order, identity))
         marked = _join_late(marked, late, identity)
-        for i, (field, _, _) in enumerate(crowded):
+        for i, (field, _) in enumerate(crowded):
             word, bit = divmod(i, WORD_BITS)
             flags[field] = F.coalesce(F.getbit(F.col(f"{_LATE}_{word}"), F.lit(bit)) == 0, F.lit(True))
     return marked, flags
 
 
-def first_rows_per_group(
+def late_rows_per_group(
     df: DataFrame, fields: Sequence[str], order_by: Sequence[str], counted: Column, by: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    """Per field, in each group of ``by``: ``_dq_count``, the values whose first row lies in the group and is ``counted``.
+    """Per field, in each group of ``by``: ``_dq_count``, its ``counted`` rows that are not the first of their value.
 
-    "First" is the row that ``mark_first`` marks. One aggregate per field over its value, the order and ``by``: a hot
-    value folds to one row per task, and no row gets a mark.
+    "First" is the row that ``mark_first`` marks. Values are counted in one scan of the fields; only rows of repeated
+    values are looked at again, folded to a row per value and group in each task.
     """
-    df, _, order = with_row_identity(df, order_by)
-    order = list(dict.fromkeys(order))
-    places = [column(c).alias(f"_dq_order_{i}") for i, c in enumerate(order)]
+    order_by = list(dict.fromkeys(order_by))
+    df, identity, values = with_row_identity(df, order_by)
+    fields = list(dict.fromkeys(fields))
+    keys = {f: grouping_key(df, f) for f in fields}
     groups = {c: f"_dq_by_{i}" for i, c in enumerate(by)}
-    row = F.struct(*places, counted.alias(_COUNT), *[column(c).alias(a) for c, a in groups.items()])
-
-    def of(field: str) -> DataFrame:
-        first = df.select(grouping_key(df, field).alias(_KEY), row.alias(_FIRST)).groupBy(_KEY).agg(F.min(_FIRST).alias(_FIRST))
-        return first.groupBy(*[F.col(f"{_FIRST}.{a}").alias(c) for c, a in groups.items()]).agg(
-            F.count_if(F.col(f"{_FIRST}.{_COUNT}")).alias(_COUNT)
+    own = [column(c).alias(a) for c, a in groups.items()]
+    found = {}
+    for field, (repeated, seen) in zip(fields, _repeated_keys(df, list(keys.values()))):
+        few = seen["repeated"] <= _broadcast_keys(df, keys[field])
+        wanted = repeated.select(F.col(_KEY).alias("_dq_wanted"))
+        same = keys[field].eqNullSafe(F.col("_dq_wanted"))
+        rows = df.where(counted).join(F.broadcast(wanted) if few else wanted, same, "left_semi")
+        first = _first_rows(df, keys[field], repeated, order_by, identity, values, {"_dq_counted": counted, **{a: column(c) for c, a in groups.items()}}, few)
+        # each value's first row comes off its group's rows
+        all_rows = rows.select(*own, F.lit(1).alias("n"))
+        first_rows = first.where("_dq_counted").select(*groups.values(), F.lit(-1).alias("n"))
+        found[field] = all_rows.unionByName(first_rows).groupBy(*groups.values()).agg(F.sum("n").alias(_COUNT)).select(
+            *[F.col(a).alias(c) for c, a in groups.items()], F.coalesce(_COUNT, F.lit(0)).alias(_COUNT)
         )
-
-    return {field: of(field) for field in dict.fromkeys(fields)}
-
-
-def _repeated_keys(narrow: DataFrame) -> tuple[DataFrame, dict]:
-    return materialise(
-        narrow.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT)),
-        keep=F.col(_COUNT) > 1,
-        rows=F.sum(_COUNT),
-        repeated=F.count_if(F.col(_COUNT) > 1),
-        largest=F.max(_COUNT),
-    )
+    return found
+
+
+def _repeated_keys(df: DataFrame, keys: Sequence[Column]) -> list[tuple[DataFrame, dict]]:
+    """Per key: its repeated values with their counts, and what is known of all of them. One scan counts
+    ``COUNTED_AT_ONCE`` keys."""
+    if len(keys) > COUNTED_AT_ONCE:
+        return [found for i in range(0, len(keys), COUNTED_AT_ONCE) for found in _repeated_keys(df, keys[i : i + COUNTED_AT_ONCE])]
+    names = [f"{_KEY}_{i}" for i in range(len(keys))]
+    narrow = df.select(*[k.alias(n) for k, n in zip(keys, names)])
+    count = F.count(F.lit(1)).alias(_COUNT)
+    if len(keys) == 1:
+        counts = narrow.groupBy(*names).agg(count).withColumn("_dq_set", F.lit(0))
+    else:
+        sets = [[n] for n in names]
+        # a set that leaves out all columns but one has ones in all other places
+        counts = narrow.groupingSets(sets, *names).agg(count, F.grouping_id().alias("_dq_set"))
+    of_set = {i: (F.col("_dq_set") == (0 if len(keys) == 1 else ((1 << len(keys)) - 1) ^ (1 << (len(keys) - 1 - i)))) for i in range(len(keys))}
+    measures = {}
+    for i, here in of_set.items():
+        measures[f"rows_{i}"] = F.sum(F.when(here, F.col(_COUNT)))
+        measures[f"repeated_{i}"] = F.count_if(here & (F.col(_COUNT) > 1))
+        measures[f"largest_{i}"] = F.max(F.when(here, F.col(_COUNT)))
+    stored, seen = materialise(counts, keep=F.col(_COUNT) > 1, **measures)
+    return [
+        (stored.where(of_set[i]).select(F.col(n).alias(_KEY), _COUNT), {m: seen[f"{m}_{i}"] for m in ("rows", "repeated", "largest")})
+        for i, n in enumerate(names)
+    ]
 
 
 def _all_same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -193,15 +235,50 @@ def _rank(key: Column, order: Sequence[str]) -> Column:
     return F.row_number().over(Window.partitionBy(key).orderBy(*[column(c) for c in order]))
 
 
-def _first_rows(narrow: DataFrame, keys: DataFrame, order: Sequence[str], identity: Sequence[str]) -> DataFrame:
-    """Identity of the first row of each given key; no more rows than keys, which are few."""
-    wanted = F.broadcast(keys.select(F.col(_KEY).alias("_dq_wanted")))
-    return (
-        narrow.join(wanted, F.col(_KEY).eqNullSafe(F.col("_dq_wanted")), "left_semi")
-        .groupBy(_KEY)
-        .agg(F.min(F.struct(*[column(c) for c in order])).alias(_FIRST))
-        .select(_KEY, *[F.col(f"{_FIRST}.`{c}`").alias(c) for c in identity])
-    )
+def _first_rows(
+    df: DataFrame, key: Column, repeated: DataFrame, order_by: Sequence[str], identity: Sequence[str], values: Sequence[str],
+    carried: dict[str, Column] | None = None, few: bool = True,
+) -> DataFrame:
+    """Of each repeated value the first row: the value, ``identity`` of the row and what it ``carried``.
+
+    Among the rows that come first in the declared order, the one with the least place and the one with the greatest
+    are the same unless they tie. Only tying values are looked at again, with digests of the rows' ``values``.
+    """
+    carried = carried or {}
+    places = {f"_dq_at_{i}": column(c) for i, c in enumerate(identity)}
+    told = {f"_dq_by_{i}_": column(c) for i, c in enumerate(order_by)}
+
+    def least(rows: DataFrame, wanted: DataFrame, keep_order: bool, extra: dict[str, Column]) -> DataFrame:
+        """Rows of wanted values, the first of each by declared order (or among given ones) and then ``extra``."""
+        fields = {**(told if keep_order else {}), **extra, **places, **carried}
+        parts = [F.struct(*[v.alias(n) for n, v in fields.items()]).alias(_FIRST)]
+        if values and keep_order and order_by:
+            backwards = {**told, **{n: F.bitwise_not(v) for n, v in places.items()}}
+            parts.append(F.struct(*[v.alias(n) for n, v in backwards.items()]).alias("_dq_last"))
+        same = key.eqNullSafe(F.col("_dq_wanted"))
+        if not keep_order:
+            for n, v in told.items():
+                same = same & v.eqNullSafe(F.col(f"{n}w"))
+        hit = rows.join(F.broadcast(wanted) if few else wanted, same, "left_semi").select(key.alias(_KEY), *parts)
+        return hit.groupBy(_KEY).agg(*[F.min(c).alias(c) for c in hit.columns[1:]])
+
+    def result(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            _KEY, *[F.col(f"{_FIRST}.{n}").alias(c) for n, c in zip(places, identity)], *[F.col(f"{_FIRST}.{n}").alias(n) for n in carried]
+        )
+
+    wanted = repeated.select(F.col(_KEY).alias("_dq_wanted"))
+    if not values:
+        return result(least(df, wanted, True, {}))
+    digests = {name: F.xxhash64(F.lit(seed), *[column(c) for c in values]) for seed, name in enumerate(_CONTENT)}
+    if not order_by:
+        return result(least(df, wanted, True, digests))
+    ties = reduce(lambda a, b: a | b, [F.col(f"{_FIRST}.{n}") != F.bitwise_not(F.col(f"_dq_last.{n}")) for n in places])
+    found, seen = materialise(least(df, wanted, True, {}).withColumn("_dq_tie", ties), ties=F.count_if("_dq_tie"))
+    if not seen["ties"]:
+        return result(found)
+    tied = found.where("_dq_tie").select(F.col(_KEY).alias("_dq_wanted"), *[F.col(f"{_FIRST}.{n}").alias(f"{n}w") for n in told])
+    return result(found.where("not _dq_tie")).unionByName(result(least(df, tied, False, digests)))
 
 
 def _look_up(
@@ -220,23 +297,20 @@ def _look_up(
 
 
 def _late_rows(
-    narrow: DataFrame, hot: DataFrame | None, order: Sequence[str], identity: Sequence[str]
+    narrow: DataFrame, first: DataFrame | None, order: Sequence[str], identity: Sequence[str]
 ) -> DataFrame:
-    """Identity of every row that is not the first of its value."""
+    """Identity of every row that is not the first of its value. ``first`` has the first rows of the hot values."""
     ids = [column(c) for c in identity]
     cold = narrow
-    if hot is not None:
-        hot_keys = F.broadcast(hot.select(F.col(_KEY).alias("_dq_hot")))
-        cold = narrow.join(hot_keys, F.col(_KEY).eqNullSafe(F.col("_dq_hot")), "left_anti")
+    if first is not None:
+        names = [f"_dq_first_{i}" for i in range(len(identity))]
+        first = first.select(F.col(_KEY).alias("_dq_hot"), *[c.alias(a) for c, a in zip(ids, names)])
+        is_hot = F.col(_KEY).eqNullSafe(F.col("_dq_hot"))
+        cold = narrow.join(F.broadcast(first.select("_dq_hot")), is_hot, "left_anti")
     late = cold.withColumn("_dq_rank", _rank(F.col(_KEY), order)).where("_dq_rank > 1").select(*ids)
-    if hot is None:
+    if first is None:
         return late
-
-    names = [f"_dq_first_{i}" for i in range(len(identity))]
-    first = _first_rows(narrow, hot, order, identity).select(
-        F.col(_KEY).alias("_dq_hot"), *[c.alias(a) for c, a in zip(ids, names)]
-    )
-    of_hot = narrow.join(F.broadcast(first), F.col(_KEY).eqNullSafe(F.col("_dq_hot")))
+    of_hot = narrow.join(F.broadcast(first), is_hot)
     return late.unionByName(of_hot.where(~_all_same(identity, names)).select(*ids))
 
 

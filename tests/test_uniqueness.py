@@ -1,9 +1,12 @@
 """First-of-value marking: against a plain window, over paths, partitions and skew."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from plumbline.operators import uniqueness
 from plumbline.operators.uniqueness import grouping_key, mark_first
 from plumbline.sources.staging import with_position
 
@@ -152,3 +155,67 @@ def test_more_crowded_fields_than_a_word_has_bits(spark):
     got = marked.agg(*[F.count_if(flags[n]).alias(n) for n in names]).first()
     assert list(got) == [3 + i % 5 for i in range(64)]
     assert {r.id for r in marked.where(flags["c63"]).collect()} == by_window(df.withColumn("k", F.col("id")), "c63", ["id"])
+
+
+def scans(frame):
+    """Columns that each scan of the plan reads from files; a row's index in its file is counted, not read."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [set(re.findall(r"(\w+):", line.split("ReadSchema: struct<")[1])) - {"_tmp_metadata_row_index"} for line in plan.splitlines() if "ReadSchema: struct<" in line]
+
+
+def test_all_fields_are_counted_in_one_scan(spark, sf_dir, monkeypatch):
+    frames = []
+    original = uniqueness.materialise
+
+    def seen(df, **kwargs):
+        frames.append(df)
+        return original(df, **kwargs)
+
+    monkeypatch.setattr(uniqueness, "materialise", seen)
+    df = with_position(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    mark_first(df, ["l_suppkey", "l_partkey", "l_returnflag"], ["l_orderkey", "l_linenumber", "l_shipdate"])
+    counts = [f for f in frames if "_dq_set" in f.columns]
+    assert len(counts) == 1 and scans(counts[0]) == [{"l_suppkey", "l_partkey", "l_returnflag"}]
+
+
+def test_a_declared_order_reads_no_other_column(spark, sf_dir, monkeypatch):
+    """Looking for first rows reads the value and the declared columns; other columns only where these tie."""
+    frames = []
+    original = uniqueness.materialise
+
+    def seen(df, **kwargs):
+        frames.append((df, kwargs))
+        return original(df, **kwargs)
+
+    monkeypatch.setattr(uniqueness, "materialise", seen)
+    df = with_position(spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    marked, flags = mark_first(df, ["c_nationkey"], ["c_custkey"])
+    looked = [f for f, k in frames if "ties" in k]
+    assert len(looked) == 1 and scans(looked[0]) == [{"c_nationkey", "c_custkey"}]
+    assert scans(marked.select(flags["c_nationkey"])) == [{"c_nationkey"}]
+
+
+@pytest.mark.parametrize("order", [["o"], ["o", "p"], []])
+def test_ties_follow_the_rows_values(spark, tmp_path, order):
+    """Of rows that tie in the declared order the same one comes first whatever the layout; equal rows give one."""
+    rows = spark.range(3000).select(F.expr("id % 50").alias("v"), F.expr("id % 3").alias("o"), F.expr("id % 2").alias("p"), F.expr("id % 700").alias("x"))
+    marks = []
+    for files in (1, 5):
+        path = str(tmp_path / f"f{files}")
+        rows.orderBy(F.rand(files)).repartition(files).write.parquet(path)
+        marked, flags = mark_first(with_position(spark.read.parquet(path)), ["v", "x"], order)
+        marks.append([sorted(tuple(r) for r in marked.where(flags[f]).select("v", "o", "p", "x").collect()) for f in ("v", "x")])
+    assert marks[0] == marks[1] and [len(m) for m in marks[0]] == [50, 700]
+    if order:
+        best = {r.v: r.o for r in rows.groupBy("v").agg(F.min("o").alias("o")).collect()}
+        assert all(o == best[v] for v, o, _, _ in marks[0][0])
+
+
+def test_late_rows_per_group_match_marked_rows(spark):
+    df = skewed(spark).withColumn("g", F.expr("id % 4") if "id" in skewed(spark).columns else F.expr("k % 4")).repartition(5)
+    df = df.withColumn("in", F.expr("k % 5 <> 0"))
+    marked, flags = mark_first(df, ["v", "w"], ["k"])
+    late = uniqueness.late_rows_per_group(df, ["v", "w"], ["k"], F.col("in"), ["g"])
+    for f in ("v", "w"):
+        want = {r.g: r.n for r in marked.where("in").where(~flags[f]).groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert {r.g: r._dq_count for r in late[f].collect() if r._dq_count} == want
