@@ -19,6 +19,7 @@ CHOSEN = 2  # k-mers of a tuple
 _ENTRY_BITS = 6
 ENTRIES = 1 << _ENTRY_BITS
 _TOP = 64 - _ENTRY_BITS
+_OFFSET = 1 << 31  # an entry is the low half of a hash, kept as an int
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -109,7 +110,8 @@ def order_minhash(text: Column) -> Column:
 
                     best = let(F.array_position(runs, j), chosen)
                     in_order = F.sort_array(F.transform(best, lambda x: x.bitwiseAND(place)))
-                    return F.xxhash64(F.transform(in_order, lambda at: gram[at.cast("int")])).bitwiseAND(F.lit(0xFFFFFFFF)).cast("bigint")
+                    tuple_hash = F.xxhash64(F.transform(in_order, lambda at: gram[at.cast("int")]))
+                    return (tuple_hash.bitwiseAND(F.lit(2 * _OFFSET - 1)) - _OFFSET).cast("int")
 
                 return F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(ENTRIES - 1).cast("bigint")), entry)
 
@@ -129,7 +131,7 @@ def order_minhash(text: Column) -> Column:
 
 def as_text(fingerprint: Column) -> Column:
     """Eight hexadecimal digits per entry."""
-    return F.array_join(F.transform(fingerprint, lambda e: F.lower(F.lpad(F.hex(e), 8, "0"))), "")
+    return F.array_join(F.transform(fingerprint, lambda e: F.lower(F.lpad(F.hex(e.cast("bigint") + _OFFSET), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
