@@ -12,9 +12,6 @@ from plumbline.functions.encoding import (
     checks_in_row,
     label,
     passes_in_row,
-    segment_label,
-    segment_value,
-    segments,
 )
 from plumbline.functions.rules import column, out_of_scope
 from plumbline.functions.scores import pass_pct, rule_score
@@ -97,49 +94,47 @@ def _sql_text(value: str) -> str:
 def result_patterns(enriched: DataFrame) -> DataFrame:
     """Distinct encoded results with their number of rows.
 
-    For tables that somebody else has written; a run counts while it writes. Rows
-    that share a pattern fold inside each task before the shuffle.
+    Shows which verdicts occur together. Counts need no patterns: `rule_counts_from_results` and `run_summary` read
+    the rows themselves.
     """
     return enriched.groupBy(RESULT_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def rule_counts_from_results(patterns: DataFrame, program: Sequence[RuleMapping]) -> DataFrame:
+def _weight(results: DataFrame) -> Column:
+    """How many rows a row stands for: patterns say it, rows of a table are one each."""
+    return F.col("n_rows") if "n_rows" in results.columns else F.lit(1).cast("long")
+
+
+def rule_counts_from_results(results: DataFrame, program: Sequence[RuleMapping]) -> DataFrame:
     """Relevant and passing rows per rule, read back from the encoded column alone.
 
-    ``patterns`` comes from ``result_patterns``. A rule absent from it counts 0 and 0.
+    ``results`` is a table with the column, whoever wrote it, or its ``result_patterns``. Two counters per rule fold in
+    each task, so what is shuffled is a row per task, however many different strings there are. A rule absent from a
+    row is not evaluated on it; blanks around a verdict do not matter.
     """
-    weighted = patterns.select(F.explode(segments(F.col(RESULT_COLUMN))).alias("segment"), "n_rows").select(
-        segment_label(F.col("segment")).alias("label"),
-        segment_value(F.col("segment")).alias("value"),
-        "n_rows",
-    )
-    by_label = weighted.groupBy("label").agg(
-        F.sum(F.when(F.col("value").isin("0", "1"), F.col("n_rows"))).alias("relevant"),
-        F.sum(F.when(F.col("value") == "1", F.col("n_rows"))).alias("positive"),
-    )
-    rules = patterns.sparkSession.createDataFrame(
-        [(m.rule_mapping_id, m.dq_rule_no, label(m.rule_mapping_id)) for m in program],
-        "rule_mapping_id long, dq_rule_no string, label string",
-    )
-    return rules.join(by_label, "label", "left").select(
-        "rule_mapping_id",
-        "dq_rule_no",
-        F.coalesce("relevant", F.lit(0)).alias(RELEVANT),
-        F.coalesce("positive", F.lit(0)).alias(POSITIVE),
+    if not program:
+        return rule_counts(results.select(F.lit(1).alias("_n")).where("false"), [])
+    bars = F.concat(F.lit("|"), F.replace(F.col(RESULT_COLUMN), F.lit(" "), F.lit("")), F.lit("|"))
+    rows = results.select(bars.alias("_dq_bars"), _weight(results).alias("_dq_n"))
+    counters = []
+    for i, m in enumerate(program):
+        passed, failed = (F.col("_dq_bars").contains(f"|{label(m.rule_mapping_id)}:{v}|") for v in (1, 0))
+        counters += [F.sum(F.when(passed | failed, F.col("_dq_n"))).alias(f"_r{i}"), F.sum(F.when(passed, F.col("_dq_n"))).alias(f"_p{i}")]
+    wide = rows.agg(*counters)
+    per_rule = ", ".join(
+        f"{m.rule_mapping_id}L, {_sql_text(m.dq_rule_no)}, coalesce(_r{i}, 0L), coalesce(_p{i}, 0L)" for i, m in enumerate(program)
     )
+    return wide.selectExpr(f"stack({len(program)}, {per_rule}) AS (rule_mapping_id, dq_rule_no, {RELEVANT}, {POSITIVE})")
 
 
-def run_summary(patterns: DataFrame) -> DataFrame:
-    """One row: total rows, checks, passed checks and overall pass percentage."""
-    per_pattern = patterns.select(
-        "n_rows",
-        (checks_in_row(F.col(RESULT_COLUMN)) * F.col("n_rows")).alias("checks"),
-        (passes_in_row(F.col(RESULT_COLUMN)) * F.col("n_rows")).alias("passed"),
-    )
-    totals = per_pattern.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"),
-        F.sum("checks").alias("total_checks"),
-        F.sum("passed").alias("passed_checks"),
+def run_summary(results: DataFrame) -> DataFrame:
+    """One row: total rows, checks, passed checks and overall pass percentage, from a table with the encoded column or
+    from its ``result_patterns``; three sums, nothing is grouped."""
+    n = _weight(results)
+    totals = results.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total_rows"),
+        F.sum(checks_in_row(F.col(RESULT_COLUMN)) * n).alias("total_checks"),
+        F.sum(passes_in_row(F.col(RESULT_COLUMN)) * n).alias("passed_checks"),
     )
     return totals.select("*", pass_pct(F.col("passed_checks"), F.col("total_checks")).alias("overall_dq_pct"))
 

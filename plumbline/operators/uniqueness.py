@@ -103,7 +103,7 @@ def with_row_identity(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame
         if _is_narrow(df, order_by):
             return df, list(order_by), []
         return _digests(df, order_by, _IDENTITY), list(_IDENTITY), []
-    own = [f.name for f in df.schema if f.name not in POSITION and "map<" not in f.dataType.simpleString()]
+    own = [f.name for f in df.schema if not f.name.startswith("_dq_") and "map<" not in f.dataType.simpleString()]
     if not has_position(df):
         df = stage_with_position(df)
     return df, list(POSITION), own

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.encoding import NOT_EVALUATED, encode_conditions
 from plumbline.functions.rules import column, out_of_scope, row_rule, verdict
+from plumbline.operators.groups import first_of_group, take_windows, with_group_values
 from plumbline.operators.program import RuleMapping
 from plumbline.operators.templates import template_passes
 from plumbline.operators.uniqueness import mark_first
@@ -50,6 +51,7 @@ def judge(
     """
     columns = [c for c in df.columns if c not in POSITION]
     skipped = out_of_scope(STATUS) if STATUS in columns else None
+    df, templates = _without_windows(df, {m.rule_mapping_id: m.template for m in program if m.template})
     unique_fields = [m.source_field for m in program if m.is_unique_rule]
     firsts: dict[str, Column] = {}
     if unique_fields:
@@ -62,7 +64,7 @@ def judge(
         elif m.is_row_rule:
             passes = row_rule(m.rule, m.fields, as_of)
         elif m.template:
-            passes = template_passes(m.template)
+            passes = template_passes(templates[m.rule_mapping_id])
         else:
             log.warning("%s: nobody defines %s, its verdicts are NULL", m.dq_rule_no, m.rule)
             passes = None
@@ -70,6 +72,27 @@ def judge(
     return Judged(df, columns, conditions, skipped)
 
 
+def _without_windows(df: DataFrame, templates: dict[int, str]) -> tuple[DataFrame, dict[int, str]]:
+    """Templates whose windows have become columns of the frame: first rows are marked, aggregates are looked up.
+
+    A window of any other form stays in its template, as Spark runs it.
+    """
+    plain, values = {}, {}
+    for n, (rule, template) in enumerate(templates.items()):
+        first = first_of_group(template)
+        if first is None:
+            plain[rule], found = take_windows(template, f"_dq_group_{n}_")
+            values |= found
+            continue
+        field, order = first
+        held = df.columns
+        marked, flags = mark_first(df, [field], order)
+        held += [c for c in POSITION if c in marked.columns and c not in held]
+        df = marked.select(*[column(c) for c in held], flags[field].alias(f"_dq_ordered_{n}"))
+        plain[rule] = f"`_dq_ordered_{n}`"
+    return with_group_values(df, values), plain
+
+
 def apply_rules(
     df: DataFrame,
     program: Sequence[RuleMapping],

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from plumbline.functions.encoding import NOT_EVALUATED
+from plumbline.operators.groups import first_of_group
 from plumbline.operators.program import load_program, with_templates
 from plumbline.operators.validation import check_program
 from plumbline.operators.verdicts import enrich_counted
@@ -72,7 +73,7 @@ def run_entity(
     if order_by is None:
         order_by = store.order(entity)
 
-    df = store.read_entity(entity, positions=any(m.is_unique_rule for m in program))
+    df = store.read_entity(entity, positions=any(m.is_unique_rule or (m.template and first_of_group(m.template)) for m in program))
     out = f"{entity}_dq"
     enriched, counted = enrich_counted(df, program, as_of, order_by, marker)
     staged = store.stage(out, enriched)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -276,6 +277,34 @@ def unique_template(spark, sf_dir):
     return judged.withColumnRenamed(verdict_column(1), "verdict")
 
 
+_WINDOW_RULES = (
+    ("USER_ALONE", "COUNT(*) OVER (PARTITION BY {field}) = 1", "doc_ref"),
+    ("USER_LEAST", "{total} IS NOT NULL AND {total} = MIN({total}) OVER (PARTITION BY {country}, {flag})", "total|country|flag"),
+    ("USER_NEWEST", "ROW_NUMBER() OVER (PARTITION BY {doc} ORDER BY {day}, {id}) = 1", "doc_ref|order_date|order_id"),
+    ("USER_SHARE", "{total} * 100 <= MAX({total}) OVER (PARTITION BY {country}) * 50", "total|country"),
+)
+
+
+def _window_sql() -> str:
+    """The templates as windows over whole rows."""
+    columns = []
+    for i, (_, template, fields) in enumerate(_WINDOW_RULES, 1):
+        names = list(dict.fromkeys(re.findall(r"{(\w+)}", template)))
+        filled = template.format(**dict(zip(names, fields.split("|"))))
+        filled = filled.replace("ORDER BY order_date,", "ORDER BY order_date NULLS FIRST,")
+        columns.append(f'CAST(CASE WHEN status <> 1 THEN NULL WHEN {filled} THEN 1 ELSE 0 END AS INTEGER) AS "{verdict_column(i)}"')
+    return f"SELECT order_id, {', '.join(columns)} FROM ({e.ENTITY_SQL['orders_gold']}) AS t"
+
+
+@register("d16_window_templates", _window_sql())
+def window_templates(spark, sf_dir):
+    """Templates that ask for values of a row's group: looked up from narrow aggregates, no window over whole rows."""
+    rules = [(name, "text", "VALIDITY", "detail", template, "ALL", "", "") for name, template, _ in _WINDOW_RULES]
+    generic = registry.generic_rule_rows(spark, rules)
+    program = with_templates([RuleMapping(i, f"DQ_{i}", name, fields) for i, (name, _, fields) in enumerate(_WINDOW_RULES, 1)], generic)
+    return apply_rules(e.orders_gold(spark, sf_dir), program, e.ORDERS_AS_OF, ["order_id"], keep=["order_id"])
+
+
 def _validation_sql() -> str:
     types = o.values([(*k, v) for k, v in g.COLUMN_TYPES.items()], "source_table, field, column_type")
     return f"""WITH p AS ({g.MAPPINGS_SQL}), g AS ({o.generic_values()}), t AS ({types}),
@@ -395,7 +424,7 @@ FROM c CROSS JOIN n"""
 
 
 def summarised(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return run_summary(result_patterns(enriched(spark, sf_dir, name)))
+    return run_summary(enriched(spark, sf_dir, name))
 
 
 @register("a01_run_summary", _summary_sql("customer_gold"))
@@ -410,8 +439,14 @@ def counts(spark, sf_dir):
 
 @register("a02_rule_counts_from_results", _counts_sql("orders_gold"))
 def counts_from_results(spark, sf_dir):
-    patterns = result_patterns(enriched(spark, sf_dir, "orders_gold", "N"))
-    return rule_counts_from_results(patterns, e.program_of("orders_gold"))
+    """From a stored table's encoded column, as somebody else may have written it."""
+    return rule_counts_from_results(enriched(spark, sf_dir, "orders_gold", "N"), e.program_of("orders_gold"))
+
+
+@register("a02_result_patterns", _encoded_sql("orders_gold", '"DQ_RESULT", CAST(COUNT(*) AS BIGINT) AS n_rows') + " GROUP BY 1")
+def patterns_of_results(spark, sf_dir):
+    """Which verdicts occur together."""
+    return result_patterns(enriched(spark, sf_dir, "orders_gold"))
 
 
 @register(
