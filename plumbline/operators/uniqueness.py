@@ -12,8 +12,8 @@ of its rows, so neither a window over whole rows nor a window per value is safe.
    rows tie in the declared order.
 3. If many values repeat in one field only, and the counts show that no group is
    large, rank the rows by a window.
-4. Otherwise list the failing rows by position. Hot values are few by arithmetic
-   and are resolved by broadcast; the rest have bounded groups, which a window
+4. Otherwise list the failing rows by position. Rows of hot values are compared
+   with their value's first row; the rest have bounded groups, which a window
    over narrow rows ranks. The lists of all fields merge into one row per
    position, and the wide rows are shuffled once, on a unique key.
 
@@ -47,8 +47,8 @@ from plumbline.sources.staging import POSITION, has_position, materialise, stage
 # Looked-up values: a key is 8 bytes or, as text, up to 65; a position 24; a hash table's entry 16 more.
 MAX_BROADCAST_BYTES = 32 << 20
 _NUMBER_BYTES, _TEXT_BYTES, _ENTRY_BYTES = 8, 65, 40
-# A value is hot above this many rows, and above the share of the table that leaves few enough hot values to broadcast.
-HOT_ROWS = 1_000_000
+# A value is hot above this many rows: no window ever ranks a larger group, however large the table is.
+HOT_ROWS = 100_000
 LONG_TEXT_BYTES = 64
 
 # Fields counted in one scan: each row goes into the aggregate once per field.
@@ -131,7 +131,7 @@ def mark_first(
     df, identity, values = with_row_identity(df, order_by)
     fields = list(dict.fromkeys(fields))
     keys = {f: grouping_key(df, f) for f in fields}
-    counted = _repeated_keys(df, list(keys.values()))
+    counted = _repeated_keys(df, list(keys.values()), hot_rows)
 
     marked, flags, crowded = df, {}, []
     for n, (field, (repeated, seen)) in enumerate(zip(fields, counted)):
@@ -143,8 +143,7 @@ def mark_first(
             marked = _look_up(marked, first, keys[field], identity, f"_dq_first_{n}")
             flags[field] = F.col(f"_dq_first_{n}")
         else:
-            limit = max(hot_rows, seen["rows"] // _broadcast_keys(df, keys[field]))
-            crowded.append((field, repeated.where(F.col(_COUNT) > limit) if seen["largest"] > limit else None))
+            crowded.append((field, repeated.where(F.col(_COUNT) > hot_rows) if seen["hot"] else None, seen["hot"] <= most))
 
     if not crowded:
         return marked, flags
@@ -159,12 +158,12 @@ def mark_first(
         flags[field] = F.col("_dq_rank") == 1
     else:
         late = []
-        for field, hot in crowded:
+        for field, hot, few in crowded:
             narrow = settled.select(keys[field].alias(_KEY), *[column(c) for c in order])
-            first = None if hot is None else _first_rows(df, keys[field], hot, order_by, identity, values)
-            late.append(_late_rows(narrow, first, order, identity))
+            first = None if hot is None else _first_rows(df, keys[field], hot, order_by, identity, values, few=few)
+            late.append(_late_rows(narrow, first, order, identity, few))
         marked = _join_late(marked, late, identity)
-        for i, (field, _) in enumerate(crowded):
+        for i, (field, *_) in enumerate(crowded):
             word, bit = divmod(i, WORD_BITS)
             flags[field] = F.coalesce(F.getbit(F.col(f"{_LATE}_{word}"), F.lit(bit)) == 0, F.lit(True))
     return marked, flags
@@ -200,11 +199,11 @@ def late_rows_per_group(
     return found
 
 
-def _repeated_keys(df: DataFrame, keys: Sequence[Column]) -> list[tuple[DataFrame, dict]]:
+def _repeated_keys(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS) -> list[tuple[DataFrame, dict]]:
     """Per key: its repeated values with their counts, and what is known of all of them. One scan counts
     ``COUNTED_AT_ONCE`` keys."""
     if len(keys) > COUNTED_AT_ONCE:
-        return [found for i in range(0, len(keys), COUNTED_AT_ONCE) for found in _repeated_keys(df, keys[i : i + COUNTED_AT_ONCE])]
+        return [found for i in range(0, len(keys), COUNTED_AT_ONCE) for found in _repeated_keys(df, keys[i : i + COUNTED_AT_ONCE], hot_rows)]
     names = [f"{_KEY}_{i}" for i in range(len(keys))]
     narrow = df.select(*[k.alias(n) for k, n in zip(keys, names)])
     count = F.count(F.lit(1)).alias(_COUNT)
@@ -217,12 +216,11 @@ def _repeated_keys(df: DataFrame, keys: Sequence[Column]) -> list[tuple[DataFram
     of_set = {i: (F.col("_dq_set") == (0 if len(keys) == 1 else ((1 << len(keys)) - 1) ^ (1 << (len(keys) - 1 - i)))) for i in range(len(keys))}
     measures = {}
     for i, here in of_set.items():
-        measures[f"rows_{i}"] = F.sum(F.when(here, F.col(_COUNT)))
         measures[f"repeated_{i}"] = F.count_if(here & (F.col(_COUNT) > 1))
-        measures[f"largest_{i}"] = F.max(F.when(here, F.col(_COUNT)))
+        measures[f"hot_{i}"] = F.count_if(here & (F.col(_COUNT) > hot_rows))
     stored, seen = materialise(counts, keep=F.col(_COUNT) > 1, **measures)
     return [
-        (stored.where(of_set[i]).select(F.col(n).alias(_KEY), _COUNT), {m: seen[f"{m}_{i}"] for m in ("rows", "repeated", "largest")})
+        (stored.where(of_set[i]).select(F.col(n).alias(_KEY), _COUNT), {m: seen[f"{m}_{i}"] for m in ("repeated", "hot")})
         for i, n in enumerate(names)
     ]
 
@@ -297,20 +295,22 @@ def _look_up(
 
 
 def _late_rows(
-    narrow: DataFrame, first: DataFrame | None, order: Sequence[str], identity: Sequence[str]
+    narrow: DataFrame, first: DataFrame | None, order: Sequence[str], identity: Sequence[str], few: bool
 ) -> DataFrame:
-    """Identity of every row that is not the first of its value. ``first`` has the first rows of the hot values."""
+    """Identity of every row that is not the first of its value. ``first`` has the first rows of the hot values; rows of
+    these meet it by a broadcast, or by a join (which Spark splits at hot values) if there are too many of them."""
     ids = [column(c) for c in identity]
     cold = narrow
     if first is not None:
         names = [f"_dq_first_{i}" for i in range(len(identity))]
         first = first.select(F.col(_KEY).alias("_dq_hot"), *[c.alias(a) for c, a in zip(ids, names)])
         is_hot = F.col(_KEY).eqNullSafe(F.col("_dq_hot"))
-        cold = narrow.join(F.broadcast(first.select("_dq_hot")), is_hot, "left_anti")
+        first = F.broadcast(first) if few else first
+        cold = narrow.join(first, is_hot, "left_anti")
     late = cold.withColumn("_dq_rank", _rank(F.col(_KEY), order)).where("_dq_rank > 1").select(*ids)
     if first is None:
         return late
-    of_hot = narrow.join(F.broadcast(first), is_hot)
+    of_hot = narrow.join(first, is_hot)
     return late.unionByName(of_hot.where(~_all_same(identity, names)).select(*ids))
 
 

@@ -121,7 +121,7 @@ def differing(registered: DataFrame, new: DataFrame, key: str, kept: Sequence[st
     return new.select(*columns).join(registered.select(key), key, "left_semi").exceptAll(registered.select(*columns)).count()
 
 
-_STAMP = ("active", "created_date", "created_by")
+STAMP = ("active", "created_date", "created_by")
 
 
 def _upsert(
@@ -145,7 +145,7 @@ def register_rules(store: Store, rules: Sequence[tuple], created_date: dt.date |
     def added(registered: DataFrame) -> DataFrame:
         return numbered(new, registered, key, "generic_rule_id", ["ordinal"])
 
-    _upsert(store, RULES_GENERIC, key, new, added, ("generic_rule_id", "ordinal", *_STAMP), update)
+    _upsert(store, RULES_GENERIC, key, new, added, ("generic_rule_id", "ordinal", *STAMP), update)
 
 
 def register_request(store: Store, pack: Pack, created_date: dt.date | None = None, update: bool = False) -> None:
@@ -155,7 +155,7 @@ def register_request(store: Store, pack: Pack, created_date: dt.date | None = No
     def added(registered: DataFrame) -> DataFrame:
         return numbered(new, registered, key, "dq_val_request_id")
 
-    _upsert(store, VALIDATION_REQUEST, key, new, added, ("dq_val_request_id", *_STAMP), update)
+    _upsert(store, VALIDATION_REQUEST, key, new, added, ("dq_val_request_id", *STAMP), update)
 
 
 def register_mappings(
@@ -169,7 +169,7 @@ def register_mappings(
     def added(registered: DataFrame) -> DataFrame:
         return unregistered(new, registered, key)
 
-    _upsert(store, RULE_MAPPINGS, key, new, added, _STAMP, update)
+    _upsert(store, RULE_MAPPINGS, key, new, added, STAMP, update)
 
 
 def show_rules(generic: DataFrame) -> DataFrame:

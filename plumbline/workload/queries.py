@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
 import datetime as dt
+import io
 import json
 import re
 import tempfile
@@ -14,6 +16,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plumbline.__main__ import main
 from plumbline.functions import encoding
 from plumbline.functions.rules import out_of_scope
 from plumbline.functions.scores import pass_pct
@@ -38,7 +41,7 @@ from plumbline.plans.onboarding import onboard
 from plumbline.plans.runs import entity_reports, run_entity
 from plumbline.schemas import RESULT_COLUMN, RESULTS, RULE_MAPPINGS, RULES_GENERIC, RULES_GENERIC_SCHEMA
 from plumbline.sources import registry
-from plumbline.sources.audit import append_run, latest_entries
+from plumbline.sources.audit import append_run, latest_entries, recent_log
 from plumbline.sources.staging import materialise, scratch_path, with_position
 from plumbline.sources.store import Store, count_rows
 from plumbline.workload import entities as e
@@ -190,15 +193,15 @@ def first_by_many_values(spark, sf_dir):
     "SELECT CAST(COUNT(*) FILTER (l_returnflag <> 'R') AS BIGINT) AS in_scope FROM lineitem",
 )
 def first_after_rewrite(spark, sf_dir):
-    """Without a declared order the rows' values decide: one file or seven, the masked count is the same.
+    """Without a declared order the rows' values decide: dealt by one column or by another, the masked count is the same.
 
     The result is the number of rows in scope, or a failure if the two layouts differ in which rows come first.
     """
     rows = e.read(spark, sf_dir, "lineitem")
     sums = []
-    for files in (1, 7):
+    for dealt_by in ("l_orderkey", "l_partkey"):
         path = scratch_path(spark, "layout")
-        rows.repartition(files).write.parquet(path)
+        rows.repartition(dealt_by).write.parquet(path)
         marked, flags = mark_first(with_position(spark.read.parquet(path)), ["l_suppkey"])
         in_scope = F.col("l_returnflag") != "R"
         content = F.xxhash64(*rows.columns).cast("decimal(38,0)")
@@ -743,6 +746,17 @@ def f05(spark, sf_dir):
     return naive_ts(reports.latest_run(log, mappings, "orders_gold").select("dq_run_id", "dq_rule_no", TS))
 
 
+@register("f05_latest_run_by_days", o.latest_rows("orders_gold", "r.dq_run_id, r.dq_rule_no, r.dq_execution_timestamp"))
+def f05_by_days(spark, sf_dir):
+    """The same from the store's log, whose days are opened from the newest back."""
+    store = new_store(spark)
+    store.create_registry()
+    log, mappings, _ = report_tables(spark, sf_dir)
+    store.append(RESULTS, log)
+    recent = recent_log(store, reports.of_entity(mappings, "orders_gold"))
+    return naive_ts(reports.latest_run(recent, mappings, "orders_gold").select("dq_run_id", "dq_rule_no", TS))
+
+
 @register(
     "j03_latest_timestamp",
     f"{o.history()} SELECT MAX(r.dq_execution_timestamp) AS dq_execution_timestamp FROM log r "
@@ -901,6 +915,24 @@ def r03(spark, sf_dir):
     return merged.select("rule_mapping_id", "dq_rule_no", "threshold_pct", "owner_dept")
 
 
+@register(
+    "r03_update_mappings",
+    f"WITH p AS ({g.MAPPINGS_SQL}), held AS (SELECT * FROM p WHERE {g.REGISTERED_MAPPINGS}) "
+    "SELECT rule_mapping_id, dq_rule_no, threshold_pct + CASE WHEN source_table = 'orders_gold' THEN 1 ELSE 0 END AS threshold_pct, "
+    "owner_dept, created_by FROM (SELECT *, 'plumbline' AS created_by FROM held) AS h UNION ALL "
+    "SELECT rule_mapping_id, dq_rule_no, threshold_pct + 1, owner_dept, 'second' FROM p WHERE source_table = 'orders_gold' "
+    "AND NOT EXISTS (SELECT 1 FROM held WHERE held.rule_mapping_id = p.rule_mapping_id)",
+)
+def r03_update(spark, sf_dir):
+    """A new batch of one entity, asked to update: registered rows take its thresholds and keep their stamps."""
+    rows = g.mappings(spark, sf_dir).withColumn("created_by", F.lit("plumbline"))
+    held = rows.where(g.REGISTERED_MAPPINGS)
+    new = rows.where("source_table = 'orders_gold'").withColumns({"threshold_pct": F.col("threshold_pct") + 1, "created_by": F.lit("second")})
+    updated = registry.merged(held, new, "rule_mapping_id", registry.STAMP)
+    merged = updated.unionByName(registry.unregistered(new, held, "rule_mapping_id"))
+    return merged.select("rule_mapping_id", "dq_rule_no", "threshold_pct", "owner_dept", "created_by")
+
+
 @register(
     "j04_not_registered",
     f"WITH n AS ({g.sql('part', g.RULES)}) SELECT generic_rule_desc_short, dq_category FROM n "
@@ -1059,3 +1091,23 @@ def k01_from_file(spark, sf_dir):
     return store.read(RULE_MAPPINGS).join(rows, "source_table").select(
         "rule_mapping_id", "dq_rule_no", "source_field", "snapshot_rows"
     )
+
+
+@register(
+    "s08_run_parameters",
+    "SELECT CAST(ROW_NUMBER() OVER (ORDER BY rule_mapping_id) AS BIGINT) AS dq_run_id, dq_rule_no, dq_number_relevant_records, "
+    f"dq_number_pos_results FROM ({_counts_sql('orders_gold')}) AS c",
+)
+def s08(spark, sf_dir):
+    """Onboarding and a run by the command line's parameters: an own pack, day of the date rules, order, marker."""
+    store = new_store(spark)
+    view = f"source_{store.schema}"
+    e.orders_gold(spark, sf_dir, positions=False).createOrReplaceTempView(view)
+    where = ["--dq-schema", store.schema, "--target-table", "orders_gold"]
+    with tempfile.NamedTemporaryFile("w", suffix=".json") as file, contextlib.redirect_stdout(io.StringIO()):
+        json.dump(dataclasses.asdict(e.ORDERS_PACK), file)  # read by the driver alone, before any job
+        file.flush()
+        main(["onboard", *where, "--source", view, "--pack", file.name])
+        main(["run", *where, "--as-of", str(e.ORDERS_AS_OF), "--order-by", "order_id", "--marker", "N", "--report-date", "2024-05-01"])
+    spark.catalog.dropTempView(view)
+    return store.read(RESULTS).select("dq_run_id", "dq_rule_no", RELEVANT, POSITIVE)
