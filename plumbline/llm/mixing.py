@@ -12,6 +12,8 @@ SOURCE_WEIGHTS = (3, 1, 2)
 BUDGET_SHARE = 1.5
 MOST_EPOCHS = 2
 KEY_BUCKETS = 64
+#: Different rows of a source that are sorted at once; sources up to which a row per source is broadcast.
+BORDER_ROWS, FEW_SOURCES = 1_000_000, 100_000
 LEAST_QUALITY = 1e-3
 OUT = ["source_size", "target", "taken"]
 _HEX_DIGITS = 13
@@ -51,52 +53,108 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def mix(df: DataFrame, size: Column, quality: Column, identity: list[Column], seed: int = 29) -> DataFrame:
+def _border_groups(inside: DataFrame, at: list[str], most: int) -> DataFrame:
+    """Per source the group of equal rows in which the sampled words end: ``_llm_border`` (what orders rows), ``_llm_due``
+    (words that the group gives), ``_llm_alike`` (its rows).
+
+    ``inside`` has the rows around each source's border, what is summed before them and what is to be filled. Equal rows
+    fold to a group; while a source has more than ``most`` groups, quantiles of its keys narrow them down.
+    """
+    place = F.struct(*at).alias("_llm_border")
+    groups, _ = materialise(inside.groupBy("source", "_llm_before", "_llm_rest", *at).agg(F.count(F.lit(1)).alias("_llm_alike")))
+    words = F.col("_llm_size") * F.col("_llm_alike")
+    while (groups.groupBy("source").count().agg(F.max("count")).first()[0] or 0) > most:
+        shares = F.array(*[F.lit(i / KEY_BUCKETS) for i in range(1, KEY_BUCKETS)])
+        cuts = groups.groupBy(F.col("source").alias("_llm_in")).agg(F.percentile_approx("_llm_key", shares, F.lit(10_000)).alias("_llm_cuts"))
+        ranged = groups.join(cuts, F.col("source").eqNullSafe(F.col("_llm_in"))).drop("_llm_in").withColumn(
+            "_llm_bucket", F.size(F.filter("_llm_cuts", lambda c: c < F.col("_llm_key")))
+        )
+        sums = ranged.groupBy(F.col("source").alias("_llm_in"), F.col("_llm_bucket").alias("_llm_at")).agg(F.sum(words).alias("_llm_sum"))
+        earlier = Window.partitionBy("_llm_in").orderBy("_llm_at").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("_llm_more", F.coalesce(F.sum("_llm_sum").over(earlier), F.lit(0)))
+        joined = ranged.join(sums, F.col("source").eqNullSafe(F.col("_llm_in")) & (F.col("_llm_bucket") == F.col("_llm_at")))
+        before = F.col("_llm_before") + F.col("_llm_more")
+        kept = joined.where((before < F.col("_llm_rest")) & (F.col("_llm_rest") <= before + F.col("_llm_sum")))
+        kept = kept.select("source", before.alias("_llm_before"), "_llm_rest", *at, "_llm_alike")
+        n = groups.count()
+        groups, seen = materialise(kept, n=F.count(F.lit(1)))
+        if seen["n"] == n:  # one key, told apart by sizes and ids only
+            break
+    running = Window.partitionBy("source").orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_llm_rest") - F.col("_llm_before") - F.coalesce(F.sum(words).over(running), F.lit(0))
+    return groups.select("source", place, "_llm_alike", left.alias("_llm_due"), words.alias("_llm_words")).where("_llm_due > 0 and _llm_due <= _llm_words")
+
+
+def mix(df: DataFrame, size: Column, quality: Column, identity: list[Column], seed: int = 29, border_rows: int = BORDER_ROWS) -> DataFrame:
     """Add ``source_size``, ``target`` and ``taken`` (words of this row that the mix takes, repeats counted).
 
     ``df`` has ``source``. A source's target, rounded to words, is filled by whole passes over it first; the rest comes
     from the rows with the smallest exponential keys, their sizes summed up to the rest, the row at the border in part.
     Keys fall into ``KEY_BUCKETS`` ranges by their quantiles; sums per source and range tell which range holds the
-    border, and only that range's rows are sorted. So a source with a third of all rows is never one task's work.
+    border, and it is narrowed down until no source has more than ``border_rows`` different rows in it. Only those are
+    sorted: a row per source then says where its border is. Equal rows at a border are numbered per task and offset by
+    the tasks before. So neither a source nor a row with a third of the table is one task's work.
 
     Null quality counts as 1, others as ``LEAST_QUALITY`` at least; null sizes and sources count as 0 and a source of
     their own. Equal rows have equal keys: which of them is taken makes no difference. Existing columns named as the
     results are replaced. No rows: no rows. Reruns give the same result. Pass narrow rows: they are written once.
     """
     weight = F.greatest(F.coalesce(quality.cast("double"), F.lit(1.0)), F.lit(LEAST_QUALITY))
+    names = [f"_llm_id_{i}" for i in range(len(identity))]
     rows, _ = materialise(without(df, OUT).select(
         "*", F.coalesce(size, F.lit(0)).cast("long").alias("_llm_size"), exponential_key(seed, identity, weight).alias("_llm_key"),
+        *[c.alias(n) for c, n in zip(identity, names)], F.monotonically_increasing_id().alias("_llm_place"),
     ))
-    at = [i / KEY_BUCKETS for i in range(1, KEY_BUCKETS)]
-    borders = rows.agg(F.percentile_approx("_llm_key", F.array(*map(F.lit, at)), F.lit(10_000))).first()[0] or []
+    at = ["_llm_key", "_llm_size", *names]
+    shares = [i / KEY_BUCKETS for i in range(1, KEY_BUCKETS)]
+    borders = rows.agg(F.percentile_approx("_llm_key", F.array(*map(F.lit, shares)), F.lit(10_000))).first()[0] or []
     borders = F.array(*map(F.lit, sorted(set(borders)))) if borders else F.array().cast("array<double>")
-    rows = rows.withColumn("_llm_bucket", F.size(F.filter(borders, lambda b: b < F.col("_llm_key"))))
+    bucket = F.size(F.filter(borders, lambda b: b < F.col("_llm_key")))
 
-    sums, _ = materialise(rows.groupBy("source", "_llm_bucket").agg(F.sum("_llm_size").alias("_llm_sum")))
+    sums, _ = materialise(rows.groupBy("source", bucket.alias("_llm_bucket")).agg(F.sum("_llm_size").alias("_llm_sum")))
     targets = source_targets(sums.groupBy("source").agg(F.sum("_llm_sum").alias("source_size")))
     whole, full = F.round("target").cast("long"), F.greatest(F.col("source_size"), F.lit(1))
-    plan = targets.select(
+    plan, planned = materialise(targets.select(
         F.col("source").alias("_llm_source"), "source_size", "target",
         F.expr("cast(round(target) as bigint) div greatest(source_size, 1)").alias("_llm_epochs"), (whole % full).alias("_llm_rest"),
-    )
+    ), n=F.count(F.lit(1)))
+
+    def of_sources(table: DataFrame) -> DataFrame:
+        """One row per source: broadcast while sources are few."""
+        return F.broadcast(table) if (planned["n"] or 0) <= FEW_SOURCES else table
+
     earlier = Window.partitionBy("source").orderBy("_llm_bucket").rowsBetween(Window.unboundedPreceding, -1)
     ranges = sums.select(
         F.col("source").alias("_llm_in"), F.col("_llm_bucket").alias("_llm_at"), "_llm_sum",
         F.coalesce(F.sum("_llm_sum").over(earlier), F.lit(0)).alias("_llm_before"),
-    ).join(plan, F.col("_llm_in").eqNullSafe(F.col("_llm_source"))).drop("_llm_source")
-    rows = rows.join(ranges, F.col("source").eqNullSafe(F.col("_llm_in")) & (F.col("_llm_bucket") == F.col("_llm_at")))
-
-    inside = (F.col("_llm_before") < F.col("_llm_rest")) & (F.col("_llm_rest") < F.col("_llm_before") + F.col("_llm_sum"))
-    apart = rows.where(~inside).withColumn(
-        "_llm_part", F.when(F.col("_llm_before") < F.col("_llm_rest"), F.col("_llm_size")).otherwise(F.lit(0))
-    )
-    order = [F.col("_llm_key"), F.col("_llm_size"), *identity]
-    running = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("_llm_rest") - F.col("_llm_before") - F.coalesce(F.sum("_llm_size").over(running), F.lit(0))
-    border = rows.where(inside).withColumn("_llm_part", F.greatest(F.lit(0), F.least(F.col("_llm_size"), left)))
+    ).join(plan.select("_llm_source", "_llm_rest"), F.col("_llm_in").eqNullSafe(F.col("_llm_source"))).where(
+        "_llm_before < _llm_rest and _llm_rest <= _llm_before + _llm_sum"
+    ).drop("_llm_source", "_llm_sum")
+    inside = rows.join(of_sources(ranges), F.col("source").eqNullSafe(F.col("_llm_in")) & (bucket == F.col("_llm_at")))
+    border, alike = materialise(_border_groups(inside, at, border_rows), most=F.max("_llm_alike"))
+
+    plan = plan.join(border.withColumnRenamed("source", "_llm_in"), F.col("_llm_source").eqNullSafe(F.col("_llm_in")), "left").drop("_llm_in")
+    joined = rows.join(of_sources(plan), F.col("source").eqNullSafe(F.col("_llm_source")))
+    own = F.struct(*at)
+    part = F.when(own < F.col("_llm_border"), F.col("_llm_size")).when(own.eqNullSafe(F.col("_llm_border")), F.col("_llm_due")).otherwise(F.lit(0))
+    if (alike["most"] or 0) > 1:
+        # the equal rows of a border: each task numbers its own
+        tied = joined.where(
+            own.eqNullSafe(F.col("_llm_border")) & (F.col("_llm_alike") > 1)
+        ).withColumn("_llm_task", F.shiftright("_llm_place", 33))
+        tasks = tied.groupBy(F.col("source").alias("_llm_in"), F.col("_llm_task").alias("_llm_of")).agg(F.count(F.lit(1)).alias("_llm_n"))
+        before = Window.partitionBy("_llm_in").orderBy("_llm_of").rowsBetween(Window.unboundedPreceding, -1)
+        tasks = tasks.select("_llm_in", "_llm_of", F.coalesce(F.sum("_llm_n").over(before), F.lit(0)).alias("_llm_offset"))
+        tied = tied.join(tasks, F.col("source").eqNullSafe(F.col("_llm_in")) & (F.col("_llm_task") == F.col("_llm_of")))
+        number = F.row_number().over(Window.partitionBy("source", "_llm_task").orderBy("_llm_place")) - 1 + F.col("_llm_offset")
+        left = F.col("_llm_due") - number * F.col("_llm_size")
+        tied = tied.withColumn("_llm_part", F.greatest(F.lit(0), F.least(F.col("_llm_size"), left))).drop("_llm_task", "_llm_in", "_llm_of", "_llm_offset")
+        apart = joined.where(~(own.eqNullSafe(F.col("_llm_border")) & (F.coalesce("_llm_alike", F.lit(0)) > 1)))
+        joined = apart.withColumn("_llm_part", part).unionByName(tied)
+    else:
+        joined = joined.withColumn("_llm_part", part)
     taken = (F.col("_llm_epochs") * F.col("_llm_size") + F.col("_llm_part")).cast("long")
-    both = apart.unionByName(border).withColumn("taken", taken)
-    return both.select(*[c for c in without(df, OUT).columns], *OUT)
+    return joined.withColumn("taken", taken).select(*without(df, OUT).columns, *OUT)
 
 
 #: Quality weight of a document by its label; without a label it lies between the two.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
@@ -48,6 +47,14 @@ def communication_matrix(blocks: list[int], shards: list[int], seed: int) -> lis
     return matrix
 
 
+#: Blocks up to which what is known of each is broadcast (some 200 bytes each).
+FEW_BLOCKS = 100_000
+
+
+def _few(of_blocks: DataFrame, blocks: int) -> DataFrame:
+    return F.broadcast(of_blocks) if blocks <= FEW_BLOCKS else of_blocks
+
+
 def shuffle_into_shards(
     df: DataFrame, identity: list[Column], n_shards: int = 24, seed: int = 17, rows_per_block: int = 1_000_000,
     least_blocks: int = 32,
@@ -60,32 +67,49 @@ def shuffle_into_shards(
     no window holds more than about ``rows_per_block`` rows, and what the driver holds is one number per block and
     shard. Pass narrow rows: they are written once to the shared folder, which makes the random keys final.
 
+    A block that repeated identities make too large is split by the rows' places in that write.
+
     Null identities are told apart by their place in the scan. Existing columns named as the results are replaced. An
     empty frame gives an empty result; repeated rows each get a slot of their own.
     """
-    rows = without(df, OUT)
+    spark, rows = df.sparkSession, without(df, OUT)
     place = F.monotonically_increasing_id()
     known = [F.coalesce(c.cast("string"), place.cast("string")) for c in identity]
     rows, measured = materialise(
-        rows.select("*", F.xxhash64(F.lit(seed), *known).alias("_llm_a"), F.xxhash64(F.lit(~seed), *known).alias("_llm_b")),
+        rows.select(
+            "*", F.xxhash64(F.lit(seed), *known).alias("_llm_a"), F.xxhash64(F.lit(~seed), *known).alias("_llm_b"), place.alias("_llm_place")
+        ),
         n=F.count(F.lit(1)),
     )
     n = measured["n"] or 0
     n_blocks = max(least_blocks, math.ceil(n / rows_per_block))
     rows = rows.withColumn("_llm_block", F.pmod("_llm_a", F.lit(n_blocks)).cast("int"))
     sizes = {r[0]: r[1] for r in rows.groupBy("_llm_block").count().collect()}
+    large = [(b, math.ceil(size / rows_per_block)) for b, size in sorted(sizes.items()) if size > 2 * rows_per_block]
+    salt = F.lit(0).cast("bigint")
+    if large:
+        first = n_blocks + np.concatenate([[0], np.cumsum([k for _, k in large])])
+        split = spark.createDataFrame([(b, k, int(f)) for (b, k), f in zip(large, first)], "_llm_block int, _llm_pieces int, _llm_from int")
+        piece = F.pmod(F.xxhash64("_llm_place"), F.col("_llm_pieces")).cast("int")
+        # at most one row per rows_per_block rows
+        rows = rows.join(_few(split, len(large)), "_llm_block", "left").withColumns({
+            "_llm_block": F.coalesce(F.col("_llm_from") + piece, F.col("_llm_block")),
+            "_llm_salt": F.when(F.col("_llm_from").isNotNull(), F.col("_llm_place")).otherwise(salt),
+        })
+        salt = F.col("_llm_salt")
+        n_blocks = int(first[-1])
+        sizes = {r[0]: r[1] for r in rows.groupBy("_llm_block").count().collect()}
     shards = [n // n_shards + (s < n % n_shards) for s in range(n_shards)]
     matrix = communication_matrix([sizes.get(b, 0) for b in range(n_blocks)], shards, seed)
-    cuts = json.dumps([np.cumsum(row).tolist() for row in matrix])
+    cuts = spark.createDataFrame([(b, np.cumsum(row).tolist()) for b, row in enumerate(matrix)], "_llm_block int, _llm_cuts array<bigint>")
 
     local = Window.partitionBy("_llm_block").orderBy("_llm_b", "_llm_a")
-    before = F.element_at(F.from_json(F.lit(cuts), "array<array<bigint>>"), F.col("_llm_block") + 1)
-    rows = rows.withColumn("_llm_rank", (F.row_number().over(local) - 1).cast("long")).withColumn(
-        "shard", F.size(F.filter(before, lambda cut: cut <= F.col("_llm_rank"))).cast("int")
+    rows = rows.withColumn("_llm_rank", (F.row_number().over(local) - 1).cast("long")).join(_few(cuts, n_blocks), "_llm_block").withColumn(
+        "shard", F.size(F.filter("_llm_cuts", lambda cut: cut <= F.col("_llm_rank"))).cast("int")
     )
 
     parts = max(2, math.ceil(n / n_shards / rows_per_block))
-    again = F.xxhash64(F.lit(seed + 1), "_llm_a", "_llm_b")
+    again = F.xxhash64(F.lit(seed + 1), "_llm_a", "_llm_b", salt)
     rows = rows.withColumn("_llm_key", again).withColumn("_llm_part", F.pmod("_llm_key", F.lit(parts)).cast("int"))
     earlier = Window.partitionBy("shard").orderBy("_llm_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "_llm_part").agg(F.count(F.lit(1)).alias("_llm_n")).select(
@@ -94,7 +118,7 @@ def shuffle_into_shards(
     inner = Window.partitionBy("shard", "_llm_part").orderBy("_llm_key", "_llm_a")
     placed = rows.withColumn("_llm_row", F.row_number().over(inner) - 1)
     # one offset per shard and part: bounded by the number of rows over rows_per_block
-    placed = placed.join(F.broadcast(offsets), ["shard", "_llm_part"]).withColumn(
+    placed = placed.join(_few(offsets, n_shards * parts), ["shard", "_llm_part"]).withColumn(
         "slot", (F.col("_llm_offset") + F.col("_llm_row")).cast("long")
     )
     return placed.select(*[c for c in rows.columns if not c.startswith("_llm_") and c not in OUT], *OUT)

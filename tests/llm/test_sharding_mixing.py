@@ -95,3 +95,68 @@ def test_empty_mix(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert mixing.mix_documents(df, labels).count() == 0
+
+
+def taken_brute(rows, targets):
+    """Rows of a source in the order of their keys, filled one after the other."""
+    out = []
+    for source in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: (r["k"], r["size"], r["doc_id"] is not None, r["doc_id"] or 0))
+        size = sum(r["size"] for r in own)
+        epochs, rest = divmod(round(targets[source]), max(size, 1))
+        for r in own:
+            part = max(0, min(r["size"], rest))
+            rest -= part
+            out.append((source, r["doc_id"], r["size"], epochs * r["size"] + part))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("border_rows", [2, 40, 10**6])
+@pytest.mark.parametrize("kind", ["different", "equal", "both"])
+def test_borders_are_exact_whatever_repeats(spark, border_rows, kind):
+    """A third of all rows may be one row: equal rows at a border are numbered, not sorted."""
+    rows = [(i, 3 + i % 5, f"s{i % 3}") for i in range(600)] if kind != "equal" else []
+    rows += [(7, 11, "s1")] * 500 + [(None, 4, "s2")] * 90 + [(None, 5, None)] * 60 if kind != "different" else []
+    df = spark.createDataFrame(rows, "doc_id bigint, size bigint, source string").repartition(7)
+    got = mixing.mix(df, F.col("size"), F.lit(1.0), [F.col("doc_id")], border_rows=border_rows).collect()
+    keys = df.select("*", mixing.exponential_key(29, [F.col("doc_id")], F.lit(1.0)).alias("k")).collect()
+    targets = {r["source"]: r["target"] for r in got}
+    assert sorted(((r["source"], r["doc_id"], r["size"], r["taken"]) for r in got), key=repr) == taken_brute(keys, targets)
+    assert targets == pytest.approx(expected_targets({s: sum(r["size"] for r in got if r["source"] == s) for s in targets}))
+
+
+def test_a_hot_identity_is_split_over_blocks(spark):
+    rows = [(5, i) for i in range(300)] + [(i, 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, n int").repartition(6)
+    options = {"n_shards": 6, "rows_per_block": 20, "least_blocks": 4}
+    frame = sharding.shuffle_into_shards(df, [F.col("doc_id")], **options)
+    got = frame.toPandas()
+    assert sorted(zip(got.doc_id, got.n)) == sorted(rows)
+    assert got.groupby("shard").size().tolist() == [100] * 6
+    assert all(sorted(g.slot) == list(range(100)) for _, g in got.groupby("shard"))
+    hot = got[got.doc_id == 5]
+    assert hot.groupby("shard").size().max() < 90 and got.sort_values(["doc_id", "n"]).values.tolist() == frame.toPandas().sort_values(["doc_id", "n"]).values.tolist()
+    plan = frame._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def shard_counts(spark, seeds):
+    df = spark.range(60).withColumnRenamed("id", "doc_id")
+    for seed in seeds:
+        rows = sharding.shuffle_into_shards(df, [F.col("doc_id")], 4, seed=seed, rows_per_block=9, least_blocks=5).collect()
+        yield {r.doc_id: (r.shard, r.slot) for r in rows}
+
+
+def test_every_row_goes_to_every_place_alike(spark):
+    """The uniform law: over many seeds a row meets each shard, and each half of it, about as often."""
+    seen = np.zeros((60, 4)), np.zeros((60, 2))
+    draws = list(shard_counts(spark, range(24)))
+    for draw in draws:
+        for row, (shard, slot) in draw.items():
+            seen[0][row, shard] += 1
+            seen[1][row, slot * 2 // 15] += 1
+    for counts in seen:
+        expected = counts.sum() / counts.size
+        spread = ((counts - expected) ** 2 / expected).sum()
+        free = counts.size - len(counts)
+        assert abs(spread - free) < 4 * math.sqrt(2 * free)
