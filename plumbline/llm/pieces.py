@@ -12,7 +12,7 @@ from plumbline.llm.common import extended, small_batches, table, without
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 OUT = ["ids", "piece_ends", "decoded"]
-DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
+DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256", "piece_ends_sha256", "n_covered"]
 
 
 class CharacterMap:
@@ -27,6 +27,13 @@ class CharacterMap:
         self.units = np.frombuffer(blob[4 : 4 + size], "<u4").tolist() if blob else []
         self.strings = blob[4 + size :]
 
+    def may_begin(self, byte: int) -> bool:
+        """Whether a key begins with the byte."""
+        if not self.units:
+            return False
+        node = ((self.units[0] >> 10) << ((self.units[0] & 0x200) >> 6)) ^ byte
+        return node < len(self.units) and (self.units[node] & 0x800000FF) == byte
+
     def longest(self, text: bytes, at: int) -> tuple[bytes, int] | None:
         """What the longest key that begins at ``at`` turns into, and that key's length."""
         if not self.units:
@@ -47,62 +54,58 @@ class CharacterMap:
         return self.strings[place : self.strings.index(b"\0", place)], length
 
 
-def utf8_length(first: int) -> int:
-    return 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
-
-
 class Normalizer:
-    """Text to normalised text, with the source byte at which each normalised byte began; the last entry is the end."""
+    """Text to normalised text, with the source byte at which each normalised byte began; the last entry is the end.
+
+    The longest key of the character map that begins at a character is replaced; only bytes that can begin a key are
+    tried, what lies between is copied as it is. Then blanks are taken out and marked.
+    """
 
     def __init__(self, charsmap: bytes, dummy_prefix: bool, remove_extra: bool, as_suffix: bool = False):
         self.map, self.dummy, self.remove, self.suffix = CharacterMap(charsmap), dummy_prefix, remove_extra, as_suffix
+        self.begins = np.array([self.map.may_begin(byte) for byte in range(256)])
 
     def __call__(self, text: str) -> tuple[str, np.ndarray]:
         if not text:
             return "", np.zeros(1, np.int64)
-        if not self.map.units and not self.remove:
-            return self._plain(text)
         source, mark = text.encode(), SPACE.encode()
-        out, align, at, was_space = bytearray(), [], 0, self.remove
-        if self.dummy and not self.suffix:
-            out += mark
-            align += [0] * 3
-        begun = len(out)
-        while at < len(source):
-            to, length = self.map.longest(source, at) or (source[at : at + (n := utf8_length(source[at]))], n)
-            while was_space and to.startswith(b" "):
-                to = to[1:]
-            if to:
-                if len(out) == begun and self.remove and begun:
-                    align = [at] * begun
-                piece = to.replace(b" ", mark)
-                out += piece
-                align += [at] * len(piece)
-                was_space = self.remove and to.endswith(b" ")
-            at += length
-        end = len(source)
+        body, align, before = self._walk(source)
+        blank = body == 32
+        if self.remove:
+            dropped = blank & (before >= -1) & ((before < 0) | blank[np.maximum(before, 0)])
+            body, align, blank = body[~dropped], align[~dropped], blank[~dropped]
+        out, align, end = body.tobytes().replace(b" ", mark), np.repeat(align, np.where(blank, 3, 1)), len(source)
         if self.remove:
-            while out.endswith(mark) and len(out) > begun:
-                del out[-3:]
-                end = align[len(out)]
-                del align[-3:]
-            if len(out) == begun:
+            while out.endswith(mark):
+                out, end, align = out[:-3], int(align[len(out) - 3]), align[: len(out) - 3]
+            if not out:
                 return "", np.zeros(1, np.int64)
         if self.dummy and self.suffix:
-            out += mark
-            align += [end] * 3
-        return out.decode(), np.array([*align, end], np.int64)
-
-    def _plain(self, text: str) -> tuple[str, np.ndarray]:
-        """The same where the map is empty and blanks stay: a blank becomes three bytes, all else is as it was."""
-        raw = np.frombuffer(text.encode(), np.uint8)
-        align = np.repeat(np.arange(len(raw)), np.where(raw == 32, 3, 1))
-        body = text.replace(" ", SPACE)
-        if not self.dummy:
-            return body, np.append(align, len(raw))
-        if self.suffix:
-            return body + SPACE, np.concatenate([align, [len(raw)] * 4])
-        return SPACE + body, np.concatenate([[0] * 3, align, [len(raw)]])
+            out, align = out + mark, np.append(align, [end] * 3)
+        elif self.dummy:
+            out, align = mark + out, np.concatenate([[align[0] if self.remove else 0] * 3, align])
+        return out.decode(), np.append(align, end).astype(np.int64)
+
+    def _walk(self, source: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The replaced bytes, the source byte of each, and for each the place before its character or key; -2 where a
+        blank stays whatever comes before (one inside of what a key turns into)."""
+        raw = np.frombuffer(source, np.uint8)
+        place = np.arange(len(raw))
+        tried = np.flatnonzero(self.begins[raw] & ((raw & 0xC0) != 0x80))
+        parts, end, made = [], 0, 0
+        for at in tried.tolist():
+            found = self.map.longest(source, at) if at >= end else None
+            if found is None:
+                continue
+            to, length = np.frombuffer(found[0], np.uint8), found[1]
+            parts.append((raw[end:at], place[end:at], made + np.arange(at - end) - 1))
+            made += at - end
+            leading = np.cumprod(to == 32).astype(bool)
+            parts.append((to, np.full(len(to), at), np.where(leading, made - 1, -2)))
+            made += len(to)
+            end = at + length
+        parts.append((raw[end:], place[end:], made + np.arange(len(raw) - end) - 1))
+        return tuple(np.concatenate(column) for column in zip(*parts)) if len(parts) > 1 else parts[0]
 
 
 class Encoder:
@@ -165,10 +168,13 @@ def encode_documents(documents: DataFrame, model: str | None = None) -> DataFram
 
 
 def digests(encoded: DataFrame, *keep: str) -> DataFrame:
+    """Digests of ids, decoded text and spans, and the source bytes that the spans cover: those up to the last end."""
     return encoded.select(
         *keep, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.col("piece_ends").cast("array<string>"), ","), 256).alias("piece_ends_sha256"),
+        F.coalesce(F.try_element_at("piece_ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_covered"),
     )
 
 

@@ -24,6 +24,8 @@ PIVOTS = 16
 DRAWN, APART = 4, 0.7
 #: Members of a list that are compared with each other in one piece of work.
 BLOCK = 1024
+#: Pairs that share enough points are verified one by one if they are fewer than one in ``DENSE``, ``PAIRS`` at a time.
+DENSE, PAIRS = 16, 1 << 16
 
 
 def usable(values: list | None) -> np.ndarray | None:
@@ -41,14 +43,20 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def choose_pivots(vectors: list[np.ndarray], most: int) -> dict[int, np.ndarray]:
     """By length of the vector: unit vectors, in the order given, each apart from those before."""
-    chosen: dict[int, list[np.ndarray]] = {}
-    n = 0
+    chosen: dict[int, np.ndarray] = {}
+    held: dict[int, int] = {}
     for vector in map(unit, vectors):
-        near = chosen.setdefault(len(vector), [])
-        if n < most and (not near or (np.array(near) @ vector).max() < APART):
-            near.append(vector)
-            n += 1
-    return {length: np.array(found) for length, found in chosen.items() if found}
+        if sum(held.values()) == most:
+            break
+        length, n = len(vector), held.get(len(vector), 0)
+        near = chosen.setdefault(length, np.empty((16, length)))
+        if n and (near[:n] @ vector).max() >= APART:
+            continue
+        if n == len(near):  # twice the room: each vector moves a few times at most
+            near = chosen[length] = np.concatenate([near, np.empty_like(near)])
+        near[n] = vector
+        held[length] = n + 1
+    return {length: chosen[length][:n] for length, n in held.items()}
 
 
 def depth(points: int) -> int:
@@ -61,7 +69,12 @@ def nearest(vectors: np.ndarray, pivots: np.ndarray | None) -> np.ndarray:
     """Numbers of the nearest reference points of each unit vector, nearest first."""
     if pivots is None:
         return np.zeros((len(vectors), 0), np.int64)
-    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, : depth(len(pivots))]
+    distant, most = -(vectors @ pivots.T), depth(len(pivots))
+    if most >= len(pivots):
+        return np.argsort(distant, axis=1, kind="stable")
+    found = np.sort(np.argpartition(distant, most, axis=1)[:, :most], axis=1)
+    order = np.argsort(np.take_along_axis(distant, found, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(found, order, axis=1)
 
 
 def linked_pairs(x: np.ndarray, near_x: np.ndarray, y: np.ndarray, near_y: np.ndarray, here: int, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +91,14 @@ def linked_pairs(x: np.ndarray, near_x: np.ndarray, y: np.ndarray, near_y: np.nd
         shared += hit
         smaller |= hit & (near_x[:, k] < here)[:, None]
     need = min(SHARED, near_x.shape[1])
-    return np.nonzero((shared >= need) & ~smaller & (x @ y.T >= least))
+    a, b = np.nonzero((shared >= need) & ~smaller)
+    if len(a) * DENSE > len(x) * len(y):  # so many pairs that one product of the blocks is less work
+        close = (x @ y.T)[a, b] >= least
+    else:
+        close = np.concatenate([
+            (x[a[i : i + PAIRS]] * y[b[i : i + PAIRS]]).sum(axis=1) >= least for i in range(0, len(a), PAIRS)
+        ] or [np.zeros(0, bool)])
+    return a[close], b[close]
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -126,7 +146,7 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     ``DRAWN`` x ``PIVOTS`` x the cube root of the number of classes; vectors of a length without points are compared
     with all vectors of that length.
 
-    Null, empty and zero vectors, ones with null or non-finite parts, and null ids link with nothing (a null id is
+    Columns other than ``vec_id`` and ``embedding`` are left out. Null, empty and zero vectors, ones with null or non-finite parts, and null ids link with nothing (a null id is
     kept, with a null component). Rows that repeat an id count as vectors of their own. No rows give no rows.
     """
 
@@ -147,7 +167,8 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     )
     most = max(PREFIX, round(PIVOTS * (measured["n"] or 0) ** (1 / 3)))
     drawn = classes.orderBy("class").limit(DRAWN * most).collect()
-    pivots = choose_pivots([np.frombuffer(bytes(r["vector"]), np.float64) for r in drawn], most)
+    # 16 x cube root of the number of classes: 8 MB of 64 components at a billion vectors, held once per worker
+    pivots = embeddings.sparkSession.sparkContext.broadcast(choose_pivots([np.frombuffer(bytes(r["vector"]), np.float64) for r in drawn], most))
     kinds = "class binary, n bigint, vector binary, near array<int>"
 
     def describe(batch):
@@ -155,7 +176,7 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
         vectors = [np.frombuffer(v, np.float64) for v in batch.column("vector").to_pylist()]
         for length in {len(v) for v in vectors}:
             at = [k for k, v in enumerate(vectors) if len(v) == length]
-            for k, found in zip(at, nearest(unit(np.stack([vectors[k] for k in at])), pivots.get(length))):
+            for k, found in zip(at, nearest(unit(np.stack([vectors[k] for k in at])), pivots.value.get(length))):
                 near[k] = found.tolist()
         return {"class": batch.column("class"), "n": batch.column("n"), "vector": batch.column("vector"), "near": near}
 

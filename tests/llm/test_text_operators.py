@@ -218,3 +218,38 @@ def test_toxicity_without_labels(spark):
     assert toxicity.train_on(documents, labels) is None
     assert [r["score"] for r in toxicity.score_documents(documents, None).collect()] == [0.0] * 3
     assert pa.array([1]) is not None
+
+
+def test_spans_of_the_query_cut_the_source(spark, processor, tmp_path):
+    """Through the registered query: spans, cut from the source, give the pieces back."""
+    rng = random.Random(4)
+    texts = [*ODD, "日本語 ▁ 😀 x", *["".join(rng.choice(["a", " ", "é", "日", "the ", "\n", "😀"]) for _ in range(200)) for _ in range(20)]]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for row in pieces.op6_pieces(spark, str(tmp_path)).collect():
+        source = (texts[row.doc_id] or "").encode()
+        ends, at = [], 0
+        for i in processor.encode(texts[row.doc_id] or ""):
+            if processor.is_byte(i):
+                width = 1
+            else:
+                piece = processor.id_to_piece(i)
+                first = piece.startswith("▁") and not ends and not source.startswith("▁".encode()) and source[:1] != b" "
+                written = piece[1:] if first else piece
+                width = 0
+                for c in written:  # a mark stands for a blank, unless the source has the mark itself
+                    width += 1 if c == "▁" and source[at + width : at + width + 1] == b" " else len(c.encode())
+            at += width
+            ends.append(at)
+        assert row.n_covered == len(source) and row.n_tokens == len(ends)
+        if source[:1] != b" ":
+            assert row.piece_ends_sha256 == hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest()
+
+
+def test_one_path_normalises_with_and_without_a_map():
+    """A blank inside of what a key turns into stays; what can begin no key is copied."""
+    plain = pieces.Normalizer(b"", True, False)
+    shaped, align = plain("a é")
+    assert shaped == "▁a▁é" and align.tolist() == [0, 0, 0, 0, 1, 1, 1, 2, 3, 4]
+    assert not plain.begins.any()
+    assert pieces.Normalizer(b"", False, True)("  a   b ")[0] == "a▁b"
+    assert pieces.Normalizer(b"", True, True)("   ")[0] == ""
