@@ -97,16 +97,29 @@ def with_row_identity(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame
     settle which of two rows comes first where the declared order does not (none if it always does).
 
     A declared order that is a key identifies rows by itself, by a digest where it holds texts. Otherwise a row is
-    identified by its position, and the rows' values follow the declared order.
+    identified by its position, and the rows' values follow the declared order. Where rows have no position their
+    values' digest identifies them; only rows that equal another one are written once, to get a position.
     """
     if not has_position(df) and order_by and is_key(df, order_by):
         if _is_narrow(df, order_by):
             return df, list(order_by), []
         return _digests(df, order_by, _IDENTITY), list(_IDENTITY), []
     own = [f.name for f in df.schema if not f.name.startswith("_dq_") and "map<" not in f.dataType.simpleString()]
-    if not has_position(df):
-        df = stage_with_position(df)
-    return df, list(POSITION), own
+    if has_position(df):
+        return df, list(POSITION), own
+    df = _digests(df, own, _IDENTITY)
+    twins, seen = materialise(
+        df.groupBy(*_IDENTITY).agg(F.count(F.lit(1)).alias(_COUNT)), keep=F.col(_COUNT) > 1, n=F.count_if(F.col(_COUNT) > 1)
+    )
+    if not seen["n"]:
+        return df, list(_IDENTITY), []
+    names = [f"_dq_twin_{i}" for i in range(len(_IDENTITY))]
+    twins = twins.select(*[F.col(c).alias(a) for c, a in zip(_IDENTITY, names)])
+    if seen["n"] <= MAX_BROADCAST_BYTES // (2 * _NUMBER_BYTES + _ENTRY_BYTES):
+        twins = F.broadcast(twins)
+    placed = stage_with_position(df.join(twins, _all_same(_IDENTITY, names), "left_semi"))
+    rest = df.join(twins, _all_same(_IDENTITY, names), "left_anti").select("*", *[F.lit(0).cast("long").alias(c) for c in POSITION])
+    return rest.unionByName(placed), [*_IDENTITY, *POSITION], []
 
 
 def _broadcast_keys(df: DataFrame, key: Column) -> int:

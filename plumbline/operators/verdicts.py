@@ -87,7 +87,6 @@ def _without_windows(df: DataFrame, templates: dict[int, str]) -> tuple[DataFram
         field, order = first
         held = df.columns
         marked, flags = mark_first(df, [field], order)
-        held += [c for c in POSITION if c in marked.columns and c not in held]
         df = marked.select(*[column(c) for c in held], flags[field].alias(f"_dq_ordered_{n}"))
         plain[rule] = f"`_dq_ordered_{n}`"
     return with_group_values(df, values), plain

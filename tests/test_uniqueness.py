@@ -219,3 +219,32 @@ def test_late_rows_per_group_match_marked_rows(spark):
     for f in ("v", "w"):
         want = {r.g: r.n for r in marked.where("in").where(~flags[f]).groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
         assert {r.g: r._dq_count for r in late[f].collect() if r._dq_count} == want
+
+
+def test_rows_without_a_position_are_not_copied(spark, monkeypatch):
+    """Rows that differ are known by their values; of rows that do not, just these get a position."""
+    copied = []
+    original = uniqueness.stage_with_position
+    monkeypatch.setattr(uniqueness, "stage_with_position", lambda df: copied.append(df.count()) or original(df))
+    df = skewed(spark, 900).repartition(4)
+    marked, flags = mark_first(df, ["v"], ["w"])
+    assert not copied and "_dq_row" not in marked.columns
+    first = sorted((str(r.v), r.w, r.k) for r in marked.where(flags["v"]).collect())
+    assert len(first) == df.select("v").distinct().count()
+    best = {r.v: r.w for r in df.groupBy("v").agg(F.min("w").alias("w")).collect()}
+    assert all(w == best[None if v == "None" else v] for v, w, _ in first)
+
+    more = df.unionByName(df.where("k < 5")).unionByName(df.where("k < 3"))
+    for options in PATHS:
+        copied.clear()
+        marked, flags = mark_first(more, ["v", "k"], ["w"], **options)
+        assert copied == [13] and marked.count() == 908
+        assert sorted((str(r.v), r.w, r.k) for r in marked.where(flags["v"]).collect()) == first
+        assert sorted(r.k for r in marked.where(flags["k"]).collect()) == list(range(900))
+
+
+def test_maps_do_not_tell_rows_apart_but_are_kept(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2}), (2, {"a": 3})], "v int, m map<string,int>")
+    marked, flags = mark_first(df, ["v"])
+    assert marked.count() == 3 and marked.where(flags["v"]).count() == 2
+    assert sorted(r.m["a"] for r in marked.collect()) == [1, 2, 3]
