@@ -12,7 +12,7 @@ from plumbline.sources.staging import materialise
 
 
 #: Bytes of a passage that must not repeat. A run of over 50 words takes about 330 bytes, hardly ever less than 280.
-PASSAGE = 256
+PASSAGE = 280
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -96,13 +96,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of strings of ``PASSAGE`` bytes that start twice or more; characters that lost a
-    byte go whole, ``n_chars`` follows.
+    """Every document without the bytes of strings of ``PASSAGE`` bytes that are also in another, different text;
+    characters that lost a byte go whole, ``n_chars`` follows.
 
-    Null, empty and shorter texts come out as they went in, and so do all other columns; a repeated text, or what two
-    texts share, goes from every place. No documents: none.
+    What two texts share goes from every place; what repeats within one text stays, and so do rows of equal texts (the
+    stage before leaves none but ones without words). Null, empty and shorter texts come out as they went in, and so do
+    all other columns. No documents: none.
     """
-    gone = suffix.remove_repeats(docs, PASSAGE).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
+    gone = suffix.remove_repeats(docs, PASSAGE, across=True).select(F.col("key").alias("_llm_key"), F.col("kept_text").alias("_llm_kept"))
     joined = docs.join(gone, suffix.text_key() == F.col("_llm_key"), "left")
     changed = {"text": F.coalesce("_llm_kept", "text")}
     if "n_chars" in docs.columns:

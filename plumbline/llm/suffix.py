@@ -272,8 +272,11 @@ def permuted_prefixes(text: np.ndarray, array: np.ndarray, left: np.ndarray) ->
     return np.maximum(shared[source] - (place - source), 0)
 
 
-def repeated_in_shard(pieces: list[bytes], texts: np.ndarray, begins: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """Stretches (piece, from, to) covered by strings of ``length`` bytes that also start at another place.
+def repeated_in_shard(
+    pieces: list[bytes], texts: np.ndarray, begins: np.ndarray, length: int, across: bool = False
+) -> list[tuple[int, int, int]]:
+    """Stretches (piece, from, to) covered by strings of ``length`` bytes that also start at another place, or, with
+    ``across``, in another text.
 
     ``texts`` numbers the text of each piece and ``begins`` its place there: pieces may overlap, and the same place in
     two pieces is one place.
@@ -292,6 +295,7 @@ def repeated_in_shard(pieces: list[bytes], texts: np.ndarray, begins: np.ndarray
     run = np.cumsum(shared < length)
     heads = np.flatnonzero(np.append(True, shared[1:] < length))
     where = np.append((texts[piece].astype(np.int64) << 32) + begins[piece] + at, -1)[array]
+    where = where >> 32 if across else where
     several = np.minimum.reduceat(where, heads) != np.maximum.reduceat(where, heads)
     run -= run[0]
     hit = np.sort(array[several[run]])
@@ -331,7 +335,7 @@ def may_repeat(pieces: list[bytes], at: list[int], length: int) -> list[bool]:
     return [a + b >= length for a, b in zip(after, before)]
 
 
-def _shards(length: int):
+def _shards(length: int, across: bool):
     """Task that gathers whole anchor groups to shards and reports repeated stretches of their texts.
 
     Groups are freed first of pieces that share too little with the others to hold a repeated string.
@@ -351,7 +355,7 @@ def _shards(length: int):
         def solve():
             keys = {}
             number = np.array([keys.setdefault(r[1], len(keys)) for r in held])
-            found = repeated_in_shard([r[3] for r in held], number, np.array([r[2] for r in held]), length)
+            found = repeated_in_shard([r[3] for r in held], number, np.array([r[2] for r in held]), length, across)
             rows = {(held[i][1], held[i][2] + a, held[i][2] + b) for i, a, b in found}
             columns = list(zip(*sorted(rows))) or [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32())], schema=arrow)
@@ -387,7 +391,9 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def repeated_stretches(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def repeated_stretches(
+    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, across: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """``key``, ``lo``, ``hi``: stretches of texts covered by repeated strings; and ``key``, ``text`` of texts that may
     have some. ``key`` is the digest of a text."""
     found = stored(find_anchors(documents, length, gram))
@@ -401,27 +407,36 @@ def repeated_stretches(documents: DataFrame, length: int = LENGTH, gram: int = G
     copies = documents.select(text_key().alias("key"), "text").groupBy("key").agg(F.any_value("text").alias("text"))
     texts = stored(copies.join(found.select("key").distinct(), "key", "left_semi"))
 
+    stretch = ["h", "around", "at"]
     folded, _ = materialise(
-        found.groupBy("h", "around", "at").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo", "hi")).alias("one")).select("h", "around", "at", "n", "one.*")
+        found.groupBy(*stretch).agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo", "hi")).alias("one"),
+            (F.min("key") != F.max("key") if across else F.count(F.lit(1)) > 1).alias("several"),
+        ).select(*stretch, "n", "several", "one.*")
     )
-    whole = found.join(folded.where("n > 1").select("h", "around", "at"), ["h", "around", "at"], "left_semi")
+    whole = found.join(folded.where("several").select(*stretch), stretch, "left_semi")
     whole = whole.where(F.col("hi") - F.col("lo") >= length).select("key", "lo", "hi").distinct()
 
-    mixed = folded.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("fewest")).where("kinds > 1 and fewest = 1")
-    asked = folded.join(mixed.select("h", (F.col("kinds") > hot).alias("crowded")), "h")
+    mixed = folded.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("several").alias("done")).where("kinds > 1 and not done")
+    each_place = folded.select(*stretch, "key", "lo", "hi")
+    if across:  # what repeats in one text only has to be found at each of its places
+        own = found.join(folded.where("n > 1 and not several").select(*stretch), stretch, "left_semi")
+        each_place = folded.where("n = 1 or several").select(*each_place.columns).unionByName(own.select(*each_place.columns))
+    asked = each_place.join(mixed.select("h", (F.col("kinds") > hot).alias("crowded")), "h")
     asked = asked.join(texts, "key").select("h", "crowded", "key", "lo", "at", F.expr("substring(cast(text as binary), lo + 1, hi - lo)").alias("piece"))
     asked = stored(asked.where(F.length("piece") >= length))
     sorted_out = asked.where("not crowded").drop("crowded").repartition("h").sortWithinPartitions("h", "key", "lo")
-    by_array = sorted_out.mapInArrow(_shards(length), "key binary, lo int, hi int")
+    by_array = sorted_out.mapInArrow(_shards(length, across), "key binary, lo int, hi int")
     # an anchor with more surroundings than a shard holds: each string with it is counted by its digest
     each = asked.where("crowded").select("key", "lo", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - length)).alias("from"))
     each = each.select("key", (F.col("lo") + F.col("from")).cast("int").alias("lo"), F.unhex(F.md5(F.expr(f"substring(piece, from + 1, {length})"))).alias("string")).distinct()
-    several = each.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
+    several = each.groupBy("string").agg((F.min("key") != F.max("key") if across else F.count(F.lit(1)) > 1).alias("several"))
+    several = several.where("several").select("string")
     by_count = each.join(several, "string", "left_semi").select("key", "lo", (F.col("lo") + length).alias("hi"))
     return stored(whole.unionByName(by_array).unionByName(by_count)), texts
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, across: bool = False) -> DataFrame:
     """Every text of which something goes: ``key`` (its MD5, 16 bytes), ``n_removed`` (bytes), ``n_spans`` (maximal
     runs), ``kept`` (the other bytes) and ``kept_text`` (these as text, without characters that lost a byte).
 
@@ -430,10 +445,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     texts meet by the hashes of their anchors: equal surroundings are folded to a count first, unlike ones are sorted
     in a suffix array per shard of whole anchor groups. No text is held but by its own task.
 
+    With ``across`` only strings count that start in another, different text; what repeats within one text stays.
+
     Null and short texts have nothing to remove; repeated rows remove each other. An empty table gives no rows. Columns
     other than ``text`` are left out.
     """
-    marks, texts = repeated_stretches(documents, length, gram, hot)
+    marks, texts = repeated_stretches(documents, length, gram, hot, across)
     spans = marks.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     rows = texts.join(spans, "key").select("key", "text", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"))
 

@@ -181,7 +181,7 @@ def test_suffix_arrays_and_prefixes():
             assert shared[i] == common, (raw, i)
 
 
-def repeats_brute(texts, length):
+def repeats_brute(texts, length, across=False):
     starts = {}
     raws = [(t or "").encode() for t in texts]
     for d, raw in enumerate(raws):
@@ -189,7 +189,7 @@ def repeats_brute(texts, length):
             starts.setdefault(raw[i : i + length], []).append((d, i))
     gone = [np.zeros(len(r), bool) for r in raws]
     for places in starts.values():
-        if len(places) > 1:
+        if len({texts[d] for d, _ in places} if across else places) > 1:
             for d, i in places:
                 gone[d][i : i + length] = True
     return [(int(g.sum()), int((np.diff(np.concatenate([[0], g.astype(int)])) == 1).sum()), bytes(np.frombuffer(r, np.uint8)[~g])) for g, r in zip(gone, raws)]
@@ -293,3 +293,28 @@ def test_long_repeats_match_brute_force(spark):
 
     for text, (removed, spans, kept) in zip(texts, repeats_brute(texts, 400)):
         assert got.get(hashlib.md5(text.encode()).digest(), (0, 0, text.encode())) == (removed, spans, kept)
+
+
+@pytest.mark.parametrize("hot", [6000, 1])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_of_other_texts_only(spark, seed, hot):
+    """What repeats within a text stays unless another text has it too, at each of its places."""
+    rng = random.Random(seed)
+    shared = ["".join(rng.choice("abc ") for _ in range(rng.choice([45, 90, 200]))) for _ in range(4)]
+    own = ["".join(rng.choice("de ") for _ in range(120)) for _ in range(3)]
+    texts = []
+    for i in range(40):
+        parts = [rng.choice(shared)[rng.randrange(9) :] for _ in range(rng.randrange(3))] + [own[i % 3]] * (2 if i < 3 else 0)
+        parts += ["".join(rng.choice("xyz") for _ in range(rng.randrange(60)))]
+        rng.shuffle(parts)
+        texts.append("|".join(parts * rng.choice([1, 1, 2])))
+    texts += [None, "", texts[3], texts[3]]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    got = {bytes(r.key): (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix.remove_repeats(frame, 40, 8, hot, True).collect()}
+    import hashlib
+
+    wanted = repeats_brute(texts, 40, across=True)
+    assert any(w[0] for w in wanted)
+    for text, (removed, spans, kept) in zip(texts, wanted):
+        raw = (text or "").encode()
+        assert got.get(hashlib.md5(raw).digest(), (0, 0, raw)) == (removed, spans, kept)

@@ -46,7 +46,7 @@ def test_one_of_each_group_stays(spark, documents):
 
 def test_repeated_passages_go(spark, documents):
     rows = documents.collect()
-    expected = Counter((r.doc_id, kept.decode("utf-8", "ignore")) for r, (_, _, kept) in zip(rows, repeats_brute([r.text for r in rows], stages.PASSAGE)))
+    expected = Counter((r.doc_id, kept.decode("utf-8", "ignore")) for r, (_, _, kept) in zip(rows, repeats_brute([r.text for r in rows], stages.PASSAGE, across=True)))
     got = stage(2)(spark, documents, SF).collect()
     assert Counter((r.doc_id, r.text or "") for r in got) == expected
     before = {r.doc_id: r.text for r in rows}
