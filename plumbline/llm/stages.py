@@ -11,8 +11,8 @@ from plumbline.operators.numbering import assign_ids
 from plumbline.sources.staging import materialise
 
 
-#: Bytes of a passage that must not repeat. A run of over 50 words takes about 330 bytes, hardly ever less than 280.
-PASSAGE = 280
+#: Bytes of a passage that must not repeat. A run of over 50 words takes about 330 bytes, hardly ever less than 280; a little less leaves room for ends that differ.
+PASSAGE = 240
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
