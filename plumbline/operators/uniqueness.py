@@ -44,8 +44,9 @@ from pyspark.sql.types import (
 from plumbline.functions.rules import column
 from plumbline.sources.staging import POSITION, has_position, materialise, stage_with_position
 
-# Looked-up values: a key is 8 bytes or, as text, up to 65; a position 24; a hash table's entry 16 more.
-MAX_BROADCAST_BYTES = 32 << 20
+# Looked-up values: a key is 8 bytes or, as text, up to 65; a position 24; a hash table's entry 16 more. Beyond some
+# hundred thousand values a window is the cheaper way.
+MAX_BROADCAST_BYTES = 5 << 20
 _NUMBER_BYTES, _TEXT_BYTES, _ENTRY_BYTES = 8, 65, 40
 # A value is hot above this many rows: no window ever ranks a larger group, however large the table is.
 HOT_ROWS = 100_000
@@ -253,7 +254,8 @@ def _first_rows(
     """Of each repeated value the first row: the value, ``identity`` of the row and what it ``carried``.
 
     Among the rows that come first in the declared order, the one with the least place and the one with the greatest
-    are the same unless they tie. Only tying values are looked at again, with digests of the rows' ``values``.
+    are the same unless they tie. Only tying values are looked at again, with digests of the rows' ``values``: they are
+    the small side of a join, and where there are none Spark drops the join before it scans the table.
     """
     carried = carried or {}
     places = {f"_dq_at_{i}": column(c) for i, c in enumerate(identity)}
@@ -285,9 +287,7 @@ def _first_rows(
     if not order_by:
         return result(least(df, wanted, True, digests))
     ties = reduce(lambda a, b: a | b, [F.col(f"{_FIRST}.{n}") != F.bitwise_not(F.col(f"_dq_last.{n}")) for n in places])
-    found, seen = materialise(least(df, wanted, True, {}).withColumn("_dq_tie", ties), ties=F.count_if("_dq_tie"))
-    if not seen["ties"]:
-        return result(found)
+    found = least(df, wanted, True, {}).withColumn("_dq_tie", ties)
     tied = found.where("_dq_tie").select(F.col(_KEY).alias("_dq_wanted"), *[F.col(f"{_FIRST}.{n}").alias(f"{n}w") for n in told])
     return result(found.where("not _dq_tie")).unionByName(result(least(df, tied, False, digests)))
 
