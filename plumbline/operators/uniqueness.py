@@ -174,7 +174,8 @@ def mark_first(
         late = []
         for field, hot, few in crowded:
             narrow = settled.select(keys[field].alias(_KEY), *[column(c) for c in order])
-            first = None if hot is None else _first_rows(df, keys[field], hot, order_by, identity, values, few=few)
+            # read twice: by the rows of hot values and by the others
+            first = None if hot is None else materialise(_first_rows(df, keys[field], hot, order_by, identity, values, few=few))[0]
             late.append(_late_rows(narrow, first, order, identity, few))
         marked = _join_late(marked, late, identity)
         for i, (field, *_) in enumerate(crowded):
