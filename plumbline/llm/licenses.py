@@ -3,49 +3,23 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import extended, per_batch, small_batches, table, to_arrow_schema, without
+from plumbline.llm.license_texts import TEMPLATES
 
 # Phrases that are labels by themselves.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Wordings of public licences and notices, with the phrases that must stand in a match.
-TEMPLATES = [
-    ("mit", "released under the mit license", ["mit license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-            "documentation files the software to deal in the software without restriction including without limitation the "
-            "rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
-     ["permission is hereby granted", "without restriction"]),
-    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license", "version 2"]),
-    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is "
-                   "distributed on an as is basis without warranties or conditions of any kind either express or implied",
-     ["as is basis", "without warranties or conditions"]),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ["cc by nc", "4 0"]),
-    ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license",
-     ["creative commons attribution", "4 0"]),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ["gnu general public license", "version 3"]),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
-            "public license as published by the free software foundation",
-     ["gnu general public license", "free software foundation"]),
-    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
-                     "promote products derived from this software without specific prior written permission",
-     ["endorse or promote products", "prior written permission"]),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-            "granted provided that the above copyright notice and this permission notice appear in all copies",
-     ["with or without fee", "permission notice"]),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
-]
-
-#: Of a template's words that a file has, so many with the highest IDF are looked up.
-RARE_WORDS = 4
-#: So many of them must agree on where the template begins, give or take ``SLACK`` words.
+#: So many words of a template's rare part must stand where one start would have them.
 AGREEING = 2
+#: A match may have so many words between those of the template, and one more for each ``WORDS_PER_GAP`` of its words.
 SLACK = 2
+WORDS_PER_GAP = 8
 LEAST_COVER = 0.8
 BASE_ONLY = 0.5
 OUT = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -70,64 +44,162 @@ def phrase_starts(line: bytes, phrase: str) -> list[int]:
     return found
 
 
+@dataclass(frozen=True)
+class Template:
+    label: str
+    words: list[bytes]
+    phrases: list[bytes]
+    places: dict[bytes, int]  # the places of a word, as bits
+
+    @property
+    def need(self) -> int:
+        """So many words must stand in order."""
+        return math.ceil(LEAST_COVER * len(self.words))
+
+    @property
+    def span(self) -> int:
+        """A match lies within so many words from its start."""
+        return len(self.words) + SLACK + len(self.words) // WORDS_PER_GAP
+
+    def in_order(self, words: list[bytes]) -> int:
+        """The most template words that stand in ``words`` in the template's order (longest common subsequence)."""
+        full = (1 << len(self.words)) - 1
+        free = full
+        for w in words:
+            if at := self.places.get(w):
+                taken = free & at
+                free = ((free + taken) | (free - taken)) & full
+        return len(self.words) - free.bit_count()
+
+    def found_in(self, words: list[bytes]) -> int:
+        """``in_order``, but 0 where it is too little or a mandatory phrase is missing."""
+        line = b" " + b" ".join(words) + b" "
+        if not all(p in line for p in self.phrases):
+            return 0
+        n = self.in_order(words)
+        return n if n >= self.need else 0
+
+
+@dataclass(frozen=True)
+class Match:
+    """``n`` of the template's words stand in order within its span from word ``start`` on."""
+
+    template: int
+    start: int
+    n: int
+
+
 class TemplateIndex:
-    """Postings of the templates' words: word to (template, place) pairs, and the words' IDF in the corpus."""
+    """Positional postings of the licence words: word to (template, place) pairs, rare words first.
+
+    A word is posted for a template if it belongs to its rare part: its words of highest IDF, just so many that any match
+    has at least ``AGREEING`` of them in place, whichever words it lacks. What the index finds is so what a try of every
+    template at every start finds.
+    """
 
     def __init__(self, templates: list[tuple[str, str, list[str]]], idf: dict[str, float]):
-        self.templates = [(label, text.encode().split(), phrases) for label, text, phrases in templates]
-        self.idf = {w.encode(): x for w, x in idf.items()}
-        self.required = [{w.encode() for p in phrases for w in p.split()} for _, _, phrases in templates]
-        self.places = []
-        for _, words, _ in self.templates:
-            places: dict[bytes, list[int]] = {}
+        self.templates: list[Template] = []
+        self.postings: dict[bytes, list[tuple[int, int]]] = {}
+        for t, (label, text, phrases) in enumerate(templates):
+            words, places = words_of(text), {}
             for i, w in enumerate(words):
-                places.setdefault(w, []).append(i)
-            self.places.append(places)
-
-    def begins(self, t: int, present: set[bytes], where: dict[bytes, list[int]]) -> list[int]:
-        """Where template ``t`` may begin: starts on which its rarest words in the file agree."""
-        rare = sorted((w for w in self.places[t] if w in present), key=lambda w: (-self.idf.get(w, 0.0), w))[:RARE_WORDS]
-        votes: dict[int, set[bytes]] = {}
-        for word in rare:
-            for at in where[word]:
-                for place in self.places[t][word]:
-                    for start in range(at - place - SLACK, at - place + SLACK + 1):
-                        votes.setdefault(start, set()).add(word)
-        need = min(AGREEING, len(self.places[t]))
-        return sorted(votes_at for votes_at, by in votes.items() if len(by) >= need)
+                places[w] = places.get(w, 0) | 1 << i
+            template = Template(label, words, [f" {p} ".encode() for p in phrases], places)
+            self.templates.append(template)
+            left = len(words) - template.need + AGREEING
+            for word in sorted(places, key=lambda w: (-idf.get(w.decode(), 0.0), w)):
+                if left <= 0:
+                    break
+                here = [(t, i) for i, w in enumerate(words) if w == word]
+                self.postings.setdefault(word, []).extend(here)
+                left -= len(here)
+        order = sorted(self.postings, key=lambda w: (-idf.get(w.decode(), 0.0), w))
+        self.rank = {w: i for i, w in enumerate(order)}
 
-    def matches(self, words: list[bytes]) -> dict[str, float]:
-        """Labels whose template is in the file, with the best share of the template's words found in place."""
-        present, found = set(words), {}
-        likely = [t for t, required in enumerate(self.required) if required <= present]
-        if not likely:
-            return {}
-        sought = {w for t in likely for w in self.places[t]}
+    def starts(self, words: list[bytes]) -> dict[int, list[tuple[int, int]]]:
+        """Per template the ranges of starts (first, last) on which ``AGREEING`` places of its rare part agree."""
         where: dict[bytes, list[int]] = {}
         for i, w in enumerate(words):
-            if w in sought:
+            if w in self.rank:
                 where.setdefault(w, []).append(i)
-        for t in likely:
-            label, template, phrases = self.templates[t]
-            for start in self.begins(t, present, where):
-                if found.get(label, 0) == 1.0:
-                    break
-                near = words[max(0, start - SLACK) : max(0, start + len(template) + SLACK)]
-                line = b" " + b" ".join(near) + b" "
-                if all(f" {p} ".encode() in line for p in phrases):
-                    left, same = list(near), 0
-                    for w in template:
-                        if w in left:
-                            left.remove(w)
-                            same += 1
-                    if same / len(template) >= LEAST_COVER:
-                        found[label] = max(found.get(label, 0.0), same / len(template))
+        events: dict[int, list[tuple[int, int, int]]] = {}
+        for word in sorted(where, key=self.rank.__getitem__):
+            for t, place in self.postings[word]:
+                template = self.templates[t]
+                lacking = len(template.words) - template.need
+                before, after = template.span - len(template.words) + lacking, lacking
+                for at in where[word]:  # a match that has this word here starts in this range
+                    events.setdefault(t, []).append((at - place - before, 1, place))
+                    events[t].append((at - place + after + 1, -1, place))
+        found = {}
+        for t, marks in events.items():
+            open_places: dict[int, int] = {}
+            ranges, since = [], None
+            for at, step, place in sorted(marks):
+                open_places[place] = open_places.get(place, 0) + step
+                if not open_places[place]:
+                    del open_places[place]
+                if len(open_places) >= AGREEING:
+                    since = at if since is None else since
+                elif since is not None:
+                    first, last, since = max(since, 0), min(at, len(words)) - 1, None
+                    if first <= last:
+                        ranges.append((first, last))
+            if ranges:
+                found[t] = ranges
+        return found
+
+    def places(self, words: list[bytes]) -> list[Match]:
+        """All starts at a word of the template from which it is found, by halving the ranges of `starts`: what is not in
+        the words of all starts of a range is in those of none of them."""
+        found = set()
+        for t, ranges in self.starts(words).items():
+            template = self.templates[t]
+            left = list(ranges)
+            while left:
+                first, last = left.pop()
+                n = template.found_in(words[first : last + template.span])
+                if n and first < last:
+                    middle = (first + last) // 2
+                    left += [(first, middle), (middle + 1, last)]
+                elif n and words[first] in template.places:
+                    found.add(Match(t, first, n))
+        return sorted(found, key=lambda m: (m.template, m.start))
+
+    def best(self, places: list[Match]) -> list[Match]:
+        """The best start of each chain of starts that follow closely, without those that lie (by half of their words or
+        more) in a match of another template with more words in order: the two-clause form within the three-clause one."""
+        chains: list[Match] = []
+        before = None
+        for m in places:
+            template = self.templates[m.template]
+            if before and before.template == m.template and m.start - before.start <= template.span - len(template.words):
+                chains[-1] = m if m.n > chains[-1].n else chains[-1]
+            else:
+                chains.append(m)
+            before = m
+
+        def covered(m: Match, by: Match) -> bool:
+            own, other = len(self.templates[m.template].words), len(self.templates[by.template].words)
+            common = min(m.start + own, by.start + other) - max(m.start, by.start)
+            return by.n > m.n and 2 * common >= own
+
+        return [m for m in chains if not any(covered(m, by) for by in chains)]
+
+    def matches(self, words: list[bytes]) -> dict[str, float]:
+        """Labels whose template is in the file, with the best share of the template's words found in order."""
+        if self.rank.keys().isdisjoint(words):
+            return {}
+        found: dict[str, float] = {}
+        for m in self.best(self.places(words)):
+            template = self.templates[m.template]
+            found[template.label] = max(found.get(template.label, 0.0), m.n / len(template.words))
         return found
 
 
 def template_idf(documents: DataFrame, templates=TEMPLATES) -> dict[str, float]:
     """IDF of the templates' words over all texts. What reaches the driver is one count per word of the templates."""
-    vocabulary = sorted({w for _, text, _ in templates for w in text.split()})
+    vocabulary = sorted({w.decode() for _, text, _ in templates for w in words_of(text)})
 
     def count(batch):
         counts, sought = {}, {w.encode() for w in vocabulary}
@@ -146,10 +218,10 @@ def template_idf(documents: DataFrame, templates=TEMPLATES) -> dict[str, float]:
 def scan_licenses(documents: DataFrame, idf: dict[str, float], templates=TEMPLATES) -> DataFrame:
     """Add word count, base phrase places and labels to each document, by whole texts.
 
-    A template is looked for only in files that have all words of its mandatory phrases. Its ``RARE_WORDS`` words with
-    the highest IDF among those in the file are looked up; starts on which ``AGREEING`` of them agree are checked: the
-    mandatory phrases must stand there and ``LEAST_COVER`` of the template's words. ``score`` is the best cover found,
-    ``BASE_ONLY`` if only base phrases are, else 0.
+    The file's licence words with the highest IDF are looked up in the postings; starts on which two of a template's rare
+    words agree by relative position are checked: the mandatory phrases must stand in the template's span from there, and
+    ``LEAST_COVER`` of its words in order. A match within a better one of another template doesn't count. ``score`` is the
+    best cover found, ``BASE_ONLY`` if only base phrases are, else 0.
 
     Null and empty texts have no words, no labels (empty strings), null places and score 0. Rows are scanned one by
     one: repeated rows get equal results, other columns pass unchanged, columns named as the results are replaced.
