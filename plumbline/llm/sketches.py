@@ -179,25 +179,43 @@ def _shared(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 _UNIT = ["bucket", "i", "j"]
+#: Rows of pieces of work in a task, about: four pieces of two full blocks.
+UNIT_ROWS = 4096
 
 
 def block_links(met: DataFrame, sets: DataFrame, labels: DataFrame, documents: DataFrame, percent: int, block: int) -> DataFrame:
     """Links between components that meet in a bucket, as many as it takes to join them.
 
     Only buckets whose members besides the centre (which has been tried against all) are still in several components
-    count. These members are split into blocks; a piece of work holds two blocks of a bucket. It first finds by the
-    registers which members have any likely partner of another component. Their full sets are fetched, pairs are
-    verified in memory, each in the first bucket that it meets in, and a link is returned when it joins two components.
+    count. The members of a bucket's largest component are never compared with one another: they are split into blocks
+    that meet the blocks of the other members, which also meet each other. So a bucket of a million near copies and a
+    stray sends each copy once. A piece of work holds two blocks of a bucket. It first finds by the registers which
+    members have any likely partner of another component. Their full sets are fetched, pairs are verified in memory,
+    each in the first bucket that it meets in, and a link is returned when it joins two components.
     """
     named = met.where("id <> centre").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id"))
-    open_ = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    members = named.join(open_.where("x < y").select("bucket", "parts"), "bucket")
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    members = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    open_ = sizes.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", F.negative("label").alias("label"))).alias("most"), F.count(F.lit(1)).alias("components")
+    ).where("components > 1")
+    parts = lambda n: F.ceil(n / block).cast("int")
+    others, largest = F.col("n") - F.col("most.n"), F.col("most.n")
+    open_, counted = materialise(
+        open_.select("bucket", F.negative("most.label").alias("largest"), parts(others).alias("p"), parts(largest).alias("q"), "n", "most"),
+        rows=F.coalesce(F.sum(others * (F.col("p") + F.col("q")) + largest * F.col("p")), F.lit(0)),
+    )
+    members = named.join(open_.select("bucket", "largest", "p", "q"), "bucket")
+    in_largest, spread = F.col("label") == F.col("largest"), F.xxhash64("id")
+    part = F.when(in_largest, F.col("p") + F.pmod(spread, F.col("q"))).otherwise(F.pmod(spread, F.col("p"))).cast("int")
+    meets = F.col("p") + F.when(in_largest, 0).otherwise(F.col("q")) - 1
+    members = members.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), meets)))
     work = members.select(
         "bucket", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "label"
     ).join(sets.select("id", "n_shingles", "sketch"), "id")
 
+    def by_unit(rows: DataFrame, n: int) -> DataFrame:
+        return rows.repartition(1 + n // UNIT_ROWS, *_UNIT).sortWithinPartitions(*_UNIT, "id")
+
     def pieces(batches):
         for batch, cuts in whole_groups(batches, _UNIT):
             ids, label, n, part, band, i, j = (batch.column(c).to_numpy() for c in ("id", "label", "n_shingles", "part", "band", "i", "j"))
@@ -218,8 +236,7 @@ def block_links(met: DataFrame, sets: DataFrame, labels: DataFrame, documents: D
             yield batch.filter(pa.array(used))
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in work.schema)
-    placed = work.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "id").mapInArrow(hopeful, kinds)
-    chosen, _ = materialise(placed)
+    chosen, kept = materialise(by_unit(work, counted["rows"]).mapInArrow(hopeful, kinds), n=F.count(F.lit(1)))
     full = full_sets(chosen.select("id").distinct(), documents)
 
     def verified(batches):
@@ -239,8 +256,7 @@ def block_links(met: DataFrame, sets: DataFrame, labels: DataFrame, documents: D
             found = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    placed = chosen.join(full, "id").repartition(*_UNIT).sortWithinPartitions(*_UNIT, "id")
-    return placed.mapInArrow(verified, "a bigint, b bigint")
+    return by_unit(chosen.join(full, "id"), kept["n"]).mapInArrow(verified, "a bigint, b bigint")
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

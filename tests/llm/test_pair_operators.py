@@ -4,9 +4,11 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import pivots, sketches, suffix
 from plumbline.llm.components import connected_components
+from plumbline.sources import staging
 
 
 def smallest_reach(nodes, links):
@@ -76,6 +78,33 @@ def test_near_duplicates_match_brute_force(spark, seed, block):
             assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+def test_a_stray_in_a_crowded_bucket_sends_each_copy_once(spark, monkeypatch):
+    """All texts in one bucket; one of them isn't in the component that the others are in yet."""
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[:i] + [f"x{i}"] + words[i + 1 :]) for i in range(150)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = sketches.sketch(documents).select(F.col("doc_id").alias("id"), "set_id", "n_shingles", "sketch")
+    met = sketches.meetings(sets)
+    crowd = met.where("band = 0").groupBy("bucket", "centre").count().orderBy(F.desc("count")).first()
+    here = met.where(F.col("bucket") == crowd["bucket"])
+    stray = here.where("id <> centre").agg(F.max("id")).first()[0]
+    labels = sets.where(F.col("id") != stray).select("id", F.lit(0).cast("bigint").alias("component"))
+    counted = []
+
+    def spy(df, keep=None, **measures):
+        stored, found = staging.materialise(df, keep, **measures)
+        counted.append(found)
+        return stored, found
+
+    monkeypatch.setattr(sketches, "materialise", spy)
+    block, members = 4, crowd["count"] - 1
+    links = sketches.block_links(here, sets, labels, documents, 75, block).collect()
+    found = {row["rows"] for row in counted if "rows" in row}
+    blocks = -(-(members - 1) // block)
+    assert members > 3 * block and found == {members - 1 + blocks + 1}
+    assert 1 <= len(links) <= blocks and all(stray in (r["a"], r["b"]) for r in links)  # a link per piece of work
+
+
 def test_chain_through_unlike_neighbours(spark):
     """Each text links to the next only; the smallest of a bucket need not be near the rest."""
     rng = random.Random(9)
