@@ -66,7 +66,7 @@ _GNU_TERMS = (
 )
 _CC = "This work is licensed under a Creative Commons {name} International License."
 
-#: Whole licences.
+#: Licences, most of them whole; of a few (such as ms-pl, postgresql, bsl-1.0) the leading part.
 BODIES = [
     ("mit", _MIT_GRANT + _MIT_CONDITION + _MIT_WARRANTY, ["permission is hereby granted", "this permission notice shall be included"]),
     ("mit-0", _MIT_GRANT + "." + _MIT_WARRANTY, ["permission is hereby granted", "furnished to do so the software is provided"]),
