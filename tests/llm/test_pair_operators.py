@@ -347,3 +347,56 @@ def test_passages_of_other_texts_only(spark, seed, hot):
     for text, (removed, spans, kept) in zip(texts, wanted):
         raw = (text or "").encode()
         assert got.get(hashlib.md5(raw).digest(), (0, 0, raw)) == (removed, spans, kept)
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_pieces_equal_where_they_share_fold_before_the_suffix_array(across):
+    length, anchor = 8, b"####"
+    near = [(b"a", 3, b"xx12345####6789yy", 7), (b"b", 0, b"2345####6789", 4)]
+    whole, unlike = suffix.settle_group(near, length, across)
+    assert sorted(whole) == [(b"a", 6, 18), (b"b", 0, 12)] and unlike == []
+    assert suffix.settle_group(near[:1], length, across) == ([], [])
+    again = [(b"a", 0, b"1234####5", 4), (b"a", 50, b"1234####6", 4)]
+    assert bool(suffix.settle_group(again, length, across)[0]) is not across
+
+    rng = random.Random(5)
+    for _ in range(300):
+        texts = {bytes([97 + i]): bytes(rng.choice(b"uv") for _ in range(rng.randrange(1, 7))) + anchor + bytes(rng.choice(b"uv") for _ in range(rng.randrange(1, 7))) for i in range(rng.randrange(2, 8))}
+        if rng.random() < 0.5:  # the anchor twice in a text
+            texts[b"a"] += b"-" * 12 + texts[b"b"]
+        group = [(k, max(at - 6, 0), t[max(at - 6, 0) : at + 10], min(at, 6)) for k, t in texts.items() for at in range(len(t)) if t.startswith(anchor, at)]
+        whole, unlike = suffix.settle_group(group, length, across)
+        found = list(whole)
+        if unlike:
+            keys = [k for k, _, _ in unlike]
+            for i, a, b in suffix.repeated_in_shard([p for _, _, p in unlike], np.array([ord(k) for k in keys]), np.array([lo for _, lo, _ in unlike]), length, across):
+                found.append((keys[i], unlike[i][1] + a, unlike[i][1] + b))
+        assert sum(len(p) for _, _, p in unlike) <= sum(len(r[2]) for r in group)
+        gone = {k: np.zeros(len(t), bool) for k, t in texts.items()}
+        for k, a, b in found:
+            gone[k][a:b] = True
+        wanted = {k: np.zeros(len(t), bool) for k, t in texts.items()}
+        starts = {}
+        for k, t in texts.items():
+            for i in range(len(t) - length + 1):
+                if anchor in t[i : i + length]:
+                    starts.setdefault(t[i : i + length], []).append((k, i))
+        for places in starts.values():
+            if len({k for k, _ in places} if across else places) > 1:
+                for k, i in places:
+                    wanted[k][i : i + length] = True
+        assert all((gone[k] >= wanted[k]).all() for k in texts)
+        every = repeats_brute([t.decode() for t in texts.values()], length, across)
+        assert all(int(gone[k].sum()) <= n for k, (n, _, _) in zip(texts, every))
+
+
+def test_names_and_words_in_order():
+    rng = np.random.default_rng(3)
+    for n, most in ((1, 1), (7, 2), (500, 2), (500, 40), (3000, 2000)):
+        names = np.concatenate([rng.integers(0, most, n), np.zeros(5, np.int64), rng.integers(0, most, 3)]).astype(np.int64)
+        names = np.unique(np.concatenate([names, names]), return_inverse=True)[1].astype(np.int64)
+        assert suffix._sort_names(names).tolist() == sorted(range(len(names)), key=lambda i: names[i:].tolist())
+    for kind in (np.uint8, np.uint16):
+        values = rng.integers(0, 256, 21).astype(kind)
+        padded = values.astype("<u%d" % values.itemsize).tobytes() + bytes(8)
+        assert suffix._words(values).tolist() == [int.from_bytes(padded[i * values.itemsize :][:8], "little") for i in range(21)]
