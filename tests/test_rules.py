@@ -167,3 +167,20 @@ def test_template_of_rule_41_is_laxer(spark):
         verdict(template_passes(sql)).alias("template"),
     ).collect()
     assert [tuple(r) for r in rows] == [(0, 1), (0, 1), (1, 1)]
+
+
+@pytest.mark.parametrize("marker", ["NULL", "N"])
+def test_one_verdict_is_searched_for(spark, marker):
+    texts = [f"RULE_1: 1 | RULE_10: 0 | RULE_101: {marker}", f"RULE_1: {marker} | RULE_10: 1 | RULE_101: 0", "RULE_10: 1", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "r string")
+    for rule in (1, 10, 101, 7):
+        rows = df.select(encoding.verdict_of(F.col("r"), rule).alias("v"), encoding.decode(F.col("r"))[f"RULE_{rule}"].alias("d")).collect()
+        assert [r.v for r in rows] == [r.d for r in rows]
+    assert df.select(encoding.verdict_of(F.col("r"), 10)).schema[0].dataType.simpleString() == "int"
+
+
+def test_e03_builds_no_map_per_row(spark):
+    from plumbline.workload.queries import REGISTER
+
+    plan = REGISTER["e03_decode_per_row"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "map_from_entries" not in plan and "lambdafunction" not in plan
