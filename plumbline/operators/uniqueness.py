@@ -50,6 +50,8 @@ MAX_BROADCAST_BYTES = 5 << 20
 _NUMBER_BYTES, _TEXT_BYTES, _ENTRY_BYTES = 8, 65, 40
 # A value is hot above this many rows: no window ever ranks a larger group, however large the table is.
 HOT_ROWS = 100_000
+# Wide rows that one task joins with the list of failing ones, about; what it sorts does not grow with the table.
+ROWS_PER_TASK = 500_000
 LONG_TEXT_BYTES = 64
 
 # Fields counted in one scan: each row goes into the aggregate once per field.
@@ -147,7 +149,7 @@ def mark_first(
     keys = {f: grouping_key(df, f) for f in fields}
     counted = _repeated_keys(df, list(keys.values()), hot_rows)
 
-    marked, flags, crowded = df, {}, []
+    marked, flags, crowded, n_rows = df, {}, [], 0
     for n, (field, (repeated, seen)) in enumerate(zip(fields, counted)):
         most = _broadcast_keys(df, keys[field]) if max_broadcast_keys is None else max_broadcast_keys
         if not seen["repeated"]:
@@ -157,6 +159,7 @@ def mark_first(
             marked = _look_up(marked, first, keys[field], identity, f"_dq_first_{n}")
             flags[field] = F.col(f"_dq_first_{n}")
         else:
+            n_rows = seen["rows"]
             crowded.append((field, repeated.where(F.col(_COUNT) > hot_rows) if seen["hot"] else None, seen["hot"] <= most))
 
     if not crowded:
@@ -177,7 +180,7 @@ def mark_first(
             # read twice: by the rows of hot values and by the others
             first = None if hot is None else materialise(_first_rows(df, keys[field], hot, order_by, identity, values, few=few))[0]
             late.append(_late_rows(narrow, first, order, identity, few))
-        marked = _join_late(marked, late, identity)
+        marked = _join_late(marked, late, identity, -(-n_rows // ROWS_PER_TASK))
         for i, (field, *_) in enumerate(crowded):
             word, bit = divmod(i, WORD_BITS)
             flags[field] = F.coalesce(F.getbit(F.col(f"{_LATE}_{word}"), F.lit(bit)) == 0, F.lit(True))
@@ -231,11 +234,12 @@ def _repeated_keys(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_RO
     of_set = {i: (F.col("_dq_set") == (0 if len(keys) == 1 else ((1 << len(keys)) - 1) ^ (1 << (len(keys) - 1 - i)))) for i in range(len(keys))}
     measures = {}
     for i, here in of_set.items():
+        measures[f"rows_{i}"] = F.sum(F.when(here, F.col(_COUNT)))
         measures[f"repeated_{i}"] = F.count_if(here & (F.col(_COUNT) > 1))
         measures[f"hot_{i}"] = F.count_if(here & (F.col(_COUNT) > hot_rows))
     stored, seen = materialise(counts, keep=F.col(_COUNT) > 1, **measures)
     return [
-        (stored.where(of_set[i]).select(F.col(n).alias(_KEY), _COUNT), {m: seen[f"{m}_{i}"] for m in ("repeated", "hot")})
+        (stored.where(of_set[i]).select(F.col(n).alias(_KEY), _COUNT), {m: seen[f"{m}_{i}"] for m in ("rows", "repeated", "hot")})
         for i, n in enumerate(names)
     ]
 
@@ -328,8 +332,13 @@ def _late_rows(
     return late.unionByName(of_hot.where(~_all_same(identity, names)).select(*ids))
 
 
-def _join_late(marked: DataFrame, lists: Sequence[DataFrame], identity: Sequence[str]) -> DataFrame:
-    """Attach to each row the set of fields in which it is a later duplicate, as bits of as many words as it takes."""
+def _join_late(marked: DataFrame, lists: Sequence[DataFrame], identity: Sequence[str], tasks: int) -> DataFrame:
+    """Attach to each row the set of fields in which it is a later duplicate, as bits of as many words as it takes.
+
+    Where ``tasks`` are more than run at once, both sides are dealt to so many: Spark's own number of them follows the
+    shuffle's compressed bytes and lets a task's memory grow with the table. Identities that may be null meet by other
+    keys than their columns, so their join is left to Spark.
+    """
     words = [f"{_LATE}_{w}" for w in range(-(-len(lists) // WORD_BITS))]
     bits = [
         rows.select("*", *[F.lit(1 << i % WORD_BITS if w == i // WORD_BITS else 0).cast("long").alias(word)
@@ -337,10 +346,16 @@ def _join_late(marked: DataFrame, lists: Sequence[DataFrame], identity: Sequence
         for i, rows in enumerate(lists)
     ]
     names = [f"_dq_at_{i}" for i in range(len(identity))]
+    late = reduce(DataFrame.unionByName, bits)
+    same = _all_same(identity, names)
+    if not any(f.nullable for f in marked.select(*[column(c) for c in identity]).schema):
+        same = reduce(lambda a, b: a & b, [column(a) == column(b) for a, b in zip(identity, names)])
+        if tasks > marked.sparkSession.sparkContext.defaultParallelism:
+            marked, late = (df.repartition(tasks, *[column(c) for c in identity]) for df in (marked, late))
     late = (
-        reduce(DataFrame.unionByName, bits)
+        late
         .groupBy(*[column(c) for c in identity])
         .agg(*[F.bit_or(word).alias(word) for word in words])
         .select(*[column(c).alias(a) for c, a in zip(identity, names)], *words)
     )
-    return marked.join(late, _all_same(identity, names), "left")
+    return marked.join(late, same, "left")

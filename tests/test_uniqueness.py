@@ -243,3 +243,29 @@ def test_maps_do_not_tell_rows_apart_but_are_kept(spark):
     marked, flags = mark_first(df, ["v"])
     assert marked.count() == 3 and marked.where(flags["v"]).count() == 2
     assert sorted(r.m["a"] for r in marked.collect()) == [1, 2, 3]
+
+
+def test_rows_per_task_of_the_wide_join_do_not_grow(spark, sf_dir, monkeypatch):
+    """Both sides are dealt once, to tasks of a bounded number of rows, whatever Spark's own number of partitions is."""
+    monkeypatch.setattr(uniqueness, "ROWS_PER_TASK", 2000)
+    df = with_position(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    n = df.count()
+    marked, flags = mark_first(df, ["l_orderkey"], ["l_linenumber"], max_broadcast_keys=0, hot_rows=8)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(_dq_file_a#\d+L, _dq_file_b#\d+L, _dq_row#\d+L, (\d+)\)", plan)
+    assert dealt and set(dealt) == {str(-(-n // 2000))} and "coalesce(_dq_file_a" not in plan
+    firsts = marked.groupBy("l_orderkey").agg(
+        F.count_if(flags["l_orderkey"]).alias("n"), F.min("l_linenumber").alias("least"),
+        F.min(F.when(flags["l_orderkey"], F.col("l_linenumber"))).alias("first"),
+    )
+    assert firsts.where("n <> 1 or first <> least").count() == 0
+    most = marked.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 2000
+
+
+def test_identity_that_may_be_null_joins_null_safe(spark, monkeypatch):
+    monkeypatch.setattr(uniqueness, "ROWS_PER_TASK", 100)
+    df = spark.createDataFrame([(None if i == 0 else i, i % 40) for i in range(2000)], "k int, v int")
+    marked, flags = mark_first(df, ["v"], ["k"], max_broadcast_keys=0, hot_rows=8)
+    firsts = {r.k for r in marked.where(flags["v"]).collect()}
+    assert firsts == {None, *range(1, 40)}
