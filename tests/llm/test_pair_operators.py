@@ -349,6 +349,26 @@ def test_passages_of_other_texts_only(spark, seed, hot):
         assert got.get(hashlib.md5(raw).digest(), (0, 0, raw)) == (removed, spans, kept)
 
 
+@pytest.mark.parametrize("hot", [6000, 1])
+def test_part_of_a_passage_again_in_one_of_its_texts(spark, hot):
+    """Two texts share a passage and one of them has a part of it again: only the other text makes that part go."""
+    import hashlib
+
+    rng = random.Random(5)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    texts = []
+    for _ in range(20):
+        passage = noise(300)
+        texts += [noise(30) + passage + noise(50) + passage[100 : 100 + rng.choice([50, 60, 90])] + noise(40), noise(20) + passage + noise(25)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    got = {bytes(r.key): (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix.remove_repeats(frame, 40, 8, hot, True).collect()}
+    for text, wanted in zip(texts, repeats_brute(texts, 40, across=True)):
+        assert got[hashlib.md5(text.encode()).digest()] == wanted
+
+
 @pytest.mark.parametrize("across", [False, True])
 def test_pieces_equal_where_they_share_fold_before_the_suffix_array(across):
     length, anchor = 8, b"####"
