@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import ascii_lower, table, to_arrow_schema
+from plumbline.llm.common import ascii_lower, per_batch, small_batches, table, text_bytes, to_arrow_schema
 from plumbline.operators.numbering import assign_ids
 from plumbline.sources.staging import materialise, scratch_path
 
@@ -18,13 +21,28 @@ LONGEST = 4  # words
 CONTAINED = 80  # percent of a phrase's occurrences inside one longer candidate that drop it
 BEST = 2000  # phrases of a language
 NO_LANG = "und"
-#: Frequent groups up to this size are looked up by a broadcast; beyond it by a shuffle of the occurrences.
-MOST_BROADCAST = 32 << 20
-#: Rows of a batch that leaves Python.
-PAIRS = 1 << 19
+#: Frequent groups up to this size are looked up in sorted arrays that are broadcast; beyond it by a shuffle of the
+#: occurrences. A broadcast has about ``PART`` bytes, and a worker holds one at a time.
+MOST_BROADCAST = 512 << 20
+PART = 32 << 20
+#: Items that are paired, counted or looked up at once.
+PAIRS = 1 << 21
+#: Pairs that a task folds before they are dealt out, and pairs of a bucket.
+HELD = 1 << 22
+BUCKET = 1 << 21
+#: Items of a row of a relation, if no gapless run is longer.
+ROW = 512
 #: The first cut of a language's best phrases works in so many parts.
 RANK_PARTS = 64
+ITEMS = "items binary"
 _GAP = -1
+#: Per byte, its lower case (A-Z), and 0 within words, 1 for blanks, 2 for ends of pieces.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t")] = 1
+_KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 1 << 12, np.uint64)
 
 
 def word_occurrences(documents: DataFrame) -> DataFrame:
@@ -39,8 +57,276 @@ def word_occurrences(documents: DataFrame) -> DataFrame:
     return words.where("word <> '' and word <> '\n'")
 
 
+def words_of(batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a batch of texts, cut as ``word_occurrences`` does: the different ones (languages and words), how
+    often each occurs, and per occurrence its number among them and whether it is the first word of a piece."""
+    raw, offsets = text_bytes(batch.column("text"))
+    kind = _KIND[raw]
+    inner = kind == 0
+    begins, ends = inner.copy(), inner.copy()
+    begins[1:] &= ~inner[:-1]
+    ends[:-1] &= ~inner[1:]
+    full = offsets[:-1] < offsets[1:]
+    first, last = offsets[:-1][full], offsets[1:][full] - 1
+    begins[first], ends[last] = inner[first], inner[last]
+    starts = np.flatnonzero(begins)
+    lengths = np.flatnonzero(ends) + 1 - starts
+    text = np.searchsorted(offsets, starts, side="right") - 1
+    stops = np.cumsum(kind == 2, dtype=np.int32)[starts]
+    opens = np.ones(len(starts), bool)
+    opens[1:] = (text[1:] != text[:-1]) | (stops[1:] != stops[:-1])
+
+    places = pa.py_buffer(np.append(0, np.cumsum(lengths)).astype(np.int64))
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, places, pa.py_buffer(_LOWER[raw[inner]])])
+    words = words.dictionary_encode()
+    langs = pa.compute.fill_null(batch.column("lang"), NO_LANG).dictionary_encode()
+    n = len(words.dictionary)
+    codes = langs.indices.to_numpy()[text].astype(np.int64) * n + words.indices.to_numpy()
+    size = len(langs.dictionary) * n
+    if size > 8 * len(codes):
+        found, numbers, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    else:
+        counts = np.bincount(codes, minlength=size)
+        found = np.flatnonzero(counts)
+        counts, place = counts[found], np.zeros(size, np.int64)
+        place[found] = np.arange(len(found))
+        numbers = place[codes]
+    of, word = np.divmod(found, max(n, 1))
+    return langs.dictionary.take(pa.array(of)), words.dictionary.take(pa.array(word)).cast(pa.string()), counts, numbers, opens
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """``lang``, ``word``, ``a``: the words of ``documents`` (``lang``, ``text``), counted for some texts at a time."""
+
+    def count(batch: pa.RecordBatch) -> dict:
+        langs, words, counts, _, _ = words_of(batch)
+        return {"lang": langs, "word": words, "a": counts}
+
+    return per_batch(documents, count, "lang string, word string, a bigint")
+
+
+def word_hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    """A hash per word, sums of its bytes by place; what has the same one is compared by who looks it up."""
+    raw, offsets = text_bytes(words)
+    place = np.arange(len(raw)) - np.repeat(offsets[:-1], np.diff(offsets))
+    hashes = np.add.reduceat(raw * _FACTORS[place % len(_FACTORS)], offsets[:-1]) if len(words) else np.zeros(0, np.uint64)
+    langs = langs.dictionary_encode()
+    seeds = [xxhash.xxh64_intdigest(lang) for lang in langs.dictionary.cast(pa.binary()).to_pylist()]
+    return hashes + np.array(seeds, np.uint64)[langs.indices.to_numpy()]
+
+
+def _parts(frequent: DataFrame, columns: list[str], n: int, size: int, pack: Callable[..., tuple]) -> list[Broadcast]:
+    """``pack(columns of rows)`` for the rows of ``frequent``, numbered 1 to ``n``, in broadcasts of about ``PART`` of
+    their ``size`` bytes. The driver holds one at a time."""
+    step = max(1, n * PART // max(size, 1))
+    parts = []
+    for low in range(0, n, step):
+        rows = frequent.where(F.col("id").between(low + 1, low + step)).select("id", *columns).toArrow()
+        parts.append(frequent.sparkSession.sparkContext.broadcast(pack(*(rows.column(c).combine_chunks() for c in ("id", *columns)))))
+    return parts
+
+
+def _each(parts: list[Broadcast]) -> Iterator[tuple]:
+    """The values of broadcasts; of several, a worker holds one at a time and reads the others from its disk again."""
+    for part in parts:
+        yield part.value
+        if len(parts) > 1:
+            del part._value
+
+
+def pack_words(ids: pa.Array, langs: pa.Array, words: pa.Array) -> tuple:
+    """Frequent words sorted by a hash."""
+    hashes = word_hashes(langs, words)
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], ids.to_numpy()[order], langs.take(pa.array(order)), words.take(pa.array(order))
+
+
+def find_words(part: tuple, hashes: np.ndarray, langs: pa.Array, words: pa.Array, found: np.ndarray) -> None:
+    """Put the ids of words that ``part`` has into ``found``. Words with equal hashes are compared by their bytes."""
+    keys, ids, its_langs, its_words = part
+    left = np.arange(len(hashes))
+    at = np.searchsorted(keys, hashes)
+    while True:
+        left = left[at[left] < len(keys)]
+        left = left[keys[at[left]] == hashes[left]]
+        if not len(left):
+            return
+        here, there = pa.array(left), pa.array(at[left])
+        same = pa.compute.and_(
+            pa.compute.equal(its_words.take(there), words.take(here)), pa.compute.equal(its_langs.take(there), langs.take(here))
+        ).to_numpy(zero_copy_only=False)
+        found[left[same]] = ids[at[left[same]]]
+        left = left[~same]
+        at[left] += 1
+
+
+def pack_pairs(ids: pa.Array, x: pa.Array, y: pa.Array) -> tuple:
+    """Frequent pairs, sorted."""
+    keys = paired(x.to_numpy(), y.to_numpy())
+    order = np.argsort(keys)
+    return keys[order], ids.to_numpy()[order]
+
+
+def find_pairs(part: tuple, keys: np.ndarray, found: np.ndarray) -> None:
+    """Put the ids of pairs, in order, that ``part`` has into ``found``."""
+    its, ids = part
+    at = np.minimum(np.searchsorted(its, keys), len(its) - 1)
+    same = its[at] == keys
+    found[same] = ids[at[same]]
+
+
+def paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Two ids in one number; ids are below 2^31, as that many frequent groups would need."""
+    if len(x) and max(x.max(), y.max()) >> 31:
+        raise ValueError("more than 2^31 frequent groups")
+    return x << 32 | y
+
+
+def _blobs(values: np.ndarray, offsets: np.ndarray | list[int]) -> pa.Array:
+    """Binary values: the bytes of stretches of an array."""
+    places = pa.py_buffer((np.asarray(offsets, np.int64) * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, places, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _items(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The items of all rows of a batch of a relation, and where each row begins, with the end last."""
+    values = batch.column("items").cast(pa.large_binary())
+    _, places, data = values.buffers()
+    offsets = np.frombuffer(places, np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw.view(np.int32).astype(np.int64), (offsets - offsets[0]) // 4
+
+
+def _rows(items: np.ndarray, arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``ROW`` items, cut at gaps only. Items that have no neighbour go: they are in no pair."""
+    solid = items != _GAP
+    beside = np.zeros(len(items), bool)
+    beside[1:] = solid[:-1]
+    beside[:-1] |= solid[1:]
+    kept = np.flatnonzero(solid & beside)
+    if not len(kept):
+        return
+    gaps = np.flatnonzero(np.diff(kept) != 1) + 1
+    runs = np.append(0, gaps + np.arange(1, len(gaps) + 1))  # where each run of items begins
+    runs = runs[np.append(True, np.diff(runs // ROW) > 0)]
+    items = np.insert(items[kept], gaps, _GAP)
+    yield pa.RecordBatch.from_arrays([_blobs(items.astype(np.int32), np.append(runs, len(items)))], schema=arrow)
+
+
+def word_relation(documents: DataFrame, parts: list[Broadcast]) -> DataFrame:
+    """The sorted occurrence relation of frequent words, which are looked up in ``parts``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            langs, words, _, numbers, opens = words_of(batch)
+            hashes, found = word_hashes(langs, words), np.full(len(words), _GAP)
+            for part in _each(parts):
+                find_words(part, hashes, langs, words, found)
+            yield from _rows(np.insert(found[numbers], np.flatnonzero(opens), _GAP), arrow)
+
+    arrow = to_arrow_schema(ITEMS)
+    return _stored(documents.mapInArrow(run, ITEMS), parts)
+
+
+def neighbours(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The items of some rows, ``PAIRS`` at a time: each with the next one, and where both are items of one row."""
+    items, offsets = _items(batch)
+    both = np.zeros(len(items), bool)
+    both[:-1] = (items[:-1] != _GAP) & (items[1:] != _GAP)
+    both[offsets[1:][offsets[1:] > 0] - 1] = False
+    after = np.append(items[1:], _GAP)
+    for low in range(0, len(items), PAIRS):
+        yield items[low : low + PAIRS], after[low : low + PAIRS], both[low : low + PAIRS]
+
+
+def _folded(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sum of the counts of each."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[begins], np.add.reduceat(counts, begins) if len(begins) else counts
+
+
+def pair_counts(occurred: DataFrame, least: int) -> DataFrame:
+    """The merge-join of a sorted relation with itself at the next place, counted: ``x``, ``y`` and ``a`` of the pairs
+    with ``least`` occurrences.
+
+    A task folds its pairs and deals them, by a hash, to buckets of at most about ``BUCKET`` pairs; a row is the pairs
+    of one task and bucket. A bucket is folded by one task.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt() -> Iterator[pa.RecordBatch]:
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            bucket = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            sizes = np.bincount(bucket, minlength=buckets)
+            some = np.flatnonzero(sizes)
+            offsets = np.append(0, np.cumsum(sizes[some]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)), _blobs(keys[order], offsets), _blobs(counts[order].astype(np.int32), offsets)], schema=arrow
+            )
+
+        held, n = [], 0
+        for batch in batches:
+            for x, y, both in neighbours(batch):
+                held.append(paired(x[both], y[both]))
+                n += len(held[-1])
+                if n >= HELD:
+                    yield from dealt()
+                    held, n = [], 0
+        if n:
+            yield from dealt()
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def folded() -> Iterator[pa.RecordBatch]:
+            keys, counts = _folded(np.concatenate(keys_held), np.concatenate(counts_held).astype(np.int64))
+            keys, counts = keys[counts >= least], counts[counts >= least]
+            yield pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(counts)], schema=result)
+
+        last, keys_held, counts_held = -1, [], []
+        for batch in batches:
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                if bucket != last and keys_held:
+                    yield from folded()
+                    keys_held, counts_held = [], []
+                last = bucket
+                keys_held.append(np.frombuffer(batch.column("keys")[i].as_buffer(), np.int64).copy())
+                counts_held.append(np.frombuffer(batch.column("counts")[i].as_buffer(), np.int32).copy())
+        if keys_held:
+            yield from folded()
+
+    size = occurred.agg(F.sum(F.octet_length("items"))).first()[0] or 0
+    buckets = size // 4 // BUCKET + 1
+    schema, counted = "bucket int, keys binary, counts binary", "x bigint, y bigint, a bigint"
+    arrow, result = to_arrow_schema(schema), to_arrow_schema(counted)
+    return occurred.mapInArrow(deal, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(fold, counted)
+
+
+def pair_relation(occurred: DataFrame, parts: list[Broadcast]) -> DataFrame:
+    """The sorted occurrence relation of frequent pairs, which are looked up in ``parts``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x, y, both in neighbours(batch):
+                ids, keys = np.full(len(x), _GAP), paired(x[both], y[both])
+                order = np.argsort(keys)  # in order, neighbours are found near one another
+                keys, of = keys[order], np.full(len(keys), _GAP)
+                for part in _each(parts):
+                    find_pairs(part, keys, of)
+                ids[np.flatnonzero(both)[order]] = of
+                found.append(ids)
+            if found:
+                yield from _rows(np.concatenate(found), arrow)
+
+    arrow = to_arrow_schema(ITEMS)
+    return _stored(occurred.mapInArrow(run, ITEMS), parts)
+
+
 def relation(occurrences: DataFrame) -> DataFrame:
-    """A sorted occurrence relation, persisted: a row per text, ``items`` by place, ``_GAP`` where a place has none.
+    """A sorted occurrence relation, persisted: a row per text, ``items`` (4 bytes each) by place, ``_GAP`` where a place
+    has none.
 
     ``occurrences`` (``text_no``, ``pos``, ``id``) come sorted within each task, whole texts to a task.
     """
@@ -49,8 +335,9 @@ def relation(occurrences: DataFrame) -> DataFrame:
         text, last, held = -1, 0, []
 
         def closed(items: np.ndarray, offsets: list[int]) -> pa.RecordBatch:
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(items))
-            return pa.RecordBatch.from_arrays([lists], schema=arrow)
+            if len(items) and items.max() >> 31:
+                raise ValueError("more than 2^31 frequent groups")
+            return pa.RecordBatch.from_arrays([_blobs(items.astype(np.int32), offsets)], schema=arrow)
 
         for batch in batches:
             if not batch.num_rows:
@@ -77,9 +364,8 @@ def relation(occurrences: DataFrame) -> DataFrame:
             rest = np.concatenate(held)
             yield closed(rest, [0, len(rest)])
 
-    schema = "items array<bigint>"
-    arrow = to_arrow_schema(schema)
-    return _stored(occurrences.select("text_no", "pos", "id").mapInArrow(run, schema))
+    arrow = to_arrow_schema(ITEMS)
+    return _stored(occurrences.select("text_no", "pos", "id").mapInArrow(run, ITEMS))
 
 
 def adjacent(occurred: DataFrame) -> DataFrame:
@@ -90,8 +376,7 @@ def adjacent(occurred: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("items")
-            offsets, items = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+            items, offsets = _items(batch)
             first, last = int(offsets[0]), int(offsets[-1])
             numbers = batch.column("text_no").to_numpy()
             for low in range(first, max(first, last - 1), PAIRS):
@@ -109,17 +394,18 @@ def adjacent(occurred: DataFrame) -> DataFrame:
     return occurred.select(F.monotonically_increasing_id().alias("text_no"), "items").mapInArrow(run, schema)
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def _stored(df: DataFrame, parts: Iterable[Broadcast] = ()) -> DataFrame:
+    """``df`` written and read; the broadcasts that it needed go."""
     path = scratch_path(df.sparkSession, "phrases")
     df.write.option("compression", "zstd").parquet(path)
+    for part in parts:
+        part.destroy()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _semi_join(occurrences: DataFrame, frequent: DataFrame, size: int, keys: list[str]) -> DataFrame:
-    """Occurrences of frequent groups with the group's ``id``, in the order of the texts."""
-    if size <= MOST_BROADCAST:  # a lookup keeps the order
-        return occurrences.join(F.broadcast(frequent), keys).select("text_no", "pos", "id")
-    joined = occurrences.join(frequent, keys).select("text_no", "pos", "id")
+def _shuffled(occurrences: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
+    """Occurrences of frequent groups with the group's ``id``, joined by a shuffle, in the order of the texts."""
+    joined = occurrences.join(frequent.select("id", *keys), keys).select("text_no", "pos", "id")
     return joined.repartition("text_no").sortWithinPartitions("text_no", "pos")
 
 
@@ -131,23 +417,30 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST, longest: int = LO
     One length at a time: the relation of occurrences is joined with itself at the next place, the pairs are counted,
     and only occurrences of frequent pairs make the next relation.
     """
-    words = word_occurrences(documents)
-    counted = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("a"))
+    documents = documents.select("lang", "text")
+    counted = word_counts(documents).groupBy("lang", "word").agg(F.sum("a").alias("a"))
     # rare words fold into one row per language, which keeps the total
     counted = counted.groupBy("lang", F.when(F.col("a") >= least, F.col("word")).alias("word")).agg(F.sum("a").alias("a"))
-    counted, measured = materialise(counted, size=F.sum(F.octet_length("word") + F.octet_length("lang") + 48))
+    counted, measured = materialise(counted, n=F.count("word"), size=F.sum(F.octet_length("word") + F.octet_length("lang") + 32))
     totals = counted.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent, _ = materialise(assign_ids(counted.where("word is not null"), "id", 0, ["lang", "word"]))
     levels = [frequent]
-    occurrences = _semi_join(words, frequent.select("lang", "word", "id"), measured["size"] or 0, ["lang", "word"])
+    n, size = measured["n"], measured["size"] or 0
+    if size <= MOST_BROADCAST:
+        occurred = word_relation(documents, _parts(frequent, ["lang", "word"], n, size, pack_words))
+    else:
+        occurred = relation(_shuffled(word_occurrences(documents), frequent, ["lang", "word"]))
     for length in range(2, longest + 1):
-        pairs = adjacent(relation(occurrences))
-        counted, measured = materialise(
-            pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= least), n=F.count(F.lit(1))
-        )
+        counted, measured = materialise(pair_counts(occurred, least), n=F.count(F.lit(1)))
         frequent, _ = materialise(assign_ids(counted, "id", 0, ["x", "y"]))
         levels.append(frequent)
-        occurrences = _semi_join(pairs, frequent.select("x", "y", "id"), 64 * measured["n"], ["x", "y"])
+        if length == longest:
+            break
+        n = measured["n"]
+        if 16 * n <= MOST_BROADCAST:
+            occurred = pair_relation(occurred, _parts(frequent, ["x", "y"], n, 16 * n, pack_pairs))
+        else:
+            occurred = relation(_shuffled(adjacent(occurred), frequent, ["x", "y"]))
     return levels, totals
 
 
@@ -162,13 +455,14 @@ def mine_phrases(
     digits; the first of equal cuts counts. A phrase goes if ``contained`` percent of its occurrences lie in one longer
     candidate: the longest such share is that of a phrase with one word more, as a still longer one is rarer.
 
-    Words and phrases are numbered level by level, so rows are a few integers; a text's occurrences are one sorted row.
-    Counts fold in each task before the shuffle, so a word pair that fills a third of the table is a few rows. Frequent
-    groups are looked up by a broadcast up to ``MOST_BROADCAST`` bytes, by a shuffle beyond. Ranks are cut per part of a
-    language before they are cut per language.
+    Words and phrases are numbered level by level; a relation is rows of numbers in the order of the texts. Texts are cut
+    and words and pairs counted in arrays, some texts at a time; what leaves a task is folded, so a word pair that fills a
+    third of the table is a few entries. Frequent groups are looked up in sorted arrays, broadcast in parts, up to
+    ``MOST_BROADCAST`` bytes, by a shuffle of the occurrences beyond. Ranks are cut per part of a language before they are
+    cut per language.
 
     Null texts are empty, null languages are ``und``. Repeated rows count each. No phrases: no rows. Other columns are
-    left out. A text's words are held by one task as numbers (8 bytes a word).
+    left out. A text and its words' numbers are held by one task.
     """
     levels, totals = frequent_phrases(documents, least, longest)
     known = levels[0].select(

@@ -78,6 +78,62 @@ def test_phrases_of_three_words_and_none(spark):
     assert collocations.mine_phrases(spark.createDataFrame([("en", "a b")], "lang string, text string")).count() == 0
 
 
+def odd_rows(seed):
+    """Many languages, some with the same words, and texts that end in each kind of byte."""
+    rng = random.Random(seed)
+    rows = phrase_rows(seed) + [(f"l{i}", f"w{i} v{i} w{i} v{i}, b c b c") for i in range(90) for _ in range(2)]
+    for end in ["", " ", ".", "\n", "\x0c", "a", "É", "\0"]:
+        rows += [(rng.choice(["en", "", "l1"]), f"{start}a b c a b c{end}") for start in ["", "a b", ";", "\t", "!? "]]
+    return rows
+
+
+@pytest.mark.parametrize("part", [1 << 25, 200])
+def test_phrases_shuffle_no_occurrence(spark, monkeypatch, part):
+    """Frequent groups are looked up where the occurrences are, in one broadcast or several; a row of an occurrence is
+    not made. Small pieces of work, buckets and rows."""
+
+    def made(*_):
+        raise AssertionError("a row per occurrence")
+
+    for name in ("word_occurrences", "adjacent"):
+        monkeypatch.setattr(collocations, name, made)
+    for name, value in (("PART", part), ("PAIRS", 50), ("HELD", 90), ("BUCKET", 60), ("ROW", 8)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = odd_rows(4)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = collocations.mine_phrases(frame, least=2, longest=4, contained=80, best=9).collect()
+    assert {tuple(r) for r in got} == phrases_brute(rows, 2, 4, 80, 9)
+    assert len(got) > 100
+
+
+def test_phrases_with_equal_hashes(spark, monkeypatch):
+    """Words of one hash are told apart by their bytes and languages."""
+    monkeypatch.setattr(collocations, "word_hashes", lambda langs, words: np.full(len(words), 7, np.uint64))
+    rows = odd_rows(5)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    got = collocations.mine_phrases(frame, least=3, longest=3, contained=80, best=9).collect()
+    assert {tuple(r) for r in got} == phrases_brute(rows, 3, 3, 80, 9)
+
+
+def test_phrases_by_shuffle_of_odd_texts(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MOST_BROADCAST", -1)
+    rows = odd_rows(6)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = collocations.mine_phrases(frame, least=2, longest=4, contained=80, best=9).collect()
+    assert {tuple(r) for r in got} == phrases_brute(rows, 2, 4, 80, 9)
+
+
+def test_pairs_are_dealt_folded(spark):
+    """What a task hands on is a row per bucket, not one per pair of words."""
+    items = np.random.default_rng(1).integers(1, 40, 50_000).astype(np.int32)
+    occurred = spark.createDataFrame([(bytearray(items.tobytes()),)] * 3, "items binary").coalesce(1)
+    counted = collocations.pair_counts(occurred, 2)
+    got = {(r.x, r.y): r.a for r in counted.collect()}
+    pairs = Counter(zip(items[:-1].tolist(), items[1:].tolist()))
+    assert got == {k: 3 * n for k, n in pairs.items() if 3 * n >= 2}
+    assert "HashAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_beyond_64_bits():
     """2,000,000 times a count of 10^13 needs decimals; the expression must not fall back to longs."""
     assert 2_000_000 * 10**13 > 2**63 and "decimal(38,0)" in open(collocations.__file__).read()
