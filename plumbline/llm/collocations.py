@@ -29,7 +29,9 @@ PART = 32 << 20
 PAIRS = 1 << 21
 #: Pairs that a task folds before they are dealt out, and pairs of a bucket.
 HELD = 1 << 22
-BUCKET = 1 << 21
+BUCKET = 1 << 19
+#: Buckets that a task folds, one after the other; the hash of Spark's shuffle deals several more evenly than one.
+BUCKETS_A_TASK = 4
 #: Items of a row of a relation, if no gapless run is longer.
 ROW = 512
 #: The first cut of a language's best phrases works in so many parts.
@@ -252,7 +254,7 @@ def pair_counts(occurred: DataFrame, least: int) -> DataFrame:
     with ``least`` occurrences.
 
     A task folds its pairs and deals them, by a hash, to buckets of at most about ``BUCKET`` pairs; a row is the pairs
-    of one task and bucket. A bucket is folded by one task.
+    of one task and bucket. One task folds a bucket, and holds one at a time.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +302,7 @@ def pair_counts(occurred: DataFrame, least: int) -> DataFrame:
     buckets = size // 4 // BUCKET + 1
     schema, counted = "bucket int, keys binary, counts binary", "x bigint, y bigint, a bigint"
     arrow, result = to_arrow_schema(schema), to_arrow_schema(counted)
-    return occurred.mapInArrow(deal, schema).repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(fold, counted)
+    return occurred.mapInArrow(deal, schema).repartition(buckets // BUCKETS_A_TASK + 1, "bucket").sortWithinPartitions("bucket").mapInArrow(fold, counted)
 
 
 def pair_relation(occurred: DataFrame, parts: list[Broadcast]) -> DataFrame:
